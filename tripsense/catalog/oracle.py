@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from tripsense.catalog.fixtures import ORACLE_VIEWS
-from tripsense.catalog.queries import CHUNK_ROWS, DUP_ARRIVAL, LOOKUP_ID
+from tripsense.catalog.queries import CHUNK_ROWS, DUP_ARRIVAL, LOOKUP_ID, STD_SPEED_LIMIT
 from tripsense.functions.features import FEATURES
 from tripsense.functions.scalars import DANGER_MESSAGE, SAFE_MESSAGE
 from tripsense.operators.dashboard import DURATION_BUCKETS, SPEED_BUCKETS
+from tripsense.modelling.prepare import MODEL_FEATURES, SEED, TRAIN_FRACTION
 from tripsense.operators.trips import CARD_COLUMNS
 from tripsense.sources.schemas import RAW_CHANNELS
 
@@ -129,6 +130,48 @@ def _consolidated(label: str) -> str:
     )
 
 
+def _messages(where: str) -> str:
+    return (
+        f"SELECT bookingid, window_idx, is_tail, {r('second', 'time')}, {r('COALESCE(avg_speed, 0e0)', 'speed')},"
+        f" CASE WHEN COALESCE(std_speed, 0e0) > {STD_SPEED_LIMIT} THEN 1 ELSE 0 END AS label"
+        f" FROM ({_WINDOW_FEATURES.format(where=where)}) w"
+    )
+
+
+_FULL_ONLY = "WHERE window_idx < full_windows"
+
+_IN_TRAIN = (
+    f"('0x' || SUBSTR(MD5(CAST(bookingid AS VARCHAR) || ':{SEED}'), 1, 8))::BIGINT % 10000 < {round(TRAIN_FRACTION * 10000)}"
+)
+_DEVIATION = "CASE WHEN s.{0} = 0 THEN 0e0 ELSE t.{0} / s.{0} END"
+_CORRELATIONS = " UNION ALL ".join(
+    f"SELECT '{n}' AS feature, CASE WHEN STDDEV_POP({n}) * STDDEV_POP(label) = 0 THEN NULL"
+    f" ELSE ABS(CORR({n}, CAST(label AS DOUBLE))) END AS score FROM trips"
+    for n in _NAMES
+)
+_COUNTS = {
+    "raw": "SUM(samples)",
+    "trips": "COUNT(*)",
+    "labelled": "COUNT(label)",
+    "train": f"COUNT(*) FILTER (WHERE {_IN_TRAIN})",
+    "test": f"COUNT(*) FILTER (WHERE NOT ({_IN_TRAIN}))",
+    "consolidated": "COUNT(*) FILTER (WHERE bookingid IN (SELECT bookingid FROM fx_done))",
+}
+_AUC = (
+    "SELECT model, ROUND(SUM(pos * (below + neg / 2.0e0)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)), 6) AS auc FROM"
+    " (SELECT *, SUM(neg) OVER (PARTITION BY model ORDER BY score) - neg AS below FROM"
+    " (SELECT model, score, SUM(label) AS pos, COUNT(*) - SUM(label) AS neg FROM fx_scores GROUP BY model, score) g) p"
+    " GROUP BY model"
+)
+_F1 = (
+    "SELECT model, ROUND(SUM(labelled * 2e0 * hits / (labelled + predicted)) / SUM(labelled), 6) AS f1 FROM"
+    " (SELECT m.model, c.class, COUNT(*) FILTER (WHERE label = c.class) AS labelled,"
+    " COUNT(*) FILTER (WHERE prediction = c.class) AS predicted,"
+    " COUNT(*) FILTER (WHERE label = c.class AND prediction = c.class) AS hits"
+    " FROM fx_scores m, (VALUES (0), (1)) c(class) GROUP BY m.model, c.class) k GROUP BY model"
+)
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "ingest_csv": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
@@ -195,7 +238,7 @@ def all_oracles() -> dict[str, str]:
         "label_multiplicity": with_views(
             "SELECT bookingid, COUNT(*) AS copies FROM fx_labels GROUP BY bookingid", "fx_labels"
         ),
-        "label_classes": with_views("SELECT COUNT(DISTINCT label) AS classes FROM fx_labels", "fx_labels"),
+        "label_classes": with_views("SELECT COUNT(*) AS classes FROM (SELECT DISTINCT label FROM fx_labels) d", "fx_labels"),
         "trip_safety_counts": with_views(_PANEL.format(_safety("labelled")), "labelled"),
         "trip_speed_histogram": with_views(_PANEL.format(_SPEED), "trips"),
         "trip_speed_std_histogram": with_views(_PANEL.format(_SPEED_STD), "trips"),
@@ -232,4 +275,52 @@ def all_oracles() -> dict[str, str]:
         ),
         "consolidate_trips": with_views(_consolidated("COALESCE(label, 0)"), "labelled", "fx_done"),
         "consolidate_trips_large_done": with_views(_consolidated("label"), "labelled", "fx_done"),
+        "prediction_message": with_views(_messages(""), "windowed"),
+        "stream_ingest": with_views(_FIRST_WRITER.format(speed=r("speed"), order=", ".join(DUP_ARRIVAL)), "fx_dup"),
+        "stream_count_windows": with_views(_WINDOW_SUMMARY.format(where=_FULL_ONLY), "windowed"),
+        "stream_latest_state": with_views(_LATEST, "fx_stream"),
+        "stream_predict_rule": with_views(_messages(_FULL_ONLY), "windowed"),
+        "assemble_features": with_views(
+            "SELECT bookingid, " + ", ".join(r(n) for n in MODEL_FEATURES) + " FROM trips", "trips"
+        ),
+        "scale_features": with_views(
+            "SELECT t.bookingid, " + ", ".join(r(_DEVIATION.format(n), n) for n in MODEL_FEATURES)
+            + " FROM trips t CROSS JOIN (SELECT " + ", ".join(f"STDDEV_SAMP({n}) AS {n}" for n in MODEL_FEATURES)
+            + " FROM trips) s",
+            "trips",
+        ),
+        "train_test_split": with_views(
+            f"SELECT bookingid, label, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM trips", "trips"
+        ),
+        "dataset_counts": with_views(
+            " UNION ALL ".join(f"SELECT '{n}' AS dataset, CAST({e} AS BIGINT) AS rows FROM sized" for n, e in _COUNTS.items()),
+            "fx_raw",
+            "once",
+            "fx_done",
+            extra={
+                "sized": "SELECT s.bookingid, s.samples, o.label FROM (SELECT bookingid, COUNT(*) AS samples FROM fx_raw"
+                         " GROUP BY bookingid) s LEFT JOIN once o ON s.bookingid = o.bookingid"
+            },
+        ),
+        "pearson_selection": with_views(
+            f"SELECT feature, {r('score')} FROM ({_CORRELATIONS}) c WHERE score > 0.01", "trips"
+        ),
+        "rank_features": with_views(
+            "SELECT feature, score, CAST(ROW_NUMBER() OVER (ORDER BY score DESC, feature) AS INTEGER) AS rank"
+            f" FROM (SELECT feature, {r('score')} FROM ({_CORRELATIONS}) c WHERE score IS NOT NULL) k",
+            "trips",
+        ),
+        "eval_auc": with_views(_AUC, "fx_scores"),
+        "eval_accuracy": with_views(
+            "SELECT model, ROUND(AVG(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6) AS accuracy"
+            " FROM fx_scores GROUP BY model",
+            "fx_scores",
+        ),
+        "eval_f1": with_views(_F1, "fx_scores"),
+        "resolve_model_version": with_views(
+            "SELECT name, version, run_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY"
+            " CASE WHEN alias = 'champion' THEN 0 ELSE 1 END, CAST(version AS BIGINT) DESC) AS rn FROM fx_registry) t"
+            " WHERE rn = 1",
+            "fx_registry",
+        ),
     }

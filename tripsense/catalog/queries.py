@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark.ml import Estimator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripsense.catalog import fixtures as fx
 from tripsense.functions.features import FEATURE_COLUMNS, feature_aggregates, fill_missing, trip_features, with_magnitudes
 from tripsense.functions.scalars import normalise_columns, round_doubles, trip_status
+from tripsense.modelling import classifiers, evaluate, prepare, selection
+from tripsense.modelling.registry import ModelRegistry, resolve_version
 from tripsense.operators import dashboard, labels, trips
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.operators.latest import latest_trip_state
 from tripsense.operators.windows import count_windows
+from tripsense.plans import training
 from tripsense.plans.consolidate import consolidate, labelled_trips
 from tripsense.session import scratch_dir
 from tripsense.sources import schemas
 from tripsense.sources.files import read_labels_csv, read_samples_csv
 from tripsense.sources.tables import append_raw, insert_raw, insert_trips, read_raw, read_trips
+from tripsense.streaming.count_windows import stream_count_windows
+from tripsense.streaming.ingest import start_raw_ingest
+from tripsense.streaming.latest import read_latest_state, start_latest_state
+from tripsense.streaming.predict import prediction_messages, start_predictions
+from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,11 +151,13 @@ def trip_status_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prediction_message(spark: SparkSession, sf: str) -> DataFrame:
-    from tripsense.streaming.predict import prediction_messages
-
     windows = fill_missing(_windows(spark, sf, feature_aggregates()))
-    scored = windows.withColumn("prediction", (F.col("std_speed") > STD_SPEED_LIMIT).cast("double"))
-    return round_doubles(prediction_messages(scored, "window_idx"))
+    return round_doubles(prediction_messages(speed_rule(windows), "window_idx", "is_tail"))
+
+
+def speed_rule(features: DataFrame) -> DataFrame:
+    """Stands in for a model where results must be reproducible elsewhere."""
+    return features.withColumn("prediction", (F.col("std_speed") > STD_SPEED_LIMIT).cast("double"))
 
 
 # joins
@@ -258,6 +271,194 @@ def consolidate_trips_large_done(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(pending)
 
 
+# streams: the given files as an unbounded source, run until all of them are read
+
+
+def _stream_samples(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.fx_stream_source(spark, sf).select("bookingid", "seq", *schemas.RAW_CHANNELS)
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files delivered twice: the second delivery adds nothing."""
+    path = scratch_dir(spark, "stream-ingest")
+    for delivery in ("first", "second"):
+        rows = fx.fx_dup_source(spark, sf)
+        missing = [name for name in schemas.RAW_CHANNELS if name not in rows.columns]
+        rows = rows.withColumns({name: F.lit(None).cast("double") for name in missing})
+        start_raw_ingest(rows, f"{path}/raw", f"{path}/{delivery}", arrival=DUP_ARRIVAL).awaitTermination()
+    return round_doubles(read_raw(spark, f"{path}/raw").select("bookingid", "second", "speed"))
+
+
+def stream_count_windows_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Full windows only; the idle flush of the tails needs a running clock and is tested on its own."""
+    path = scratch_dir(spark, "stream-windows")
+    windows = stream_count_windows(_stream_samples(spark, sf), order=["seq"], idle_seconds=None)
+    start_batches(windows, parquet_batches(f"{path}/rows"), f"{path}/checkpoint").awaitTermination()
+    rows = read_batches(spark, f"{path}/rows", windows.schema)
+    summary = rows.groupBy("bookingid", "window_idx", "is_tail").agg(F.count(F.lit(1)).alias("rows"), *_speed_aggregates())
+    return round_doubles(summary)
+
+
+def _predictions(spark: SparkSession, sf: str, scorer) -> DataFrame:
+    path = scratch_dir(spark, "stream-predict")
+    start_predictions(
+        _stream_samples(spark, sf), scorer, parquet_batches(f"{path}/messages"), f"{path}/checkpoint",
+        order=["seq"], idle_seconds=None,
+    ).awaitTermination()
+    schema = "bookingid long, window_idx long, is_tail boolean, time double, speed double, label int"
+    messages = read_batches(spark, f"{path}/messages", spark.createDataFrame([], schema).schema)
+    return round_doubles(messages.drop("batch_id"))
+
+
+def stream_predict_rule(spark: SparkSession, sf: str) -> DataFrame:
+    return _predictions(spark, sf, speed_rule)
+
+
+def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows scored by a forest trained on the trip table and served from the registry."""
+    registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
+    with _stored_trips(spark, sf) as stored:
+        training.train_job(stored, registry, "trips", num_trees=20, alias="champion")
+    return _predictions(spark, sf, registry.load("trips"))
+
+
+def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "stream-latest")
+    messages = fx.fx_stream_source(spark, sf)
+    start_latest_state(
+        messages, "seq", f"{path}/states", f"{path}/checkpoint", label_present="has_label"
+    ).awaitTermination()
+    return round_doubles(read_latest_state(spark, f"{path}/states", "seq"))
+
+
+# feature selection and modelling
+
+
+@contextmanager
+def _stored_trips(spark: SparkSession, sf: str) -> Iterator[DataFrame]:
+    """The trip table as training reads it: written once, scanned per iteration."""
+    path = scratch_dir(spark, "trips")
+    _trips(spark, sf).write.parquet(path)
+    yield read_trips(spark, path)
+
+
+def _vector_columns(df: DataFrame) -> DataFrame:
+    values = vector_to_array("features")
+    return df.select("bookingid", *[values[i].alias(name) for i, name in enumerate(prepare.MODEL_FEATURES)])
+
+
+def assemble_features(spark: SparkSession, sf: str) -> DataFrame:
+    return round_doubles(_vector_columns(prepare.assemble_features(_trips(spark, sf))))
+
+
+def scale_features(spark: SparkSession, sf: str) -> DataFrame:
+    return round_doubles(_vector_columns(prepare.scale_features(_trips(spark, sf))))
+
+
+def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = prepare.train_test_split(_trips(spark, sf).select("bookingid", "label"))
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+def dataset_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of every stage from one aggregation: samples, trips, labelled trips, train, test, consolidated."""
+    per_trip = fx.fx_raw(spark, sf).groupBy("bookingid").agg(F.count(F.lit(1)).alias("samples"))
+    rows = (
+        per_trip.join(labels.unique_labels(fx.fx_labels(spark, sf)), "bookingid", "left")
+        .join(fx.fx_done(spark, sf).withColumn("done", F.lit(True)), "bookingid", "left")
+        .agg(
+            F.sum("samples").alias("raw"),
+            F.count(F.lit(1)).alias("trips"),
+            F.count_if(F.col("label").isNotNull()).alias("labelled"),
+            F.count_if(prepare.in_train()).alias("train"),
+            F.count_if(~prepare.in_train()).alias("test"),
+            F.count_if(F.col("done").isNotNull()).alias("consolidated"),
+        )
+    )
+    return rows.select(F.inline(F.array(*[F.struct(F.lit(n).alias("dataset"), F.col(n).alias("rows")) for n in rows.columns])))
+
+
+def _scored_by(estimator: Callable[[int, int], Estimator]) -> Query:
+    """Fit on the training part of the stored trips, score the held-out part."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        with _stored_trips(spark, sf) as stored:
+            data = prepare.scale_features(stored).select("bookingid", "features", "label")
+            train, test = prepare.train_test_split(data, prepare.EXPERIMENT_TRAIN_FRACTION)
+            model = estimator(len(prepare.MODEL_FEATURES), 2).fit(train)
+            return model.transform(test).select("bookingid", "label", F.col("prediction").cast("int").alias("prediction"))
+
+    return query
+
+
+def score_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Train, register, load back and score all trips."""
+    registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
+    with _stored_trips(spark, sf) as stored:
+        training.train_job(stored, registry, "trips", num_trees=20)
+        scored = training.probability_of_danger(registry.load("trips")(stored))
+        return scored.select("bookingid", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
+
+
+def train_job(spark: SparkSession, sf: str) -> DataFrame:
+    registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
+    with _stored_trips(spark, sf) as stored:
+        report = training.train_job(stored, registry, "trips", num_trees=20)
+    entries = registry.entries()
+    return entries.select("name", "version", "alias", *[F.lit(report[k]).alias(k) for k in
+                          ("auc", "num_trees", "max_depth", "training_data_count", "testing_data_count")])
+
+
+def compare_models(spark: SparkSession, sf: str) -> DataFrame:
+    with _stored_trips(spark, sf) as stored:
+        return training.compare_models(stored)
+
+
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    with _stored_trips(spark, sf) as stored:
+        scores = training.forest_selection(stored, FEATURE_COLUMNS)
+    return selection.rank_features(selection.select_features(scores, selection.IMPORTANCE_THRESHOLD))
+
+
+def lasso_selection(spark: SparkSession, sf: str) -> DataFrame:
+    with _stored_trips(spark, sf) as stored:
+        scores = training.lasso_selection(stored, FEATURE_COLUMNS)
+    return selection.select_features(scores, selection.COEFFICIENT_THRESHOLD)
+
+
+def pearson_selection(spark: SparkSession, sf: str) -> DataFrame:
+    scores = selection.pearson_scores(_trips(spark, sf), FEATURE_COLUMNS)
+    return round_doubles(selection.select_features(scores, selection.CORRELATION_THRESHOLD))
+
+
+def rank_features(spark: SparkSession, sf: str) -> DataFrame:
+    scores = selection.pearson_scores(_trips(spark, sf), FEATURE_COLUMNS).filter("score IS NOT NULL")
+    return selection.rank_features(round_doubles(scores))
+
+
+def feature_consensus(spark: SparkSession, sf: str) -> DataFrame:
+    with _stored_trips(spark, sf) as stored:
+        return training.select_by_consensus(stored, FEATURE_COLUMNS, force_keep=["second"])
+
+
+def eval_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return round_doubles(evaluate.area_under_roc(fx.fx_scores(spark, sf), "score", ["model"]))
+
+
+def eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    matrix = evaluate.confusion_matrix(fx.fx_scores(spark, sf), ["model"])
+    return round_doubles(evaluate.accuracy(matrix, ["model"]))
+
+
+def eval_f1(spark: SparkSession, sf: str) -> DataFrame:
+    matrix = evaluate.confusion_matrix(fx.fx_scores(spark, sf), ["model"])
+    return round_doubles(evaluate.weighted_f1(matrix, ["model"]))
+
+
+def resolve_model_version(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve_version(fx.fx_registry(spark, sf))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "ingest_csv": ingest_csv,
@@ -296,4 +497,30 @@ def all_queries() -> dict[str, Query]:
         "first_trips": first_trips,
         "consolidate_trips": consolidate_trips,
         "consolidate_trips_large_done": consolidate_trips_large_done,
+        "prediction_message": prediction_message,
+        "stream_ingest": stream_ingest,
+        "stream_count_windows": stream_count_windows_query,
+        "stream_latest_state": stream_latest_state,
+        "stream_predict_rule": stream_predict_rule,
+        "stream_predict": stream_predict,
+        "assemble_features": assemble_features,
+        "scale_features": scale_features,
+        "train_test_split": train_test_split,
+        "dataset_counts": dataset_counts,
+        "pearson_selection": pearson_selection,
+        "rank_features": rank_features,
+        "eval_auc": eval_auc,
+        "eval_accuracy": eval_accuracy,
+        "eval_f1": eval_f1,
+        "resolve_model_version": resolve_model_version,
+        "train_random_forest": _scored_by(lambda features, classes: classifiers.random_forest()),
+        "train_logistic": _scored_by(lambda features, classes: classifiers.logistic()),
+        "train_svm": _scored_by(lambda features, classes: classifiers.linear_svm()),
+        "train_mlp": _scored_by(classifiers.perceptron),
+        "train_job": train_job,
+        "score_trips": score_trips,
+        "compare_models": compare_models,
+        "feature_importance": feature_importance,
+        "lasso_selection": lasso_selection,
+        "feature_consensus": feature_consensus,
     }

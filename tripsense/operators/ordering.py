@@ -44,8 +44,8 @@ def _block(position: Column, low: Column, high: Column, cells: Column) -> Column
 def _oversized(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Groups above ``max_rows`` with their value range.
 
-    There are at most ``rows / max_rows`` of them, which is what makes the broadcast in
-    :func:`prefix_branches` safe: a million at a trillion rows.
+    There are at most ``rows / max_rows`` of them, a million at a trillion rows, which is what makes
+    broadcasting them in :func:`prefix_branches` safe.
     """
     finite = F.when(F.abs("_position") < float("inf"), F.col("_position"))
     return (
@@ -70,37 +70,44 @@ def prefix_branches(
     *,
     out: str,
     value: str | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
     levels: int = 2,
     _level: int = 0,
 ) -> list[DataFrame]:
     """Add ``out``: the number of rows (or the sum of ``value``) before each row of its group.
 
     ``order`` names the sorting columns; the first must be numeric or a timestamp, the rest break ties.
-    Returns the ordinary groups, hash-partitioned by ``keys`` so that an aggregation on them needs no further
-    exchange, and the oversized groups. When no group is oversized the list of them is empty at run time and
-    adaptive execution removes the second branch before it reads anything.
+    Group sizes are looked at first, in a job that reads the key and ordering columns only. Usually nothing is
+    oversized and the one branch returned is hash-partitioned by ``keys``, so an aggregation on them needs no
+    further exchange. Otherwise a second branch holds the oversized groups. ``max_rows=None`` skips the look.
+    The choice affects speed only: either plan gives the same positions on any data.
     """
     keys = list(keys)
-    if _level == levels:
+    if max_rows is None or _level == levels:
         return [_prefix_window(df, keys, order, value, out)]
 
     placed = df.withColumn("_position", _as_double(df, order[0]))
     large = _oversized(placed, keys, max_rows)
-    ordinary = join_null_safe(df, F.broadcast(large.select(*keys)), keys, "left_anti")
+    if keys:
+        if large.isEmpty():
+            return [_prefix_window(df, keys, order, value, out)]
+        ordinary = [join_null_safe(df, F.broadcast(large.select(*keys)), keys, "left_anti")]
+        sized = join_null_safe(placed, F.broadcast(large), keys, "inner")
+    else:  # the whole table is one group: its single row of statistics becomes constants
+        whole = large.first()
+        if whole is None:
+            return [_prefix_window(df, keys, order, value, out)]
+        ordinary = []
+        sized = placed.withColumns({name: F.lit(whole[name]) for name in ("_size", "_low", "_high")})
 
     block, within = f"_block{_level}", f"_within{_level}"
     rows = (
-        join_null_safe(placed, F.broadcast(large), keys, "inner")
-        .withColumn("_cells", F.ceil(F.col("_size") * OVERSPLIT / max_rows).cast("long"))
+        sized.withColumn("_cells", F.ceil(F.col("_size") * OVERSPLIT / max_rows).cast("long"))
         .withColumn(block, _block(F.col("_position"), F.col("_low"), F.col("_high"), F.col("_cells")))
         .drop("_position", "_size", "_low", "_high", "_cells")
     )
-    inside = union_all(
-        prefix_branches(
-            rows, [*keys, block], order, out=within, value=value, max_rows=max_rows, levels=levels,
-            _level=_level + 1,
-        )
+    inside = with_prefix(
+        rows, [*keys, block], order, out=within, value=value, max_rows=max_rows, levels=levels, _level=_level + 1
     )
     total = F.count(F.lit(1)) if value is None else F.sum(value)
     earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +122,7 @@ def prefix_branches(
         .withColumn(out, F.col(within) + F.col("_before"))
         .drop(within, "_before", block)
     )
-    return [_prefix_window(ordinary, keys, order, value, out), split]
+    return [*(_prefix_window(rows, keys, order, value, out) for rows in ordinary), split]
 
 
 def _as_double(df: DataFrame, column: str) -> Column:

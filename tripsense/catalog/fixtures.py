@@ -114,17 +114,23 @@ def fx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, _STREAM, "events")
 
 
+# A trip may hold a third of all rows; what one micro-batch takes in limits what its key sees at once.
+BYTES_PER_TRIGGER = 256 * 1024 * 1024
+
+
+def _file_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's file watched as a folder of an unbounded source."""
+    options = {"pathGlobFilter": f"{name}.parquet", "maxBytesPerTrigger": BYTES_PER_TRIGGER}
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).options(**options).parquet(sf_dir)
+
+
 def fx_stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as an unbounded source: the events file watched as a folder."""
-    schema = table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return source.selectExpr(*[f"{expression} AS {name}" for name, expression in _STREAM_COLUMNS.items()])
+    return _file_source(spark, sf_dir, "events").selectExpr(*[f"{expression} AS {name}" for name, expression in _STREAM_COLUMNS.items()])
 
 
 def fx_dup_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "lineitem").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-    return source.selectExpr(*_DUP.removeprefix("SELECT ").removesuffix(" FROM lineitem").split(", "))
+    columns = _DUP.removeprefix("SELECT ").removesuffix(" FROM lineitem").split(", ")
+    return _file_source(spark, sf_dir, "lineitem").selectExpr(*columns)
 
 
 def fx_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,14 @@ def all_oracles() -> dict[str, str]:
             f" FROM (SELECT feature, {r('score')} FROM ({_CORRELATIONS}) c WHERE score IS NOT NULL) k",
             "trips",
         ),
+        "train_job": with_views(
+            "SELECT v.name, v.version, v.alias, CAST(20 AS BIGINT) AS num_trees, CAST(10 AS BIGINT) AS max_depth,"
+            f" COUNT(*) FILTER (WHERE {_IN_TRAIN}) AS training_data_count,"
+            f" COUNT(*) FILTER (WHERE NOT ({_IN_TRAIN})) AS testing_data_count, TRUE AS valid_auc"
+            " FROM trips, (VALUES ('trips', '1', 'champion'), ('trips', '2', NULL)) v(name, version, alias)"
+            " GROUP BY v.name, v.version, v.alias",
+            "trips",
+        ),
         "eval_auc": with_views(_AUC, "fx_scores"),
         "eval_accuracy": with_views(
             "SELECT model, ROUND(AVG(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6) AS accuracy"

@@ -14,7 +14,7 @@ from tripsense.operators.trips import BROADCAST_KEYS
 from tripsense.sources.schemas import RAW_KEY, RAW_SCHEMA, TRIP_KEY, TRIP_SCHEMA, conform, optional
 
 # Trips are spread over this many directories, so a batch of few trips opens few of them.
-TRIP_BUCKETS = 64
+TRIP_BUCKETS = 16
 BUCKET = "trip_bucket"
 
 
@@ -61,33 +61,25 @@ def append_trips(trips: DataFrame, path: str) -> None:
     conform(trips, TRIP_SCHEMA).write.mode("append").parquet(path)
 
 
-def _unseen(batch: DataFrame, table: DataFrame, key: Sequence[str], broadcast: bool) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``table``.
-
-    The table is only scanned, never shuffled, as long as the batch keys may be broadcast: matching keys are
-    found map-side and are at most as many as the batch has.
-    """
-    keys = batch.select(*key).distinct()
-    found = table.select(*key).join(F.broadcast(keys) if broadcast else keys, list(key), "left_semi")
-    return batch.join(found, list(key), "left_anti")
-
-
 def insert_raw(batch: DataFrame, path: str, arrival: Sequence[str]) -> int:
     """Insert samples under the primary key: earlier rows of the table or of the batch win.
 
-    Returns the number of batch rows. The batch is read four times, so it is kept while this runs.
+    Copies inside the batch are reduced first, so what meets the table is unique by key and cannot be skewed.
+    The table is then scanned for those keys, in the directories the batch touches, and not shuffled as long as
+    the keys may be broadcast. Returns the number of distinct keys offered.
     """
-    spark = batch.sparkSession
-    rows = batch.withColumn(BUCKET, trip_bucket()).persist()
+    rows = first_writer_wins(batch, RAW_KEY, arrival).withColumn(BUCKET, trip_bucket()).persist()
     try:
         size = rows.count()
         if size == 0:
             return 0
-        stored = _stored_raw(spark, path)
+        keys = rows.select(BUCKET, *RAW_KEY)
         buckets = rows.select(BUCKET).distinct()  # at most TRIP_BUCKETS rows; prunes directories at run time
-        touched = stored.join(F.broadcast(buckets), BUCKET, "left_semi")
-        fresh = _unseen(rows.drop(BUCKET), touched, RAW_KEY, broadcast=size <= BROADCAST_KEYS)
-        append_raw(first_writer_wins(fresh, RAW_KEY, arrival), path)
+        touched = _stored_raw(batch.sparkSession, path).join(F.broadcast(buckets), BUCKET, "left_semi")
+        present = touched.select(*RAW_KEY).join(
+            F.broadcast(keys) if size <= BROADCAST_KEYS else keys, list(RAW_KEY), "left_semi"
+        )
+        append_raw(rows.join(present, list(RAW_KEY), "left_anti"), path)
         return size
     finally:
         rows.unpersist()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripsense.functions.features import FEATURE_COLUMNS, fill_missing, trip_features
@@ -50,13 +50,18 @@ def consolidate(
 def consolidate_job(
     spark: SparkSession, raw_path: str, labels_path: str, trips_path: str, *, fill_label: bool = True
 ) -> int:
-    """Append all pending trips and return how many; the count is observed during the write."""
+    """Append all pending trips and return how many.
+
+    The plan runs once, for the write; the table is counted from its file footers. (An ``Observation`` would give
+    the number during the write, but a session that has used one can no longer ship freshly fitted classifiers
+    to executors: their training summaries hold the session, and with it the observation manager.)
+    """
+    before = read_trips(spark, trips_path).count()
     trips = consolidate(
         read_raw(spark, raw_path),
         read_trips(spark, trips_path),
         read_labels_csv(spark, labels_path),
         fill_label=fill_label,
     )
-    written = Observation("consolidated")
-    append_trips(trips.observe(written, F.count(F.lit(1)).alias("trips")), trips_path)
-    return written.get["trips"]
+    append_trips(trips, trips_path)
+    return read_trips(spark, trips_path).count() - before

@@ -50,21 +50,42 @@ def test_unique_labels_drop_every_copy(spark):
 def test_pending_samples_null_rules(spark):
     rows = samples(spark, [sample(1, 0), sample(2, 0), sample(None, 0)])
     done = spark.createDataFrame([(1,), (None,)], "bookingid long")
-    for broadcast in (True, False, None):
-        assert [r[0] for r in trips.pending_samples(rows, done, broadcast=broadcast).collect()] == [2]
+    assert [r[0] for r in trips.pending_samples(rows, done).collect()] == [2]
     assert {r[0] for r in trips.pending_samples(rows, done.limit(0)).collect()} == {1, 2}
 
 
-@pytest.mark.parametrize("broadcast_done", [True, False])
-def test_consolidate(spark, broadcast_done):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_consolidate(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_consolidation(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("threshold, below", [("10m", True), ("-1", False)])
+def test_done_trips_are_dropped_in_the_scan_only_while_their_ids_are_small(spark, folder, threshold, below):
+    samples(spark, [sample(1, 0)]).write.parquet(folder("raw"))
+    spark.createDataFrame([(1,)], "bookingid long").write.parquet(folder("done"))
+    marks = spark.createDataFrame([], "bookingid long, label int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = consolidate(spark.read.parquet(folder("raw")), spark.read.parquet(folder("done")), marks)
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (text.index("LeftAnti") > text.index("avg(speed")) == below  # printed top down
+
+
+def check_consolidation(spark):
     rows = [sample(trip, second, speed=trip) for trip in (1, 2, 3, 4) for second in range(3)] + [sample(5, 0, speed=5)]
     rows.append(sample(None, 0))
     done = spark.createDataFrame([(4,)], "bookingid long")
     marks = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (9, 1)], "bookingid long, label int")
-    filled = consolidate(samples(spark, rows), done, marks, broadcast_done=broadcast_done)
+    filled = consolidate(samples(spark, rows), done, marks)
     got = {r["bookingid"]: (r["avg_speed"], r["std_speed"], r["second"], r["label"]) for r in filled.collect()}
     assert got == {1: (1, 0, 2, 1), 2: (2, 0, 2, 0), 3: (3, 0, 2, 0), 5: (5, 0, 0, 0)}
-    open_labels = consolidate(samples(spark, rows), done, marks, fill_label=False, broadcast_done=broadcast_done)
+    open_labels = consolidate(samples(spark, rows), done, marks, fill_label=False)
     assert {r["bookingid"]: (r["std_speed"], r["label"]) for r in open_labels.collect()} == {
         1: (0, 1), 2: (0, None), 3: (0, None), 5: (0, None)
     }

@@ -274,7 +274,7 @@ def all_oracles() -> dict[str, str]:
             "fx_raw",
         ),
         "consolidate_trips": with_views(_consolidated("COALESCE(label, 0)"), "labelled", "fx_done"),
-        "consolidate_trips_large_done": with_views(_consolidated("label"), "labelled", "fx_done"),
+        "consolidate_trips_open_labels": with_views(_consolidated("label"), "labelled", "fx_done"),
         "prediction_message": with_views(_messages(""), "windowed"),
         "stream_ingest": with_views(_FIRST_WRITER.format(speed=r("speed"), order=", ".join(DUP_ARRIVAL)), "fx_dup"),
         "stream_count_windows": with_views(_WINDOW_SUMMARY.format(where=_FULL_ONLY), "windowed"),

@@ -150,7 +150,7 @@ def trip_status_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prediction_message(spark: SparkSession, sf: str) -> DataFrame:
-    windows = fill_missing(_windows(spark, sf, feature_aggregates()))
+    windows = fill_missing(_feature_windows(spark, sf))
     return round_doubles(prediction_messages(speed_rule(windows), "window_idx", "is_tail"))
 
 
@@ -218,8 +218,11 @@ def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf: str, aggregates, **options) -> DataFrame:
-    samples = with_magnitudes(fx.fx_stream(spark, sf))
-    return count_windows(samples, aggregates, order=["seq"], **options)
+    return count_windows(fx.fx_stream(spark, sf), aggregates, order=["seq"], **options)
+
+
+def _feature_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return _windows(spark, sf, feature_aggregates(), prepare=with_magnitudes)
 
 
 def _speed_aggregates() -> list:
@@ -240,7 +243,7 @@ def count_windows_long_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_features(spark: SparkSession, sf: str) -> DataFrame:
-    return round_doubles(fill_missing(_windows(spark, sf, feature_aggregates())))
+    return round_doubles(fill_missing(_feature_windows(spark, sf)))
 
 
 def latest_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,11 +265,9 @@ def consolidate_trips(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(consolidate(fx.fx_raw(spark, sf), fx.fx_done(spark, sf), fx.fx_labels(spark, sf)))
 
 
-def consolidate_trips_large_done(spark: SparkSession, sf: str) -> DataFrame:
-    """The plan taken once the consolidated ids are too many to broadcast; labels left null."""
-    pending = consolidate(
-        fx.fx_raw(spark, sf), fx.fx_done(spark, sf), fx.fx_labels(spark, sf), fill_label=False, broadcast_done=False
-    )
+def consolidate_trips_open_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips without a usable label stay unlabelled."""
+    pending = consolidate(fx.fx_raw(spark, sf), fx.fx_done(spark, sf), fx.fx_labels(spark, sf), fill_label=False)
     return round_doubles(pending)
 
 
@@ -495,7 +496,7 @@ def all_queries() -> dict[str, Query]:
         "ordered_samples": ordered_samples,
         "first_trips": first_trips,
         "consolidate_trips": consolidate_trips,
-        "consolidate_trips_large_done": consolidate_trips_large_done,
+        "consolidate_trips_open_labels": consolidate_trips_open_labels,
         "prediction_message": prediction_message,
         "stream_ingest": stream_ingest,
         "stream_count_windows": stream_count_windows_query,

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tripsense.operators.ordering import MAX_GROUP_ROWS, with_prefix
 
-BROADCAST_KEYS = 1_000_000
-
 # Columns shown on a trip card, two decimals.
 CARD_COLUMNS = (
     "avg_speed",
@@ -21,21 +19,14 @@ CARD_COLUMNS = (
 )
 
 
-def is_small(keys: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
-    """Whether a key list may be broadcast. Counting a stored table reads file footers only."""
-    return keys.count() <= limit
-
-
-def pending_samples(samples: DataFrame, done: DataFrame, *, broadcast: bool | None = None) -> DataFrame:
+def pending_samples(samples: DataFrame, done: DataFrame) -> DataFrame:
     """Samples of trips not consolidated yet.
 
     Both keys are primary-key columns. A null sample key is left out, as ``NOT IN`` would; a null in ``done``
-    is ignored.
+    is ignored. The planner broadcasts the ids while they are below its size threshold; beyond it the join is
+    by sort, where adaptive execution splits the side of a long trip.
     """
-    keys = done.select("bookingid")
-    if is_small(keys) if broadcast is None else broadcast:
-        keys = F.broadcast(keys)
-    return samples.filter("bookingid IS NOT NULL").join(keys, "bookingid", "left_anti")
+    return samples.filter("bookingid IS NOT NULL").join(done.select("bookingid"), "bookingid", "left_anti")
 
 
 def trip_lookup(trips: DataFrame, bookingid: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +27,13 @@ def count_windows(
     order: Sequence[str],
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per ``(bookingid, window_idx)`` with ``rows``, ``is_tail`` and the aggregates.
 
+    ``prepare`` adds columns the aggregates use; it runs after the exchange, so they are not shuffled.
+
     A row with ``r`` rows before it lies in windows ``ceil((r - size + 1) / step) .. floor(r / step)``. Past the
     end of a trip this also opens windows that the sliding buffer never would: window ``k > 0`` exists only
     when window ``k - 1`` was full, which is the case exactly when ``k`` holds at least ``size - step`` rows. So
@@ -42,7 +45,8 @@ def count_windows(
     last = F.floor(rank / step).cast("long")
     branches = prefix_branches(samples, ["bookingid"], order, out="_rank", max_rows=max_rows)
     grouped = [
-        branch.withColumn("window_idx", F.explode(F.sequence(first, last)))
+        (prepare(branch) if prepare else branch)
+        .withColumn("window_idx", F.explode(F.sequence(first, last)))
         .groupBy("bookingid", "window_idx")
         .agg(F.count(F.lit(1)).alias("rows"), *aggregates)
         for branch in branches

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tripsense.functions.features import FEATURE_COLUMNS, fill_missing, trip_features
 from tripsense.operators.labels import unique_labels, with_label
-from tripsense.operators.trips import is_small, pending_samples
 from tripsense.sources.files import read_labels_csv
 from tripsense.sources.tables import append_trips, read_raw, read_trips
 
@@ -17,28 +16,19 @@ def labelled_trips(samples: DataFrame, labels: DataFrame) -> DataFrame:
     return with_label(trip_features(samples), unique_labels(labels))
 
 
-def consolidate(
-    samples: DataFrame,
-    done: DataFrame,
-    labels: DataFrame,
-    *,
-    fill_label: bool = True,
-    broadcast_done: bool | None = None,
-) -> DataFrame:
+def consolidate(samples: DataFrame, done: DataFrame, labels: DataFrame, *, fill_label: bool = True) -> DataFrame:
     """Rows to append to the trip table.
 
-    Trips in ``done`` are left alone even when more samples have arrived. While their ids may be broadcast,
-    their samples are dropped during the scan. Beyond that they are dropped after the aggregation instead:
-    the result is the same, and one row per trip is shuffled against the id list rather than every sample.
+    Trips in ``done`` are left alone even when more samples have arrived. They are excluded after the
+    aggregation, by an anti-join on the grouping key. While their ids are small enough to broadcast, Catalyst
+    moves that join below the aggregate and their samples are dropped during the scan. Beyond that it stays
+    above: one row per trip meets the id list, on the partitioning the aggregate already has, and no sample is
+    shuffled for it.
 
     With ``fill_label`` a trip without a usable label counts as safe (0); otherwise it stays null.
     """
-    keys = done.select("bookingid")
-    small = is_small(keys) if broadcast_done is None else broadcast_done
-    if small:
-        features = trip_features(pending_samples(samples, keys, broadcast=True))
-    else:
-        features = trip_features(samples.filter("bookingid IS NOT NULL")).join(keys, "bookingid", "left_anti")
+    features = trip_features(samples.filter("bookingid IS NOT NULL"))
+    features = features.join(done.select("bookingid"), "bookingid", "left_anti")
     trips = with_label(features, unique_labels(labels))
     if not fill_label:
         trips = trips.na.fill(0.0, subset=list(FEATURE_COLUMNS))

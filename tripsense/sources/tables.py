@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripsense.operators.first_writer import first_writer_wins
-from tripsense.operators.trips import BROADCAST_KEYS
 from tripsense.sources.schemas import RAW_KEY, RAW_SCHEMA, TRIP_KEY, TRIP_SCHEMA, conform, optional
 
+# Most key rows of a batch that are broadcast against the table.
+BROADCAST_KEYS = 1_000_000
+
 # Trips are spread over this many directories, so a batch of few trips opens few of them.
 TRIP_BUCKETS = 16
 BUCKET = "trip_bucket"
@@ -65,20 +67,26 @@ def insert_raw(batch: DataFrame, path: str, arrival: Sequence[str]) -> int:
     """Insert samples under the primary key: earlier rows of the table or of the batch win.
 
     Copies inside the batch are reduced first, so what meets the table is unique by key and cannot be skewed.
-    The table is then scanned for those keys, in the directories the batch touches, and not shuffled as long as
-    the keys may be broadcast. Returns the number of distinct keys offered.
+    The table is then scanned for those keys, in the directories and the id range the batch touches, and not
+    shuffled as long as the keys may be broadcast. Returns the number of distinct keys offered.
     """
     rows = first_writer_wins(batch, RAW_KEY, arrival).withColumn(BUCKET, trip_bucket()).persist()
     try:
-        size = rows.count()
+        summary = rows.groupBy(BUCKET).agg(
+            F.count(F.lit(1)).alias("keys"), F.min("bookingid").alias("low"), F.max("bookingid").alias("high")
+        )
+        touched = summary.collect()  # at most TRIP_BUCKETS rows
+        size = sum(row["keys"] for row in touched)
         if size == 0:
             return 0
-        keys = rows.select(BUCKET, *RAW_KEY)
-        buckets = rows.select(BUCKET).distinct()  # at most TRIP_BUCKETS rows; prunes directories at run time
-        touched = _stored_raw(batch.sparkSession, path).join(F.broadcast(buckets), BUCKET, "left_semi")
-        present = touched.select(*RAW_KEY).join(
-            F.broadcast(keys) if size <= BROADCAST_KEYS else keys, list(RAW_KEY), "left_semi"
+        stored = (
+            _stored_raw(batch.sparkSession, path)
+            .filter(F.col(BUCKET).isin([row[BUCKET] for row in touched]))
+            .filter(F.col("bookingid").between(min(row["low"] for row in touched), max(row["high"] for row in touched)))
+            .select(*RAW_KEY)
         )
+        keys = rows.select(*RAW_KEY)
+        present = stored.join(F.broadcast(keys) if size <= BROADCAST_KEYS else keys, list(RAW_KEY), "left_semi")
         append_raw(rows.join(present, list(RAW_KEY), "left_anti"), path)
         return size
     finally:

@@ -64,6 +64,18 @@ def test_leading_column_types(spark, kind):
     assert all(row["id"] == row["rank"] for row in got.collect())
 
 
+def test_local_times_keep_their_order_over_a_clock_change(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(200).selectExpr(
+            "1 AS key", "id", "CAST('2024-03-10 00:00:00' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, id * 2) AS at"
+        )
+        got = with_prefix(df.repartition(3), ["key"], ["at"], out="rank", max_rows=8).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(row["id"] == row["rank"] for row in got)
+
+
 def test_blocks_spread_a_long_group_over_tasks(spark):
     df = spark.range(10_000).select(F.lit(1).alias("key"), F.col("id").alias("x"))
     ordinary, split = prefix_branches(df, ["key"], ["x"], out="rank", max_rows=500)

@@ -15,7 +15,8 @@ from tripsense.operators.windows import count_windows
 from tripsense.sources import messages, schemas, tables
 from tripsense.streaming.count_windows import stream_count_windows
 from tripsense.streaming.ingest import start_message_ingest
-from tripsense.streaming.latest import read_latest_state, start_latest_state
+from tripsense.operators.latest import latest_trip_state
+from tripsense.streaming.latest import prediction_feed, read_latest_state, start_latest_state
 from tripsense.streaming.predict import prediction_messages, start_predictions
 from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
 
@@ -157,6 +158,38 @@ def test_latest_state_over_batches(spark, folder):
     assert run([(2, 4, 7.0, None, None, True)], "c") == {1: (5, 2, 1), 2: (7, 1, None)}
 
 
+def test_prediction_feed_tells_null_from_absent(spark):
+    texts = [
+        (0, '{"bookingid": 1, "time": 3.0, "speed": 2.5, "label": 1}'),
+        (1, '{"bookingid": 1, "time": 4.0, "speed": 0}'),
+        (2, '{"bookingid": 2, "time": 4.0, "speed": 1, "label": 1}'),
+        (3, '{"bookingid": 2, "label": null}'),
+        (4, "broken"),
+    ]
+    feed = prediction_feed(spark.createDataFrame(texts, "offset long, value string"))
+    got = {r["bookingid"]: (r["speed"], r["time"], r["label"]) for r in
+           latest_trip_state(feed, "offset", label_present="has_label").collect()}
+    assert got == {1: (2.5, 4.0, 1), 2: (1.0, 4.0, None)}
+
+
+def test_served_model_is_swapped_between_batches(spark, folder):
+    """The scorer is asked at every batch, so a promotion shows from the next batch on."""
+    versions = iter([0.0, 1.0])
+
+    def scorer(features):
+        return features.withColumn("prediction", F.lit(next(versions)))
+
+    rows = [message(trip, s) for s in range(20) for trip in (1, 2)]
+    for name, part in (("a", rows[:20]), ("b", rows[20:])):
+        write_lines(folder("in") + f"/{name}.json", part)
+        start_predictions(
+            sample_stream(spark, folder("in")), scorer, parquet_batches(folder("p")), folder("c"), idle_seconds=None
+        ).awaitTermination()
+    schema = "bookingid long, window_idx long, is_tail boolean, time double, speed double, label int"
+    got = read_batches(spark, folder("p"), spark.createDataFrame([], schema).schema)
+    assert {(r["window_idx"], r["label"]) for r in got.collect()} == {(0, 0), (1, 1), (2, 1)}
+
+
 def test_window_parameters_are_checked(spark):
     with pytest.raises(ValueError):
         stream_count_windows(spark.createDataFrame([], "bookingid long, second double"), size=3, step=4)

@@ -175,6 +175,7 @@ _F1 = (
 def all_oracles() -> dict[str, str]:
     return {
         "ingest_csv": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
+        "ingest_batch": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
         "labels_csv": with_views("SELECT bookingid, label FROM once", "once"),
         "append_raw": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
         "append_trips": with_views(

@@ -20,6 +20,7 @@ from tripsense.operators.latest import latest_trip_state
 from tripsense.operators.windows import count_windows
 from tripsense.plans import training
 from tripsense.plans.consolidate import consolidate, labelled_trips
+from tripsense.plans.ingest import ingest_batch
 from tripsense.session import scratch_dir
 from tripsense.sources import schemas
 from tripsense.sources.files import read_labels_csv, read_samples_csv
@@ -83,6 +84,14 @@ def append_trips_table(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(read_trips(spark, path))
 
 
+def ingest_batch_query(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV drop to sample table, end to end."""
+    path = scratch_dir(spark, "ingest")
+    fx.fx_raw(spark, sf).withColumnRenamed("bookingid", "bookingID").write.csv(f"{path}/csv", header=True)
+    ingest_batch(spark, f"{path}/csv", f"{path}/raw")
+    return round_doubles(read_raw(spark, f"{path}/raw"))
+
+
 def raw_first_writer_wins(spark: SparkSession, sf: str) -> DataFrame:
     kept = first_writer_wins(fx.fx_dup(spark, sf), schemas.RAW_KEY, DUP_ARRIVAL)
     return round_doubles(kept.select("bookingid", "second", "speed"))
@@ -462,6 +471,7 @@ def resolve_model_version(spark: SparkSession, sf: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "ingest_csv": ingest_csv,
+        "ingest_batch": ingest_batch_query,
         "labels_csv": labels_csv,
         "append_raw": append_raw_table,
         "append_trips": append_trips_table,

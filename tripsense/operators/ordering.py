@@ -126,9 +126,15 @@ def prefix_branches(
 
 
 def _as_double(df: DataFrame, column: str) -> Column:
-    if df.schema[column].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
+    """A number that never decreases when the column increases; equal numbers only mean the same block."""
+    value, kind = F.col(column), df.schema[column].dataType.typeName()
+    if kind == "timestamp":
+        return F.unix_micros(value).cast("double")
+    if kind in ("date", "timestamp_ntz"):
+        days = F.unix_date(F.to_date(value)).cast("double") * 86_400
+        # Local time is taken apart rather than converted: a zone with a clock change would reorder it.
+        return days if kind == "date" else days + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    return value.cast("double")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

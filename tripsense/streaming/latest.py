@@ -8,9 +8,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripsense.operators.latest import latest_trip_state
+from tripsense.sources.messages import parse_messages
+from tripsense.sources.schemas import PREDICTION_SCHEMA
 from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
 
 
+def prediction_feed(messages: DataFrame) -> DataFrame:
+    """Prediction messages with ``has_label``, false when the JSON object has no such field at all.
+
+    Feed it to :func:`start_latest_state` with ``order="offset"``: messages are keyed by trip, so the offset
+    orders those of one trip.
+    """
+    parsed = parse_messages(messages, PREDICTION_SCHEMA)
+    present = F.coalesce(F.array_contains(F.json_object_keys("value"), "label"), F.lit(False))
+    return parsed.withColumn("has_label", present).filter("NOT rejected").drop("value", "rejected")
+
+
 def state_schema(order: str) -> T.StructType:
     return T.StructType(
         [

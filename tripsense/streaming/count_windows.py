@@ -20,8 +20,26 @@ _CHUNK_WINDOWS = 10_000
 
 
 def _rows(bookingid: int, first: int, payloads: np.ndarray, per_window: int, is_tail: bool) -> pd.DataFrame:
-    windows = np.arange(len(payloads)) // per_window + first
-    return pd.DataFrame({"bookingid": bookingid, "window_idx": windows, "is_tail": is_tail, "payload": payloads})
+    rows = len(payloads)
+    return pd.DataFrame(
+        {
+            "bookingid": np.full(rows, bookingid),
+            "window_idx": np.arange(rows) // per_window + first,
+            "is_tail": np.full(rows, is_tail),
+            "payload": payloads,
+        },
+        copy=False,
+    )
+
+
+def _in_order(batches: list[pd.DataFrame], order: Sequence[str]) -> np.ndarray:
+    """Payloads sorted by the ordering columns (null and NaN last), on arrays: most trips bring a few rows."""
+
+    def column(name: str) -> np.ndarray:
+        parts = [batch[name].to_numpy() for batch in batches]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    return column("payload")[np.lexsort([column(name) for name in reversed(order)])]
 
 
 def _buffering(order: Sequence[str], size: int, step: int, idle_ms: int | None):
@@ -35,9 +53,8 @@ def _buffering(order: Sequence[str], size: int, step: int, idle_ms: int | None):
             return
 
         # A shuffle leaves the rows of a trip in no order. Their number is limited by the source's trigger limit.
-        arrived = pd.concat([batch[[*order, "payload"]] for batch in batches], ignore_index=True)
-        arrived = arrived.sort_values(list(order), kind="stable")
-        held = np.concatenate([np.array(buffer, dtype=object), arrived["payload"].to_numpy(dtype=object)])
+        arrived = _in_order(list(batches), order)
+        held = np.concatenate([np.array(buffer, dtype=object), arrived]) if len(buffer) else arrived
         full = (len(held) - size) // step + 1 if len(held) >= size else 0
         state.update((next_window + full, held[full * step:].tolist()))
         if idle_ms is not None:

@@ -5,6 +5,7 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from tripsense.catalog.queries import speed_rule
 from tripsense.functions.features import feature_aggregates, fill_missing, with_magnitudes
 from tripsense.operators.windows import count_windows
 from tripsense.sources import messages, schemas, tables
-from tripsense.streaming.count_windows import stream_count_windows
+from tripsense.streaming.count_windows import _advance, stream_count_windows
 from tripsense.streaming.ingest import start_message_ingest
 from tripsense.operators.latest import latest_trip_state
 from tripsense.streaming.latest import prediction_feed, read_latest_state, start_latest_state
@@ -158,6 +159,75 @@ def test_latest_state_over_batches(spark, folder):
     assert run([(2, 4, 7.0, None, None, True)], "c") == {1: (5, 2, 1), 2: (7, 1, None)}
 
 
+class FakeState:
+    """Enough of a group state to drive the state function without a stream."""
+
+    def __init__(self):
+        self.value, self.now, self.due, self.hasTimedOut = None, 0, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        assert all(type(item) in (int, str) for column in value for item in column)
+        self.value = value
+
+    def remove(self):
+        self.value = self.due = None
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def setTimeoutDuration(self, duration):
+        assert duration > 0
+        self.due = self.now + duration
+
+
+@pytest.mark.parametrize("size, step", [(10, 5), (4, 4), (6, 1), (1, 1), (5, 3)])
+def test_state_function_equals_replayed_buffers_with_idle_trips(size, step):
+    """Random batches of several trips against one plain buffer per trip."""
+    rng = random.Random(size * 31 + step)
+    idle_ms = 3000
+    advance, state = _advance(("second",), size, step, idle_ms), FakeState()
+    buffers, numbers, seen, expected, got = {}, {}, {}, [], []
+
+    def forget_idle(now):
+        for trip in [t for t, last in seen.items() if last < now - idle_ms]:
+            if buffers[trip]:
+                expected.append((trip, numbers[trip], True, buffers[trip]))
+            for table in (buffers, numbers, seen):
+                del table[trip]
+
+    def run(batches):
+        for frame in advance((0,), iter(batches), state):
+            for (trip, window, tail), part in frame.groupby(["bookingid", "window_idx", "is_tail"], sort=False):
+                got.append((trip, window, tail, list(part["payload"])))
+
+    for now in range(1000, 60_000, 1000):
+        state.now, state.hasTimedOut = now, False
+        arrived = [(rng.randint(1, 4), now + rng.random(), f"{now}-{i}") for i in range(rng.choice([0, 0, 1, 7, 25]))]
+        if rng.random() < 0.7:
+            arrived = [row for row in arrived if row[0] != 2]
+        if arrived:
+            for trip, _, payload in sorted(arrived, key=lambda r: r[1]):
+                buffers.setdefault(trip, []).append(payload)
+                numbers.setdefault(trip, 0)
+                seen[trip] = now
+                if len(buffers[trip]) == size:
+                    expected.append((trip, numbers[trip], False, buffers[trip]))
+                    buffers[trip], numbers[trip] = buffers[trip][step:], numbers[trip] + 1
+            frame = pd.DataFrame(arrived, columns=["bookingid", "second", "payload"])
+            cut = rng.randint(0, len(frame))
+            run([part for part in (frame[:cut], frame[cut:]) if len(part)])
+            forget_idle(now)
+        elif state.due is not None and state.due <= now:
+            state.hasTimedOut = True
+            run([])
+            forget_idle(now)
+    assert sorted(got) == sorted(expected)
+    assert any(tail for _, _, tail, _ in got) == (size > 1)
+
+
 def test_prediction_feed_tells_null_from_absent(spark):
     texts = [
         (0, '{"bookingid": 1, "time": 3.0, "speed": 2.5, "label": 1}'),

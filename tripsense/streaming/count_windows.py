@@ -1,8 +1,13 @@
-"""Count windows on a stream: a short per-trip buffer in keyed state, with an idle flush."""
+"""Count windows on a stream: short per-trip buffers in keyed state, with an idle flush.
+
+State is keyed by a hash bucket of the trip id rather than by the trip. Calling into Python costs the same for a
+bucket of a hundred trips as for one trip, and inside a bucket all trips advance together as arrays.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,58 +17,106 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP, check_window
 
-_STATE = "next_window long, buffer array<string>"
+# Aim for about a hundred live trips per bucket; the number is fixed once a stream has a checkpoint.
+STATE_BUCKETS = 1024
+
+_STATE = "trips array<long>, next_window array<long>, last_seen array<long>, held array<long>, buffer array<string>"
 _OUTPUT = "bookingid long, window_idx long, is_tail boolean, payload string"
 
-# Rows handed back to the JVM at a time.
+# Windows handed back to the JVM at a time.
 _CHUNK_WINDOWS = 10_000
 
 
-def _rows(bookingid: int, first: int, payloads: np.ndarray, per_window: int, is_tail: bool) -> pd.DataFrame:
-    rows = len(payloads)
-    return pd.DataFrame(
-        {
-            "bookingid": np.full(rows, bookingid),
-            "window_idx": np.arange(rows) // per_window + first,
-            "is_tail": np.full(rows, is_tail),
-            "payload": payloads,
-        },
-        copy=False,
-    )
-
-
-def _in_order(batches: list[pd.DataFrame], order: Sequence[str]) -> np.ndarray:
-    """Payloads sorted by the ordering columns (null and NaN last), on arrays: most trips bring a few rows."""
-
-    def column(name: str) -> np.ndarray:
-        parts = [batch[name].to_numpy() for batch in batches]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
-
-    return column("payload")[np.lexsort([column(name) for name in reversed(order)])]
-
-
-def _buffering(order: Sequence[str], size: int, step: int, idle_ms: int | None):
+@dataclass
+class _Bucket:
+    """Trips in ascending order, and their buffered payloads back to back in the same order."""
+
+    trips: np.ndarray
+    next_window: np.ndarray
+    last_seen: np.ndarray
+    held: np.ndarray
+    buffer: np.ndarray
+
+    @classmethod
+    def restore(cls, state: GroupState) -> _Bucket:
+        *numbers, buffer = state.get if state.exists else ([], [], [], [], [])
+        return cls(*(np.array(column, dtype=np.int64) for column in numbers), np.array(buffer, dtype=object))
+
+    def row(self) -> tuple:
+        return tuple(part.tolist() for part in (self.trips, self.next_window, self.last_seen, self.held, self.buffer))
+
+    def add(self, ids: np.ndarray, payloads: np.ndarray, now: int) -> None:
+        """Append arrived rows, already in order within each trip, behind what their trips hold."""
+        known = np.union1d(self.trips, ids)
+        owner = np.searchsorted(known, np.concatenate([np.repeat(self.trips, self.held), ids]))
+        before = np.searchsorted(known, self.trips)
+        next_window, last_seen = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        next_window[before], last_seen[before] = self.next_window, self.last_seen
+        last_seen[np.searchsorted(known, ids)] = now
+        by_trip = np.argsort(owner, kind="stable")
+        self.trips, self.next_window, self.last_seen = known, next_window, last_seen
+        self.held = np.bincount(owner, minlength=len(known))
+        self.buffer = np.concatenate([self.buffer, payloads])[by_trip]
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.trips)), self.held)
+
+    def keep(self, rows: np.ndarray, trips: np.ndarray) -> None:
+        """Keep the marked rows and trips; rows of a dropped trip must not be marked."""
+        self.held = np.bincount(self.owner()[rows], minlength=len(self.trips))[trips]
+        self.buffer = self.buffer[rows]
+        self.trips, self.next_window, self.last_seen = self.trips[trips], self.next_window[trips], self.last_seen[trips]
+
+    def take_full(self, size: int, step: int) -> Iterator[pd.DataFrame]:
+        """Emit every full window and drop the rows no later window needs."""
+        start = np.cumsum(self.held) - self.held
+        full = np.where(self.held >= size, (self.held - size) // step + 1, 0)
+        trip = np.repeat(np.arange(len(full)), full)
+        number = np.arange(len(trip)) - np.repeat(np.cumsum(full) - full, full)
+        for at in range(0, len(trip), _CHUNK_WINDOWS):
+            some, k = trip[at:at + _CHUNK_WINDOWS], number[at:at + _CHUNK_WINDOWS]
+            rows = ((start[some] + k * step)[:, None] + np.arange(size)).ravel()
+            yield _frame(np.repeat(self.trips[some], size), np.repeat(self.next_window[some] + k, size), False, self.buffer[rows])
+        owner = self.owner()
+        position = np.arange(len(owner)) - start[owner]
+        self.next_window = self.next_window + full
+        self.keep(position >= full[owner] * step, np.ones(len(full), bool))
+
+    def take_idle(self, before: int) -> Iterator[pd.DataFrame]:
+        """Emit what is left of trips last seen before the given time, and forget them."""
+        idle = self.last_seen < before
+        owner = self.owner()
+        rows = idle[owner]
+        if rows.any():
+            yield _frame(self.trips[owner[rows]], self.next_window[owner[rows]], True, self.buffer[rows])
+        self.keep(~rows, ~idle)
+
+
+def _frame(trips: np.ndarray, windows: np.ndarray, is_tail: bool, payloads: np.ndarray) -> pd.DataFrame:
+    tail = np.full(len(trips), is_tail)
+    return pd.DataFrame({"bookingid": trips, "window_idx": windows, "is_tail": tail, "payload": payloads}, copy=False)
+
+
+def _advance(order: Sequence[str], size: int, step: int, idle_ms: int | None):
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        bookingid = key[0]
-        next_window, buffer = state.get if state.exists else (0, [])
-        if state.hasTimedOut:
+        bucket = _Bucket.restore(state)
+        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
+        if not state.hasTimedOut:
+            # A shuffle leaves rows in no order. Their number is limited by the source's trigger limit.
+            arrived = list(batches)
+            columns = {name: np.concatenate([batch[name].to_numpy() for batch in arrived])
+                       for name in ("bookingid", "payload", *order)}
+            sequence = np.lexsort([columns[name] for name in (*reversed(order), "bookingid")])
+            bucket.add(columns["bookingid"][sequence], columns["payload"][sequence], now)
+            yield from bucket.take_full(size, step)
+        if idle_ms is not None:
+            yield from bucket.take_idle(now - idle_ms)
+        if len(bucket.trips) == 0:
             state.remove()
-            if len(buffer):
-                yield _rows(bookingid, next_window, np.array(buffer, dtype=object), len(buffer), True)
             return
-
-        # A shuffle leaves the rows of a trip in no order. Their number is limited by the source's trigger limit.
-        arrived = _in_order(list(batches), order)
-        held = np.concatenate([np.array(buffer, dtype=object), arrived]) if len(buffer) else arrived
-        full = (len(held) - size) // step + 1 if len(held) >= size else 0
-        state.update((next_window + full, held[full * step:].tolist()))
+        state.update(bucket.row())
         if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-
-        for start in range(0, full, _CHUNK_WINDOWS):
-            stop = min(full, start + _CHUNK_WINDOWS)
-            positions = np.arange(start, stop)[:, None] * step + np.arange(size)
-            yield _rows(bookingid, next_window + start, held[positions.ravel()], size, False)
+            state.setTimeoutDuration(int(bucket.last_seen.min()) + idle_ms + 1 - now)
 
     return advance
 
@@ -75,16 +128,17 @@ def stream_count_windows(
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
     idle_seconds: float | None = IDLE_SECONDS,
+    buckets: int = STATE_BUCKETS,
 ) -> DataFrame:
     """Samples tagged with ``window_idx`` and ``is_tail``; a sample appears once per window it is in.
 
-    State per trip is a counter and fewer than ``size`` samples. Samples travel through the state as JSON text
-    packed and unpacked on the JVM, so the Python side handles opaque values and null stays apart from NaN.
+    State per trip is a counter, a time and fewer than ``size`` samples. Samples travel through the state as JSON
+    text packed and unpacked on the JVM, so the Python side handles opaque values and null stays apart from NaN.
 
-    Within a micro-batch a trip's samples are taken by ``order``; across batches, as they arrive. After
-    ``idle_seconds`` without a sample the rest of the trip goes out as one short window and the trip is
-    forgotten; timers fire without new input. ``None`` turns that off, which a run over a fixed set of files
-    needs in order to end by itself.
+    Within a micro-batch a trip's samples are taken by ``order`` (numeric columns); across batches, as they
+    arrive. More than ``idle_seconds`` after its last sample the rest of a trip goes out as one short window and
+    the trip is forgotten; timers fire without new input. ``None`` turns that off, which a run over a fixed set
+    of files needs in order to end by itself.
 
     Rows without a trip id belong in a reject table and must not reach this operator.
     """
@@ -94,10 +148,13 @@ def stream_count_windows(
     fields = [field for field in samples.schema.fields if field.name != "bookingid"]
     payload_type = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
     packed = samples.select(
-        "bookingid", *order, F.to_json(F.struct(*[field.name for field in fields])).alias("payload")
+        F.pmod(F.xxhash64("bookingid"), F.lit(buckets)).alias("bucket"),
+        "bookingid",
+        *order,
+        F.to_json(F.struct(*[field.name for field in fields])).alias("payload"),
     )
-    windows = packed.groupBy("bookingid").applyInPandasWithState(
-        _buffering(tuple(order), size, step, idle_ms), _OUTPUT, _STATE, "append", timeout
+    windows = packed.groupBy("bucket").applyInPandasWithState(
+        _advance(tuple(order), size, step, idle_ms), _OUTPUT, _STATE, "append", timeout
     )
     return windows.withColumn("_sample", F.from_json("payload", payload_type)).select(
         "bookingid", "window_idx", "is_tail", "_sample.*"

@@ -10,6 +10,7 @@ from tripsense import session
 from tripsense.plans.consolidate import consolidate_job
 from tripsense.plans.ingest import ingest_batch
 from tripsense.sources import files, jdbc, messages, schemas, tables
+from tripsense.streaming.predict import topic_messages
 
 
 def write(path, text):
@@ -130,8 +131,24 @@ def test_topic_options():
     assert messages.topic_sink_options("b:9092", "prediction")["topic"] == "prediction"
 
 
+def test_predictions_for_a_topic(spark):
+    rows = spark.createDataFrame(
+        [(5, 2, False, 3.0, 2.5, 1)], "bookingid long, window_idx long, is_tail boolean, time double, speed double, label int"
+    )
+    (row,) = topic_messages(rows, 7).collect()
+    assert (row["key"], row["value"]) == ("5", '{"bookingid":5,"time":3.0,"speed":2.5,"label":1}')
+    assert {h["key"]: bytes(h["value"]).decode() for h in row["headers"]} == {"batch_id": "7", "window_idx": "2"}
+
+
+def test_shuffle_options():
+    few = session.shuffle_options(10 * 1024**3)
+    assert few["spark.sql.shuffle.partitions"] == "200"
+    many = session.shuffle_options(100 * 1024**4)
+    assert int(many["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // session.SHUFFLE_PARTITION_BYTES
+
+
 def test_jdbc_options():
-    options = jdbc.jdbc_options("jdbc:postgresql://h:5432/postgres", jdbc.TODO_QUERY, "u", "p")
+    options = jdbc.jdbc_options("jdbc:postgresql://h:5432/postgres", jdbc.pending_query("raw", "trips"), "u", "p")
     options |= jdbc.partition_options("bookingid", 0, 1000, 8)
     assert options["dbtable"].startswith("(SELECT") and options["numPartitions"] == "8"
     for bad in [(0, 0, 4), (0, 10, 0)]:

@@ -35,6 +35,20 @@ def session_options() -> dict[str, str]:
     }
 
 
+# A sort or aggregation of this much data runs in an executor core's share of memory with little spilling.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_options(shuffled_bytes: int, *, least: int = 200) -> dict[str, str]:
+    """Shuffle partitions for a given amount of shuffled data.
+
+    Adaptive execution merges partitions that turn out small and splits skewed join sides, but it does not add
+    partitions to an aggregation or a sort; those have to be planned.
+    """
+    partitions = max(least, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(partitions)}
+
+
 def build_session(app_name: str, *, master: str | None = None, options: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

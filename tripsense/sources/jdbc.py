@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
-TODO_QUERY = (
-    "(SELECT r.* FROM telematics_raw r"
-    " WHERE NOT EXISTS (SELECT 1 FROM telematics t WHERE t.bookingid = r.bookingid)) AS todo"
-)
+def pending_query(raw_table: str, trips_table: str) -> str:
+    """A ``dbtable`` value that leaves the exclusion of consolidated trips to the database."""
+    return (
+        f"(SELECT r.* FROM {raw_table} r WHERE NOT EXISTS"
+        f" (SELECT 1 FROM {trips_table} t WHERE t.bookingid = r.bookingid)) AS pending"
+    )
 
 
 def jdbc_options(

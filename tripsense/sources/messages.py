@@ -63,7 +63,3 @@ def encode_messages(df: DataFrame, *, key: str | None = None) -> DataFrame:
     if key:
         columns.insert(0, F.col(key).cast("string").alias("key"))
     return df.select(*columns)
-
-
-def write_topic(df: DataFrame, options: dict[str, str], *, key: str = "bookingid") -> None:
-    encode_messages(df, key=key).write.format("kafka").options(**options).save()

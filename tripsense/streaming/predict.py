@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripsense.functions.features import fill_missing, trip_features
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP
+from tripsense.sources.schemas import PREDICTION_SCHEMA
 from tripsense.streaming.count_windows import stream_count_windows
 from tripsense.streaming.sinks import BatchWriter, start_batches
 
@@ -28,6 +29,34 @@ def prediction_messages(scored: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def topic_messages(messages: DataFrame, batch_id: int) -> DataFrame:
+    """Key, value and headers for the prediction topic.
+
+    The key keeps a trip's predictions in order. A topic sink may repeat a batch after a failure; the headers
+    carry what a reader needs to recognise a message it has seen.
+    """
+    headers = F.array(
+        *[
+            F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
+            for name, value in (("batch_id", F.lit(batch_id)), ("window_idx", F.col("window_idx")))
+        ]
+    )
+    return messages.select(
+        F.col("bookingid").cast("string").alias("key"),
+        F.to_json(F.struct(*PREDICTION_SCHEMA.names)).alias("value"),
+        headers.alias("headers"),
+    )
+
+
+def topic_batches(options: dict[str, str]) -> BatchWriter:
+    """Publish predictions; ``options`` as from :func:`tripsense.sources.messages.topic_sink_options`."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        topic_messages(batch, batch_id).write.format("kafka").options(**options).option("includeHeaders", True).save()
+
+    return write
+
+
 def window_features(window_samples: DataFrame) -> DataFrame:
     """The trip features per window, missing values filled exactly as for training."""
     return fill_missing(trip_features(window_samples, WINDOW_KEYS))

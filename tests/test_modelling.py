@@ -149,7 +149,8 @@ def test_training_registers_and_serving_follows(spark, trips, folder):
     assert first["training_data_count"] + first["testing_data_count"] == 240
     assert 0 <= first["auc"] <= 1
 
-    follower = ModelFollower(registry, "trips")
+    follower, patient = ModelFollower(registry, "trips", check_seconds=0), ModelFollower(registry, "trips", check_seconds=3600)
+    patient(trips)
     before = follower(trips).select("bookingid", "prediction")
     loaded = registry.load("trips")
     assert loaded.metadata["feature_columns"] == list(prepare.MODEL_FEATURES)
@@ -162,6 +163,11 @@ def test_training_registers_and_serving_follows(spark, trips, folder):
     registry.set_alias("trips", "2")
     follower(trips)
     assert follower.current.version == "2"
+    patient(trips)
+    assert patient.current.version == "1"
+    patient.serve("trips")
+    patient(trips)
+    assert patient.current.version == "2"
     assert as_set(registry.entries().select("version", F.coalesce("alias", F.lit("")))) == [("1", ""), ("2", "champion")]
     with pytest.raises(LookupError):
         registry.load("trips", "7")

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import prefix_branches, with_prefix
+from tripsense.operators.ordering import group_limit, prefix_branches, with_prefix
 
 
 def spark_order(value):
@@ -85,6 +85,11 @@ def test_blocks_spread_a_long_group_over_tasks(spark):
     assert split.filter("rank <> x").count() == 0
 
 
+def test_small_tables_skip_the_look_at_their_groups(spark):
+    assert group_limit(spark.range(5), 5) is None
+    assert group_limit(spark.range(6), 5) == 5
+
+
 def test_one_exchange_when_nothing_is_oversized(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("key"), F.col("id").alias("x"))
     (branch,) = prefix_branches(df, ["key"], ["x"], out="rank")

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripsense.operators.ordering import with_prefix
+from tripsense.operators.ordering import group_limit, with_prefix
 
 _CHANNELS = {
     "speed": "l_quantity * (l_partkey % 5) * PI() / 16",
@@ -55,7 +55,7 @@ _STREAM_COLUMNS = {
 }
 _STREAM = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _STREAM_COLUMNS.items()) + " FROM events"
 _SCORES = (
-    "SELECT l_orderkey AS id, l_returnflag AS model, l_quantity AS score,"
+    "SELECT l_orderkey AS id, l_returnflag AS model, l_quantity AS score, l_extendedprice AS fine_score,"
     " CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS prediction,"
     " CASE WHEN l_linenumber > 3 THEN 1 ELSE 0 END AS label FROM lineitem"
 )
@@ -90,7 +90,8 @@ def _view(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
 
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples, trips = parts; the position in the trip comes from the library's own split ranking."""
-    ranked = with_prefix(table(spark, sf_dir, "lineitem"), ["l_partkey"], _RAW_ORDER, out="_rank")
+    lines = table(spark, sf_dir, "lineitem")
+    ranked = with_prefix(lines, ["l_partkey"], _RAW_ORDER, out="_rank", max_rows=group_limit(lines))
     return ranked.selectExpr(
         "l_partkey AS bookingid",
         "CAST(20 * (1 + l_partkey % 4) * _rank AS DOUBLE) AS second",

@@ -123,6 +123,15 @@ _LATEST = (
 )
 
 
+_SEQUENCES = (
+    "SELECT bookingid, chunk, CAST(COUNT(*) AS INTEGER) AS records, MIN(second) AS first_second,"
+    f" MAX(second) AS last_second, {r('ARG_MIN(speed, second)', 'first_speed')},"
+    f" {r('ARG_MAX(speed, second)', 'last_speed')} FROM (SELECT bookingid, second, speed,"
+    f" (ROW_NUMBER() OVER (PARTITION BY bookingid ORDER BY second) - 1) // {CHUNK_ROWS} AS chunk"
+    " FROM fx_raw) t GROUP BY bookingid, chunk"
+)
+
+
 def _consolidated(label: str) -> str:
     return (
         f"SELECT bookingid, {_ROUNDED}, {label} AS label FROM (SELECT bookingid, {_FILLED}, label FROM labelled"
@@ -251,14 +260,8 @@ def all_oracles() -> dict[str, str]:
             ),
             "trips",
         ),
-        "trip_sequences": with_views(
-            "SELECT bookingid, chunk, CAST(COUNT(*) AS INTEGER) AS records, MIN(second) AS first_second,"
-            f" MAX(second) AS last_second, {r('ARG_MIN(speed, second)', 'first_speed')},"
-            f" {r('ARG_MAX(speed, second)', 'last_speed')} FROM (SELECT bookingid, second, speed,"
-            f" (ROW_NUMBER() OVER (PARTITION BY bookingid ORDER BY second) - 1) // {CHUNK_ROWS} AS chunk"
-            " FROM fx_raw) t GROUP BY bookingid, chunk",
-            "fx_raw",
-        ),
+        "trip_sequences": with_views(_SEQUENCES, "fx_raw"),
+        "trip_sequences_long_trips": with_views(_SEQUENCES, "fx_raw"),
         "count_windows": with_views(_WINDOW_SUMMARY.format(where=""), "windowed"),
         "count_windows_long_trips": with_views(_WINDOW_SUMMARY.format(where=""), "windowed"),
         "window_features": with_views(
@@ -320,6 +323,7 @@ def all_oracles() -> dict[str, str]:
             "trips",
         ),
         "eval_auc": with_views(_AUC, "fx_scores"),
+        "eval_auc_fine_scores": with_views(_AUC.replace("score", "fine_score").replace("fx_fine_scores", "fx_scores"), "fx_scores"),
         "eval_accuracy": with_views(
             "SELECT model, ROUND(AVG(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6) AS accuracy"
             " FROM fx_scores GROUP BY model",

@@ -17,6 +17,7 @@ from tripsense.modelling.registry import ModelRegistry, resolve_version
 from tripsense.operators import dashboard, labels, trips
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.operators.latest import latest_trip_state
+from tripsense.operators.ordering import group_limit
 from tripsense.operators.windows import count_windows
 from tripsense.plans import training
 from tripsense.plans.consolidate import consolidate, labelled_trips
@@ -36,6 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOOKUP_ID = 7
 # Below the length of most trips of the event table, so that both ways of ranking are checked.
 SPLIT_ROWS = 60
+SPLIT_SCORES = 2_000
 CHUNK_ROWS = 20
 STD_SPEED_LIMIT = 8.0
 
@@ -207,8 +209,8 @@ def trip_safety_counts(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.trip_safety_counts(_labelled(spark, sf))
 
 
-def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = trips.trip_sequences(fx.fx_raw(spark, sf), ("speed",), chunk_rows=CHUNK_ROWS)
+def _sequences(samples: DataFrame, max_rows: int | None) -> DataFrame:
+    chunks = trips.trip_sequences(samples, ("speed",), chunk_rows=CHUNK_ROWS, max_rows=max_rows)
     first, last = F.element_at("records", 1), F.element_at("records", -1)
     return round_doubles(
         chunks.select(
@@ -223,11 +225,22 @@ def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    samples = fx.fx_raw(spark, sf)
+    return _sequences(samples, group_limit(samples))
+
+
+def trip_sequences_long_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return _sequences(fx.fx_raw(spark, sf), SPLIT_ROWS // 2)
+
+
 # windows, sorts, top-k
 
 
 def _windows(spark: SparkSession, sf: str, aggregates, **options) -> DataFrame:
-    return count_windows(fx.fx_stream(spark, sf), aggregates, order=["seq"], **options)
+    samples = fx.fx_stream(spark, sf)
+    options.setdefault("max_rows", group_limit(samples))
+    return count_windows(samples, aggregates, order=["seq"], **options)
 
 
 def _feature_windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,6 +467,12 @@ def eval_auc(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(evaluate.area_under_roc(fx.fx_scores(spark, sf), "score", ["model"]))
 
 
+def eval_auc_fine_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearly as many scores as rows, so that the running counts are put together from blocks."""
+    areas = evaluate.area_under_roc(fx.fx_scores(spark, sf), "fine_score", ["model"], max_rows=SPLIT_SCORES)
+    return round_doubles(areas)
+
+
 def eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     matrix = evaluate.confusion_matrix(fx.fx_scores(spark, sf), ["model"])
     return round_doubles(evaluate.accuracy(matrix, ["model"]))
@@ -499,6 +518,7 @@ def all_queries() -> dict[str, Query]:
         "trip_duration_buckets": _panel(dashboard.trip_duration_buckets),
         "trip_dashboard": _panel(dashboard.trip_dashboard),
         "trip_sequences": trip_sequences,
+        "trip_sequences_long_trips": trip_sequences_long_trips,
         "count_windows": count_windows_query,
         "count_windows_long_trips": count_windows_long_trips,
         "window_features": window_features,
@@ -520,6 +540,7 @@ def all_queries() -> dict[str, Query]:
         "pearson_selection": pearson_selection,
         "rank_features": rank_features,
         "eval_auc": eval_auc,
+        "eval_auc_fine_scores": eval_auc_fine_scores,
         "eval_accuracy": eval_accuracy,
         "eval_f1": eval_f1,
         "resolve_model_version": resolve_model_version,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -93,19 +94,28 @@ class ModelRegistry:
 
 
 class ModelFollower:
-    """Scores with the version currently served; a promoted version is picked up at the next batch."""
+    """Scores with the version currently served.
 
-    def __init__(self, registry: ModelRegistry, name: str):
+    The registry is asked again at the first batch after ``check_seconds``; a model is loaded only when another
+    version is to be served.
+    """
+
+    def __init__(self, registry: ModelRegistry, name: str, *, check_seconds: float = 10.0):
         self.registry = registry
         self.name = name
+        self.check_seconds = check_seconds
         self.current: LoadedModel | None = None
+        self._checked = float("-inf")
 
     def serve(self, name: str) -> None:
-        """Switch to another model name."""
+        """Switch to another model name, from the next batch on."""
         self.name = name
+        self._checked = float("-inf")
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        version = self.registry.resolve(self.name)
-        if self.current is None or (self.current.name, self.current.version) != (self.name, version):
-            self.current = self.registry.load(self.name, version)
+        if time.monotonic() - self._checked >= self.check_seconds:
+            version = self.registry.resolve(self.name)
+            if self.current is None or (self.current.name, self.current.version) != (self.name, version):
+                self.current = self.registry.load(self.name, version)
+            self._checked = time.monotonic()
         return self.current(df)

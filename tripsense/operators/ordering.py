@@ -20,6 +20,14 @@ MAX_GROUP_ROWS = 1_000_000
 OVERSPLIT = 8
 
 
+def group_limit(table: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> int | None:
+    """``max_rows`` for the functions below, or ``None`` when the table has no more rows than that altogether.
+
+    For a stored table the count comes from file footers, which is less than looking at the groups.
+    """
+    return None if table.count() <= max_rows else max_rows
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``keys`` in which null matches null; keeps the left spelling of the keys."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})

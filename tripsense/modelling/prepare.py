@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tripsense.functions.scalars import SPLIT_BUCKETS, split_bucket
 

@@ -269,7 +269,7 @@ class Layouts:
     def wrap(self, tags: list[str], names: list[str], inner: str, mark: int) -> str:
         """An element that says what it is by its tag, by a name, or by both."""
         tag = self.rng.choice(tags)
-        named = tag == "div" or self.rng.random() < 0.5
+        named = tag in ("div", "section", "ol") or self.rng.random() < 0.5
         kind = self.rng.choice(["class", "class", "id"])
         extra = self.rng.choice(["", "", " box", " col-4", " wrap", " clearfix"]) if kind == "class" else ""
         attribute = f' {kind}="{self.rng.choice(names)}{extra}"' if named else ""

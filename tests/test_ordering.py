@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import group_limit, prefix_branches, with_prefix
+from tripsense.operators.ordering import with_prefix
 
 
 def spark_order(value):
@@ -25,9 +25,8 @@ def expected_ranks(rows):
     return ranks
 
 
-@pytest.mark.parametrize("max_rows", [None, 1_000_000, 40, 7, 1])
-@pytest.mark.parametrize("levels", [1, 2])
-def test_ranks_do_not_depend_on_how_groups_are_split(spark, max_rows, levels):
+@pytest.mark.parametrize("partitions", [None, 1, 7, 60])
+def test_ranks_do_not_depend_on_how_groups_are_split(spark, partitions):
     random.seed(3)
     odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
     rows = [("hot", random.choice([random.gauss(0, 1), random.random() * 1e6, 5.0]), 0) for _ in range(400)]
@@ -37,7 +36,7 @@ def test_ranks_do_not_depend_on_how_groups_are_split(spark, max_rows, levels):
     random.shuffle(rows)
     rows = [(key, None if value is None else value + 0.0, i) for i, (key, value, _) in enumerate(rows)]
     df = spark.createDataFrame(rows, "key string, x double, id long").repartition(5)
-    got = with_prefix(df, ["key"], ["x", "id"], out="rank", max_rows=max_rows, levels=levels)
+    got = with_prefix(df, ["key"], ["x", "id"], out="rank", partitions=partitions)
     assert {row["id"]: row["rank"] for row in got.collect()} == expected_ranks(rows)
     assert set(got.columns) == {"key", "x", "id", "rank"}
 
@@ -45,8 +44,8 @@ def test_ranks_do_not_depend_on_how_groups_are_split(spark, max_rows, levels):
 def test_running_sums_over_the_whole_table(spark):
     rows = [(i * 0.5, i) for i in range(500)]
     df = spark.createDataFrame(rows, "x double, weight long").repartition(4)
-    plain = with_prefix(df, [], ["x"], value="weight", out="before", max_rows=None)
-    split = with_prefix(df, [], ["x"], value="weight", out="before", max_rows=30)
+    plain = with_prefix(df, [], ["x"], value="weight", out="before", partitions=1)
+    split = with_prefix(df, [], ["x"], value="weight", out="before", partitions=20)
     expected = {x: sum(range(w)) for x, w in rows}
     assert {r["x"]: r["before"] for r in plain.collect()} == expected
     assert {r["x"]: r["before"] for r in split.collect()} == expected
@@ -60,7 +59,7 @@ def test_leading_column_types(spark, kind):
         (F.col("id").cast("long") if kind == "long" else
          F.timestamp_seconds(F.col("id") * 90_000).cast(kind)).alias("at"),
     )
-    got = with_prefix(df.repartition(3), ["key"], ["at"], out="rank", max_rows=20)
+    got = with_prefix(df.repartition(3), ["key"], ["at"], out="rank", partitions=10)
     assert all(row["id"] == row["rank"] for row in got.collect())
 
 
@@ -70,28 +69,27 @@ def test_local_times_keep_their_order_over_a_clock_change(spark):
         df = spark.range(200).selectExpr(
             "1 AS key", "id", "CAST('2024-03-10 00:00:00' AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, id * 2) AS at"
         )
-        got = with_prefix(df.repartition(3), ["key"], ["at"], out="rank", max_rows=8).collect()
+        got = with_prefix(df.repartition(3), ["key"], ["at"], out="rank", partitions=20).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert all(row["id"] == row["rank"] for row in got)
 
 
-def test_blocks_spread_a_long_group_over_tasks(spark):
-    df = spark.range(10_000).select(F.lit(1).alias("key"), F.col("id").alias("x"))
-    ordinary, split = prefix_branches(df, ["key"], ["x"], out="rank", max_rows=500)
-    assert ordinary.count() == 0
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and "_block0" in plan
-    assert split.filter("rank <> x").count() == 0
+def test_a_hot_key_with_tied_leading_values_spreads_over_tasks(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("key"), (F.col("id") % 3).alias("x"), "id")
+    ranked = with_prefix(df, ["key"], ["x", "id"], out="rank", partitions=40)
+    assert ranked.filter("rank <> (id div 3) + CASE x WHEN 0 THEN 0 WHEN 1 THEN 6667 ELSE 13334 END").count() == 0
+    sizes = df.repartitionByRange(40, "key", "x", "id").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] < 20_000 / 10
 
 
-def test_small_tables_skip_the_look_at_their_groups(spark):
-    assert group_limit(spark.range(5), 5) is None
-    assert group_limit(spark.range(6), 5) == 5
+def test_plan_reads_the_ranged_rows_only(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("key"), F.col("id").alias("x"))
+    plan = with_prefix(df, ["key"], ["x"], out="rank")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2 and "Range (" not in plan
 
 
-def test_one_exchange_when_nothing_is_oversized(spark):
-    df = spark.range(100).select((F.col("id") % 7).alias("key"), F.col("id").alias("x"))
-    (branch,) = prefix_branches(df, ["key"], ["x"], out="rank")
-    plan = branch.groupBy("key", F.floor(F.col("rank") / 5)).count()._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def test_empty_table_and_no_keys(spark):
+    df = spark.createDataFrame([], "key long, x long")
+    assert with_prefix(df, ["key"], ["x"], out="rank").collect() == []
+    assert with_prefix(df, [], ["x"], out="rank").columns == ["key", "x", "rank"]

@@ -123,6 +123,21 @@ def test_messages_parse_reject_and_encode(spark):
     assert messages.encode_messages(out).columns == ["value"]
 
 
+def test_values_of_the_wrong_type_are_rejected(spark):
+    texts = [
+        '{"bookingid": 1, "second": 2, "speed": "abc", "gyro_x": 3.5}', '{"bookingid": 1, "second": 3, "speed": 2, "gyro_x": null}',
+        '{"bookingid": 1, "second": 4, "other": "abc"}', '{"bookingid": "x", "second": 4}',
+    ]
+    parsed = messages.parse_messages(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [r["rejected"] for r in parsed.collect()] == [True, False, False, True]
+    assert "_unreadable" not in parsed.columns
+
+
+def test_a_topic_source_stops_on_loss_unless_told_otherwise():
+    assert messages.topic_source_options("b:9092", "t")["failOnDataLoss"] == "true"
+    assert messages.topic_source_options("b:9092", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
 def test_topic_options():
     live = messages.topic_source_options("b:9092", "streaming")
     assert (live["startingOffsets"], live["subscribe"], live["maxOffsetsPerTrigger"]) == ("latest", "streaming", "1000000")

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripsense.operators.ordering import group_limit, with_prefix
+from tripsense.operators.ordering import with_prefix
 
 _CHANNELS = {
     "speed": "l_quantity * (l_partkey % 5) * PI() / 16",
@@ -24,9 +24,16 @@ _RAW_ORDER = (
 )
 _RAW_COLUMNS = ", ".join(f"{expression} AS {name}" for name, expression in _CHANNELS.items())
 
+# Of four neighbouring keys two share an id and two stand alone; ids beyond the parts match no trip.
 _LABELS = (
-    "SELECT o_orderkey % 2400 AS bookingid, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label"
-    " FROM orders WHERE o_orderkey < 3600"
+    "SELECT CASE WHEN o_orderkey % 4 < 2 THEN o_orderkey - o_orderkey % 2 ELSE o_orderkey END AS bookingid,"
+    " CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders"
+)
+# Every third trip has no speed, and of every third trip each sample is a trip of its own.
+_GAPS = (
+    "SELECT CASE WHEN bookingid % 3 = 1 THEN 1000000000 + bookingid * 10000 + CAST(second AS BIGINT) ELSE bookingid END"
+    " AS bookingid, second, CASE WHEN bookingid % 3 = 2 THEN NULL ELSE speed END AS speed, accuracy, bearing,"
+    " acceleration_x, acceleration_y, acceleration_z, gyro_x, gyro_y, gyro_z FROM fx_raw"
 )
 _DONE = "SELECT p_partkey AS bookingid FROM part WHERE p_partkey % 3 = 0"
 _DUP = (
@@ -72,6 +79,7 @@ ORACLE_VIEWS = {
         f" ORDER BY {', '.join(_RAW_ORDER)}) - 1) AS DOUBLE) AS second, {_RAW_COLUMNS} FROM lineitem"
     ),
     "fx_labels": _LABELS,
+    "fx_gaps": _GAPS,
     "fx_done": _DONE,
     "fx_dup": _DUP,
     "fx_stream": _STREAM,
@@ -91,7 +99,7 @@ def _view(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples, trips = parts; the position in the trip comes from the library's own split ranking."""
     lines = table(spark, sf_dir, "lineitem")
-    ranked = with_prefix(lines, ["l_partkey"], _RAW_ORDER, out="_rank", max_rows=group_limit(lines))
+    ranked = with_prefix(lines, ["l_partkey"], _RAW_ORDER, out="_rank")
     return ranked.selectExpr(
         "l_partkey AS bookingid",
         "CAST(20 * (1 + l_partkey % 4) * _rank AS DOUBLE) AS second",
@@ -99,6 +107,10 @@ def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_GAPS.replace("FROM fx_raw", "FROM {source}"), source=fx_raw(spark, sf_dir))
+
+
 def fx_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, _LABELS, "orders")
 

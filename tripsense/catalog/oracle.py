@@ -3,17 +3,42 @@
 from __future__ import annotations
 
 from tripsense.catalog.fixtures import ORACLE_VIEWS
-from tripsense.catalog.queries import CHUNK_ROWS, DUP_ARRIVAL, LOOKUP_ID, STD_SPEED_LIMIT
-from tripsense.functions.features import FEATURES
-from tripsense.functions.scalars import DANGER_MESSAGE, SAFE_MESSAGE
-from tripsense.operators.dashboard import DURATION_BUCKETS, SPEED_BUCKETS
-from tripsense.modelling.prepare import MODEL_FEATURES, SEED, TRAIN_FRACTION
-from tripsense.operators.trips import CARD_COLUMNS
-from tripsense.sources.schemas import RAW_CHANNELS
-
-_NAMES = [name for name, _, _ in FEATURES]
-_SQL_STATISTICS = {"mean": "AVG", "stddev": "STDDEV_SAMP", "max": "MAX"}
-_AGGREGATES = ", ".join(f"{_SQL_STATISTICS[stat]}({channel}) AS {name}" for name, stat, channel in FEATURES)
+
+# What the results must hold, written down once more: a column or an edge lost in the library shows here.
+_AGGREGATES = """
+    AVG(speed) AS avg_speed, STDDEV_SAMP(speed) AS std_speed,
+    AVG(accel_mag) AS avg_accel_mag, MAX(accel_mag) AS max_accel_mag, STDDEV_SAMP(accel_mag) AS std_accel_mag,
+    AVG(gyro_mag) AS avg_gyro_mag, STDDEV_SAMP(gyro_mag) AS std_gyro_mag,
+    AVG(acceleration_x) AS avg_accel_x, STDDEV_SAMP(acceleration_x) AS std_accel_x, MAX(acceleration_x) AS max_accel_x,
+    AVG(acceleration_y) AS avg_accel_y, STDDEV_SAMP(acceleration_y) AS std_accel_y, MAX(acceleration_y) AS max_accel_y,
+    AVG(acceleration_z) AS avg_accel_z, STDDEV_SAMP(acceleration_z) AS std_accel_z, MAX(acceleration_z) AS max_accel_z,
+    AVG(gyro_x) AS avg_gyro_x, STDDEV_SAMP(gyro_x) AS std_gyro_x, AVG(gyro_y) AS avg_gyro_y,
+    STDDEV_SAMP(gyro_y) AS std_gyro_y, AVG(gyro_z) AS avg_gyro_z, STDDEV_SAMP(gyro_z) AS std_gyro_z,
+    AVG(accuracy) AS avg_accuracy, STDDEV_SAMP(accuracy) AS std_accuracy, MAX(second) AS second"""
+_NAMES = [part.split()[-1] for part in _AGGREGATES.split(",")]
+MODEL_FEATURES = (
+    "std_gyro_z", "std_accel_y", "std_accel_z", "max_accel_x", "avg_speed", "std_accel_x", "max_accel_mag",
+    "std_speed", "std_gyro_mag", "std_gyro_x", "max_accel_z", "avg_gyro_mag", "std_accel_mag", "second",
+)
+CARD_COLUMNS = (
+    "avg_speed", "std_speed", "avg_accel_mag", "max_accel_mag", "std_accel_mag", "avg_gyro_mag", "std_gyro_mag",
+)
+RAW_CHANNELS = (
+    "accuracy", "bearing", "acceleration_x", "acceleration_y", "acceleration_z", "gyro_x", "gyro_y", "gyro_z",
+    "second", "speed",
+)
+SPEED_BUCKETS = (("0-5", 0, 5), ("5-10", 5, 10), ("10-15", 10, 15), ("15-20", 15, 20), ("20-25", 20, 25))
+DURATION_BUCKETS = (
+    ("Short trip (<10min)", 0, 600), ("Normal trip (10-30min)", 600, 1800), ("Long trip (>30min)", 1800, None),
+)
+SAFE_MESSAGE = "✅ Continue driving safely!"
+DANGER_MESSAGE = "⚠️ You are driving too fast!"
+SEED = 42
+TRAIN_FRACTION = 0.7
+CHUNK_ROWS = 20
+LOOKUP_ID = 7
+STD_SPEED_LIMIT = 8.0
+DUP_ARRIVAL = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 _MAGNITUDES = (
     "SQRT(POWER(acceleration_x, 2) + POWER(acceleration_y, 2) + POWER(acceleration_z, 2)) AS accel_mag,"
     " SQRT(POWER(gyro_x, 2) + POWER(gyro_y, 2) + POWER(gyro_z, 2)) AS gyro_mag"
@@ -48,6 +73,7 @@ _DERIVED = {
                 " AND (s.window_idx = s.full_windows OR k.rn < 5 * s.window_idx + 10)",
 }
 _NEEDS = {
+    "fx_gaps": ["fx_raw"],
     "once": ["fx_labels"],
     "features": ["fx_raw"],
     "labelled": ["features", "once"],
@@ -76,8 +102,8 @@ def with_views(body: str, *views: str, extra: dict[str, str] | None = None) -> s
 
 def _buckets(panel: str, column: str, buckets) -> str:
     listed = ", ".join(
-        f"({position}, '{b.label}', {float(b.low)}, {'NULL' if b.high is None else float(b.high)})"
-        for position, b in enumerate(buckets)
+        f"({position}, '{label}', {float(low)}, {'NULL' if high is None else float(high)})"
+        for position, (label, low, high) in enumerate(buckets)
     )
     return (
         f"SELECT '{panel}' AS panel, b.position, b.bucket, COUNT(t.bookingid) AS trips"
@@ -216,9 +242,9 @@ def all_oracles() -> dict[str, str]:
         "fill_missing": with_views(
             f"SELECT f.bookingid, {', '.join(r(f'COALESCE(f.{n}, 0e0)', n) for n in _NAMES)},"
             " COALESCE(o.label, 0) AS label FROM short f LEFT JOIN once o ON f.bookingid = o.bookingid",
-            "fx_raw",
             "once",
-            extra={"short": _features_of("(SELECT * FROM fx_raw WHERE second < 20 * (bookingid % 3 + 1)) c")},
+            "fx_gaps",
+            extra={"short": _features_of("fx_gaps")},
         ),
         "drop_identifier": with_views(f"SELECT {_ROUNDED}, label FROM trips", "trips"),
         "label_as_int": with_views("SELECT bookingid, label FROM fx_labels", "fx_labels"),

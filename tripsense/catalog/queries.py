@@ -17,7 +17,6 @@ from tripsense.modelling.registry import ModelRegistry, resolve_version
 from tripsense.operators import dashboard, labels, trips
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.operators.latest import latest_trip_state
-from tripsense.operators.ordering import group_limit
 from tripsense.operators.windows import count_windows
 from tripsense.plans import training
 from tripsense.plans.consolidate import consolidate, labelled_trips
@@ -35,9 +34,7 @@ from tripsense.streaming.sinks import parquet_batches, read_batches, start_batch
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOOKUP_ID = 7
-# Below the length of most trips of the event table, so that both ways of ranking are checked.
-SPLIT_ROWS = 60
-SPLIT_SCORES = 2_000
+MANY_RANGES = 64
 CHUNK_ROWS = 20
 STD_SPEED_LIMIT = 8.0
 
@@ -137,9 +134,8 @@ def normalised_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fill_missing_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Over trips cut down to one to three samples, so that deviations of single samples are null."""
-    short = fx.fx_raw(spark, sf).filter("second < 20 * (bookingid % 3 + 1)")
-    return round_doubles(fill_missing(labelled_trips(short, fx.fx_labels(spark, sf))))
+    """Over trips without any speed and trips of one sample, whose statistics are null."""
+    return round_doubles(fill_missing(labelled_trips(fx.fx_gaps(spark, sf), fx.fx_labels(spark, sf))))
 
 
 def drop_identifier(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,8 +205,8 @@ def trip_safety_counts(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.trip_safety_counts(_labelled(spark, sf))
 
 
-def _sequences(samples: DataFrame, max_rows: int | None) -> DataFrame:
-    chunks = trips.trip_sequences(samples, ("speed",), chunk_rows=CHUNK_ROWS, max_rows=max_rows)
+def _sequences(samples: DataFrame, **options) -> DataFrame:
+    chunks = trips.trip_sequences(samples, ("speed",), chunk_rows=CHUNK_ROWS, **options)
     first, last = F.element_at("records", 1), F.element_at("records", -1)
     return round_doubles(
         chunks.select(
@@ -226,12 +222,12 @@ def _sequences(samples: DataFrame, max_rows: int | None) -> DataFrame:
 
 
 def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    samples = fx.fx_raw(spark, sf)
-    return _sequences(samples, group_limit(samples))
+    return _sequences(fx.fx_raw(spark, sf))
 
 
 def trip_sequences_long_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return _sequences(fx.fx_raw(spark, sf), SPLIT_ROWS // 2)
+    """In so many ranges that trips are cut."""
+    return _sequences(fx.fx_raw(spark, sf), partitions=MANY_RANGES)
 
 
 # windows, sorts, top-k
@@ -239,7 +235,6 @@ def trip_sequences_long_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 def _windows(spark: SparkSession, sf: str, aggregates, **options) -> DataFrame:
     samples = fx.fx_stream(spark, sf)
-    options.setdefault("max_rows", group_limit(samples))
     return count_windows(samples, aggregates, order=["seq"], **options)
 
 
@@ -261,7 +256,8 @@ def count_windows_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def count_windows_long_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return round_doubles(_windows(spark, sf, _speed_aggregates(), max_rows=SPLIT_ROWS))
+    """In so many ranges that trips are cut."""
+    return round_doubles(_windows(spark, sf, _speed_aggregates(), partitions=MANY_RANGES))
 
 
 def window_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -469,7 +465,7 @@ def eval_auc(spark: SparkSession, sf: str) -> DataFrame:
 
 def eval_auc_fine_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Nearly as many scores as rows, so that the running counts are put together from blocks."""
-    areas = evaluate.area_under_roc(fx.fx_scores(spark, sf), "fine_score", ["model"], max_rows=SPLIT_SCORES)
+    areas = evaluate.area_under_roc(fx.fx_scores(spark, sf), "fine_score", ["model"])
     return round_doubles(areas)
 
 

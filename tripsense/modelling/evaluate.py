@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import MAX_GROUP_ROWS, with_prefix
+from tripsense.operators.ordering import with_prefix
 
 
 def confusion_matrix(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -42,19 +42,17 @@ def weighted_f1(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return classes.groupBy(*by).agg((F.sum(f1) / F.sum("labelled")).alias("f1"))
 
 
-def area_under_roc(
-    scored: DataFrame, score: Column | str, by: Sequence[str] = (), *, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def area_under_roc(scored: DataFrame, score: Column | str, by: Sequence[str] = ()) -> DataFrame:
     """Exact AUC as a rank sum over distinct scores; ties count one half.
 
-    Rows are reduced to one per score before anything is ordered, and the running count of negatives is cut
-    into blocks when a model has more than ``max_rows`` distinct scores.
+    Rows are reduced to one per score before anything is ordered, and the running count of negatives is taken over
+    ranges of scores.
     """
     score = F.col(score) if isinstance(score, str) else score
     per_score = scored.groupBy(*by, score.cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") != 1).alias("negatives")
     )
-    ranked = with_prefix(per_score, list(by), ["score"], value="negatives", out="below", max_rows=max_rows)
+    ranked = with_prefix(per_score, list(by), ["score"], value="negatives", out="below")
     below = F.col("positives") * (F.col("below") + F.col("negatives") / 2)
     pairs = F.sum("positives").cast("double") * F.sum("negatives")
     return ranked.groupBy(*by).agg(F.try_divide(F.sum(below), pairs).alias("auc"))

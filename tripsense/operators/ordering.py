@@ -1,9 +1,9 @@
 """Exact ordered prefixes (ranks, running sums) inside groups of any size.
 
-A window function sorts each of its groups in one task. That is right for ordinary groups and wrong for a
-group that holds a large share of the table. Groups above ``max_rows`` are therefore cut, by value of the
-ordering column, into blocks that are ranked independently; the number (or sum) of all earlier blocks is then
-added back. Every row keeps the position a single sort would have given it.
+A window function sorts each of its groups in one task, which is wrong for a group that holds a large share of the table.
+Here the rows are range-partitioned by group and order together, which cuts a large group wherever a partition is full, ties
+in its leading columns included. Positions are counted inside each partition, and what the earlier partitions of the group
+hold is added back. The plan is the same for every size.
 """
 
 from __future__ import annotations
@@ -11,21 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 1_000_000
-
-# Blocks are planned this much smaller than max_rows, so an uneven spread of values still fits.
-OVERSPLIT = 8
-
-
-def group_limit(table: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> int | None:
-    """``max_rows`` for the functions below, or ``None`` when the table has no more rows than that altogether.
-
-    For a stored table the count comes from file footers, which is less than looking at the groups.
-    """
-    return None if table.count() <= max_rows else max_rows
+from tripsense.session import cut_lineage
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -36,119 +25,38 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*[f"_right_{key}" for key in keys])
 
 
-def _block(position: Column, low: Column, high: Column, cells: Column) -> Column:
-    """Block number of a value, non-decreasing in sort order (null first, NaN last)."""
-    spread = high - low
-    inside = F.least(F.floor((position - low) / spread * cells), cells - 1)
-    return (
-        F.when(position.isNull() | (position == float("-inf")), F.lit(-1))
-        .when(F.isnan(position) | (position == float("inf")), cells)
-        .when(spread > 0, inside)
-        .otherwise(F.lit(0))
-        .cast("long")
-    )
-
-
-def _oversized(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Groups above ``max_rows`` with their value range.
-
-    There are at most ``rows / max_rows`` of them, a million at a trillion rows, which is what makes
-    broadcasting them in :func:`prefix_branches` safe.
-    """
-    finite = F.when(F.abs("_position") < float("inf"), F.col("_position"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_size"), F.min(finite).alias("_low"), F.max(finite).alias("_high"))
-        .filter(F.col("_size") > max_rows)
-    )
-
-
-def _prefix_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None, out: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    if value is None:
-        return df.withColumn(out, (F.row_number().over(window) - 1).cast("long"))
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(value).over(before), F.lit(0)))
-
-
-def prefix_branches(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    *,
-    out: str,
-    value: str | None = None,
-    max_rows: int | None = MAX_GROUP_ROWS,
-    levels: int = 2,
-    _level: int = 0,
-) -> list[DataFrame]:
+def with_prefix(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, out: str, value: str | None = None, partitions: int | None = None
+) -> DataFrame:
     """Add ``out``: the number of rows (or the sum of ``value``) before each row of its group.
 
-    ``order`` names the sorting columns; the first must be numeric or a timestamp, the rest break ties.
-    Group sizes are looked at first, in a job that reads the key and ordering columns only. Usually nothing is
-    oversized and the one branch returned is hash-partitioned by ``keys``, so an aggregation on them needs no
-    further exchange. Otherwise a second branch holds the oversized groups. ``max_rows=None`` skips the look.
-    The choice affects speed only: either plan gives the same positions on any data.
+    ``order`` names the sorting columns, nulls first; rows equal in all of them are numbered in any order. Without ``keys``
+    the whole table is one group. The ranged rows are written once, because both steps must see the same partitions.
+    ``partitions`` is the number of ranges, by default that of shuffles.
     """
     keys = list(keys)
-    if max_rows is None or _level == levels:
-        return [_prefix_window(df, keys, order, value, out)]
-
-    placed = df.withColumn("_position", _as_double(df, order[0]))
-    large = _oversized(placed, keys, max_rows)
-    if keys:
-        if large.isEmpty():
-            return [_prefix_window(df, keys, order, value, out)]
-        ordinary = [join_null_safe(df, F.broadcast(large.select(*keys)), keys, "left_anti")]
-        sized = join_null_safe(placed, F.broadcast(large), keys, "inner")
-    else:  # the whole table is one group: its single row of statistics becomes constants
-        whole = large.first()
-        if whole is None:
-            return [_prefix_window(df, keys, order, value, out)]
-        ordinary = []
-        sized = placed.withColumns({name: F.lit(whole[name]) for name in ("_size", "_low", "_high")})
-
-    block, within = f"_block{_level}", f"_within{_level}"
-    rows = (
-        sized.withColumn("_cells", F.ceil(F.col("_size") * OVERSPLIT / max_rows).cast("long"))
-        .withColumn(block, _block(F.col("_position"), F.col("_low"), F.col("_high"), F.col("_cells")))
-        .drop("_position", "_size", "_low", "_high", "_cells")
-    )
-    inside = with_prefix(
-        rows, [*keys, block], order, out=within, value=value, max_rows=max_rows, levels=levels, _level=_level + 1
-    )
-    total = F.count(F.lit(1)) if value is None else F.sum(value)
-    earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = [*keys, *order]
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *ranges)
+    placed = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    if value is None:
+        total = F.count(F.lit(1))
+        numbered = placed.withColumn("_inside", F.row_number().over(inside) - 1)
+    else:
+        total = F.sum(value)
+        before = inside.rowsBetween(Window.unboundedPreceding, -1)
+        numbered = placed.withColumn("_inside", F.coalesce(F.sum(value).over(before), F.lit(0)))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, block)
+        placed.groupBy(*keys, "_part")
         .agg(total.alias("_total"))
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
-    split = (
-        join_null_safe(inside, offsets, [*keys, block], "inner")
-        .withColumn(out, F.col(within) + F.col("_before"))
-        .drop(within, "_before", block)
-    )
-    return [*(_prefix_window(rows, keys, order, value, out) for rows in ordinary), split]
-
-
-def _as_double(df: DataFrame, column: str) -> Column:
-    """A number that never decreases when the column increases; equal numbers only mean the same block."""
-    value, kind = F.col(column), df.schema[column].dataType.typeName()
-    if kind == "timestamp":
-        return F.unix_micros(value).cast("double")
-    if kind in ("date", "timestamp_ntz"):
-        days = F.unix_date(F.to_date(value)).cast("double") * 86_400
-        # Local time is taken apart rather than converted: a zone with a clock change would reorder it.
-        return days if kind == "date" else days + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-    return value.cast("double")
+    joined = join_null_safe(numbered, offsets, [*keys, "_part"], "inner")
+    sum_ = F.col("_inside") + F.col("_before")
+    return joined.withColumn(out, sum_.cast("long") if value is None else sum_).drop("_part", "_inside", "_before")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def with_prefix(df: DataFrame, keys: Sequence[str], order: Sequence[str], **options) -> DataFrame:
-    """:func:`prefix_branches` as one DataFrame."""
-    return union_all(prefix_branches(df, keys, order, **options))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import MAX_GROUP_ROWS, prefix_branches, union_all
+from tripsense.operators.ordering import with_prefix
 
 # Rows per window, rows dropped after each full window, idle seconds before the rest is flushed.
 WINDOW_SIZE = 10
@@ -27,8 +27,8 @@ def count_windows(
     order: Sequence[str],
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
-    max_rows: int | None = MAX_GROUP_ROWS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per ``(bookingid, window_idx)`` with ``rows``, ``is_tail`` and the aggregates.
 
@@ -43,16 +43,12 @@ def count_windows(
     rank = F.col("_rank")
     first = F.greatest(F.ceil((rank - size + 1) / step), F.lit(0)).cast("long")
     last = F.floor(rank / step).cast("long")
-    branches = prefix_branches(samples, ["bookingid"], order, out="_rank", max_rows=max_rows)
-    grouped = [
-        (prepare(branch) if prepare else branch)
+    ranked = with_prefix(samples, ["bookingid"], order, out="_rank", partitions=partitions)
+    return (
+        (prepare(ranked) if prepare else ranked)
         .withColumn("window_idx", F.explode(F.sequence(first, last)))
         .groupBy("bookingid", "window_idx")
         .agg(F.count(F.lit(1)).alias("rows"), *aggregates)
-        for branch in branches
-    ]
-    return (
-        union_all(grouped)
         .filter((F.col("window_idx") == 0) | (F.col("rows") >= size - step))
         .withColumn("is_tail", F.col("rows") < size)
     )

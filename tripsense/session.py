@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def object_store_options(endpoint: str, access_key: str, secret_key: str, *, tls: bool = False) -> dict[str, str]:
@@ -69,3 +69,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix=f"tripsense-{label}-")
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """The rows of ``frame`` as written to the shared checkpoint folder; nothing before it is computed again."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(frame.sparkSession, "checkpoints"))
+    return frame.checkpoint()

@@ -10,14 +10,18 @@ from tripsense.sources.schemas import RAW_SCHEMA, optional
 
 
 def topic_source_options(
-    servers: str, topic: str, *, starting: str = "latest", max_offsets_per_trigger: int | None = 1_000_000
+    servers: str, topic: str, *, starting: str = "latest", max_offsets_per_trigger: int | None = 1_000_000,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """``latest`` for scoring and ingest, ``earliest`` for a feed that replays predictions."""
+    """``latest`` for scoring and ingest, ``earliest`` for a feed that replays predictions.
+
+    The query stops when messages expired before it read them; ``fail_on_data_loss=False`` goes on without them.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -45,15 +49,18 @@ def read_json_lines(spark: SparkSession, path: str, *, max_files_per_trigger: in
 def parse_messages(messages: DataFrame, schema: T.StructType = RAW_SCHEMA, required: str = "bookingid") -> DataFrame:
     """The message fields plus ``value`` and a ``rejected`` flag.
 
-    Malformed text and messages without the required field are flagged rather than raised, so one bad message
-    does not stop the stream. Other columns (offsets, arrival time) are kept.
+    Malformed text, messages without the required field and messages with a value that its field's type cannot
+    hold are flagged rather than raised, so one bad message does not stop the stream. Other columns (offsets,
+    arrival time) are kept.
     """
-    parsed = F.from_json("value", optional(schema), {"mode": "PERMISSIVE"})
+    corrupt = "_unreadable"
+    wanted = T.StructType([*optional(schema).fields, T.StructField(corrupt, T.StringType())])
+    parsed = F.from_json("value", wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     return (
         messages.withColumn("_message", parsed)
         .select("*", "_message.*")
-        .drop("_message")
-        .withColumn("rejected", F.col(required).isNull())
+        .withColumn("rejected", F.col(required).isNull() | F.col(corrupt).isNotNull())
+        .drop("_message", corrupt)
     )
 
 

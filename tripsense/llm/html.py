@@ -71,7 +71,8 @@ class Tree(HTMLParser):
     def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.tokens, self.hidden, self.marks = ["#"], [-1], [()], [False], [None]
-        self.flow: list[tuple[int, str | None]] = []
+        # Element and text; None where the element begins, False where a block in it has ended.
+        self.flow: list[tuple[int, str | bool | None]] = []
         self.open = [0]
         self.feed(page)
         self.close()
@@ -99,7 +100,8 @@ class Tree(HTMLParser):
         for at in range(len(self.open) - 1, 0, -1):
             if self.tags[self.open[at]] == tag:
                 del self.open[at:]
-                self.flow.append((self.open[-1], None))
+                if tag not in INLINE:
+                    self.flow.append((self.open[-1], False))
                 return
 
     def handle_data(self, data: str) -> None:
@@ -151,6 +153,9 @@ class Page:
                 elif tree.tags[n] not in INLINE:
                     self.flow.append((block[n], None))
                 continue
+            if text is False:
+                self.flow.append((block[n], None))
+                continue
             size = len(text) - text.count(" ")
             self.own[block[n]] += size
             self.linked[block[n]] += size * link[n]

@@ -23,9 +23,10 @@ ROUNDS_AT_ONCE = 4
 
 def _preferences(spark: SparkSession, shards: int, virtual_nodes: int) -> DataFrame:
     """``(cell, choices)``: the shards of every arc in the order in which they are met clockwise."""
+    shard, node = F.floor(F.col("id") / virtual_nodes), F.col("id") % virtual_nodes
     nodes = spark.range(shards * virtual_nodes).select(
-        F.shiftrightunsigned(F.xxhash64(F.lit("shard"), "id"), 64 - CELL_BITS).cast("int").alias("at"),
-        (F.col("id") % shards).cast("int").alias("shard"),
+        F.shiftrightunsigned(F.xxhash64(F.lit("shard"), shard, node), 64 - CELL_BITS).cast("int").alias("at"),
+        shard.cast("int").alias("shard"),
     )
     met = nodes.groupBy("at").agg(
         *[F.max(F.col("shard") == s).alias(f"on_{s}") for s in range(shards)]
@@ -84,24 +85,22 @@ def text_bytes(text: str) -> Column:
 
 
 def shard_rows(
-    rows: DataFrame, *, id: str = "doc_id", size: str | Column = "size", tie: str | Column = "size",
+    rows: DataFrame, *, id: str = "doc_id", size: str | Column = "size", tie: str | Column | None = None,
     shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = SLACK,
 ) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``, a gapless number from 0 in the shard; columns of these names are replaced.
 
     The load of a row is ``size`` plus one, null as none. Rows with equal ids, null ids among them, share a place on the
-    ring and stay together, in the order of ``tie``; rows equal in both are numbered in any order. An empty table stays
+    ring and stay together, in the order of ``tie`` (their size if none is given); rows equal in both are numbered in any order. An empty table stays
     empty.
     """
-    size, tie = (F.col(c) if isinstance(c, str) else c for c in (size, tie))
+    size, tie = (F.col(c) if isinstance(c, str) else c for c in (size, size if tie is None else tie))
     spot = F.xxhash64(F.lit("row"), F.col(id))
-    placed = rows.drop("shard", "slot").withColumns(
-        {
-            "_spot": spot,
-            "_cell": F.shiftrightunsigned(spot, 64 - CELL_BITS).cast("int"),
-            "_bytes": F.coalesce(size.cast("long"), F.lit(0)) + 1,
-            "_tie": tie,
-        }
+    others = [c for c in rows.columns if c not in ("shard", "slot")]
+    placed = rows.select(
+        F.struct(*others).alias("row"), F.col(id).alias("_id"), spot.alias("_spot"),
+        F.shiftrightunsigned(spot, 64 - CELL_BITS).cast("int").alias("_cell"),
+        (F.coalesce(size.cast("long"), F.lit(0)) + 1).alias("_bytes"), tie.alias("_tie"),
     )
     loads = placed.groupBy("_cell").agg(F.sum("_bytes").alias("load"), F.count("*").alias("rows"))
     cells = _preferences(rows.sparkSession, shards, virtual_nodes).join(
@@ -112,9 +111,9 @@ def shard_rows(
     lookup = settled.select(
         F.col("cell").alias("_cell"), "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy("_cell").orderBy("_spot", F.col(id), "_tie", "_bytes")
+    within = Window.partitionBy("_cell").orderBy("_spot", "_id", "_tie", "_bytes")
     numbered = placed.withColumn("_rank", F.row_number().over(within))
     # At most CELLS rows of three numbers are broadcast, whatever the input.
-    return numbered.join(F.broadcast(lookup), "_cell").withColumn(
-        "slot", (F.col("_before") + F.col("_rank") - 1).cast("long")
-    ).drop("_cell", "_spot", "_bytes", "_tie", "_before", "_rank")
+    return numbered.join(F.broadcast(lookup), "_cell").select(
+        "row.*", "shard", (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot")
+    )

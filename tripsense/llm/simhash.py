@@ -218,15 +218,11 @@ def keep_one(documents: DataFrame, *, id: str = "doc_id", text: str = "text", **
     kept = groups.groupBy("root").agg(F.min(rank).alias("k")).select(
         F.col("k.id").alias("_id"), F.col("k._text_hash").alias("_hash")
     )
-    others = [c for c in documents.columns if c not in (id,)]
-    keyed = documents.withColumns(
-        {"_id": F.col(id).cast("long"), "_hash": F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0")))}
+    keyed = documents.select(
+        F.struct("*").alias("row"), F.col(id).cast("long").alias("_id"),
+        F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0"))).alias("_hash"),
     )
     chosen = keyed.alias("d").join(
         kept.alias("k"), F.col("d._id").eqNullSafe(F.col("k._id")) & (F.col("d._hash") == F.col("k._hash")), "left_semi"
     )
-    return (
-        chosen.groupBy("_id", "_hash")
-        .agg(F.min(F.struct(*[F.col(c) for c in [id, *others]])).alias("row"))
-        .select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
-    )
+    return chosen.groupBy("_id", "_hash").agg(F.min("row").alias("row")).select("row.*")

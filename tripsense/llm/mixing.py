@@ -27,6 +27,7 @@ MOST_REPEATS = 2
 BLOCK_WORDS = 1024
 SLOTS_PER_SHARD = 256
 ROWS_PER_BUCKET = 50_000
+LEAST_BUCKETS = 256
 SEED = 20_240_229
 _WORD = r"[^\x20\x09-\x0D]+"
 _WORDS = re.compile(_WORD)
@@ -205,7 +206,7 @@ def mix(
     known = sized.alias("d").join(
         targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))
     ).select("d.id", "d._text_hash", "d.source", "d.size", "t.number", "t.source_size", "t.target")
-    placed = _positions(known, max(16, -(-rows // ROWS_PER_BUCKET)))
+    placed = _positions(known, max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
 
     position = F.col("start") + F.col("reading") * F.col("source_size")
     pieces = (
@@ -259,21 +260,25 @@ def mixed_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "te
         F.array_sort(F.collect_list(F.struct("first_word", "end_word"))).alias("_spans"), F.first("size").alias("_size")
     )
     distinct = (
-        documents.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0"))))
-        .groupBy(F.col(id).cast("long").alias("_id"), "_text_hash")
-        .agg(F.min(F.struct(*columns)).alias("_row"))
+        documents.select(
+            F.struct("*").alias("_row"), F.col(id).cast("long").alias("_id"),
+            F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0"))).alias("_text_hash"),
+        )
+        .groupBy("_id", "_text_hash")
+        .agg(F.min("_row").alias("_row"))
     )
     joined = used.alias("u").join(
         distinct.alias("d"),
         (F.col("u._text_hash") == F.col("d._text_hash")) & F.col("u.id").eqNullSafe(F.col("d._id")),
-    ).select(*[F.col("d._row").getField(c).alias(c) for c in columns], "u._spans", "u._size")
+    ).select("d._row", "u._spans", "u._size")
     at = columns.index(text)
     count_at = columns.index(chars) if chars in columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts, lengths = [], []
-            for one, spans, size in zip(rows.column(at).to_pylist(), rows.column("_spans").to_pylist(), rows.column("_size").to_pylist()):
+            arrays = rows.column("_row").flatten()
+            for one, spans, size in zip(arrays[at].to_pylist(), rows.column("_spans").to_pylist(), rows.column("_size").to_pylist()):
                 merged: list[list[int]] = []
                 for span in spans:
                     if merged and merged[-1][1] == span["first_word"]:
@@ -283,7 +288,6 @@ def mixed_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "te
                 whole = merged == [[0, size]]
                 texts.append(one if whole else cut_words(one, merged))
                 lengths.append(len(texts[-1]))
-            arrays = [rows.column(i) for i in range(len(columns))]
             arrays[at] = pa.array(texts, arrays[at].type)
             if count_at is not None:
                 arrays[count_at] = pa.array(lengths, arrays[count_at].type)

@@ -173,8 +173,6 @@ def _messages(where: str) -> str:
     )
 
 
-_FULL_ONLY = "WHERE window_idx < full_windows"
-
 _IN_TRAIN = (
     f"('0x' || SUBSTR(MD5(CAST(bookingid AS VARCHAR) || ':{SEED}'), 1, 8))::BIGINT % 10000 < {round(TRAIN_FRACTION * 10000)}"
 )
@@ -211,6 +209,13 @@ def all_oracles() -> dict[str, str]:
     return {
         "ingest_csv": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
         "ingest_batch": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
+        "ingest_batch_rerun": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
+        "decode_messages": with_views(
+            "SELECT seq, CASE WHEN seq % 10 IN (3, 6, 9) THEN NULL ELSE bookingid END AS bookingid,"
+            " CASE WHEN seq % 10 IN (3, 6, 9) THEN NULL ELSE seq + 0.5e0 END AS second, seq % 10 IN (3, 6, 9) AS rejected"
+            " FROM fx_stream",
+            "fx_stream",
+        ),
         "labels_csv": with_views("SELECT bookingid, label FROM once", "once"),
         "append_raw": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
         "append_trips": with_views(
@@ -307,9 +312,9 @@ def all_oracles() -> dict[str, str]:
         "consolidate_trips_open_labels": with_views(_consolidated("label"), "labelled", "fx_done"),
         "prediction_message": with_views(_messages(""), "windowed"),
         "stream_ingest": with_views(_FIRST_WRITER.format(speed=r("speed"), order=", ".join(DUP_ARRIVAL)), "fx_dup"),
-        "stream_count_windows": with_views(_WINDOW_SUMMARY.format(where=_FULL_ONLY), "windowed"),
+        "stream_count_windows": with_views(_WINDOW_SUMMARY.format(where=""), "windowed"),
         "stream_latest_state": with_views(_LATEST, "fx_stream"),
-        "stream_predict_rule": with_views(_messages(_FULL_ONLY), "windowed"),
+        "stream_predict_rule": with_views(_messages(""), "windowed"),
         "assemble_features": with_views(
             "SELECT bookingid, " + ", ".join(r(n) for n in MODEL_FEATURES) + " FROM trips", "trips"
         ),

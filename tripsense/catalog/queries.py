@@ -24,11 +24,12 @@ from tripsense.plans.ingest import ingest_batch
 from tripsense.session import scratch_dir
 from tripsense.sources import schemas
 from tripsense.sources.files import read_labels_csv, read_samples_csv
+from tripsense.sources.messages import encode_messages, parse_messages
 from tripsense.sources.tables import append_raw, append_trips, insert_raw, insert_trips, read_raw, read_trips
-from tripsense.streaming.count_windows import stream_count_windows
+from tripsense.streaming.count_windows import leftover_windows, stream_count_windows
 from tripsense.streaming.ingest import start_raw_ingest
 from tripsense.streaming.latest import read_latest_state, start_latest_state
-from tripsense.streaming.predict import prediction_messages, start_predictions
+from tripsense.streaming.predict import prediction_messages, scored_messages, start_predictions
 from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,15 @@ def ingest_batch_query(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(read_raw(spark, f"{path}/raw"))
 
 
+def ingest_batch_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """The same drop twice, which is the same as once."""
+    path = scratch_dir(spark, "ingest")
+    fx.fx_raw(spark, sf).withColumnRenamed("bookingid", "bookingID").write.csv(f"{path}/csv", header=True)
+    for _ in range(2):
+        ingest_batch(spark, f"{path}/csv", f"{path}/raw")
+    return round_doubles(read_raw(spark, f"{path}/raw"))
+
+
 def raw_first_writer_wins(spark: SparkSession, sf: str) -> DataFrame:
     kept = first_writer_wins(fx.fx_dup(spark, sf), schemas.RAW_KEY, DUP_ARRIVAL)
     return round_doubles(kept.select("bookingid", "second", "speed"))
@@ -156,6 +166,23 @@ def trip_status_query(spark: SparkSession, sf: str) -> DataFrame:
     return labelled.withColumn("status", trip_status("label"))
 
 
+def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON texts made of all events, some broken or mistyped, parsed and written again."""
+    texts = fx.fx_stream(spark, sf).select(
+        "seq",
+        F.expr(
+            "CASE seq % 10 WHEN 3 THEN '{\"bookingid\": 1, ' WHEN 6 THEN concat('{\"bookingid\": ', bookingid, ', \"second\": \"late\"}')"
+            " WHEN 9 THEN '{\"second\": 1.5}' ELSE concat('{\"bookingid\": ', bookingid, ', \"second\": ', seq, '.5, \"more\": 1}') END"
+        ).alias("value"),
+    )
+    parsed = parse_messages(texts)
+    encoded = encode_messages(parsed.filter("NOT rejected").select("seq", "bookingid", "second"))
+    again = encoded.select(F.from_json("value", "seq long, bookingid long, second double").alias("m")).select("m.*")
+    return again.withColumn("rejected", F.lit(False)).unionByName(
+        parsed.filter("rejected").select("seq", F.lit(None).cast("long").alias("bookingid"), F.lit(None).cast("double").alias("second"), "rejected")
+    )
+
+
 def prediction_message(spark: SparkSession, sf: str) -> DataFrame:
     windows = fill_missing(_feature_windows(spark, sf))
     return round_doubles(prediction_messages(speed_rule(windows), "window_idx", "is_tail"))
@@ -308,24 +335,27 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_count_windows_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Full windows only; the idle flush of the tails needs a running clock and is tested on its own."""
+    """Full windows as the stream emits them, and the tails that its state holds when the input has ended."""
     path = scratch_dir(spark, "stream-windows")
     windows = stream_count_windows(_stream_samples(spark, sf), order=["seq"], idle_seconds=None)
     start_batches(windows, parquet_batches(f"{path}/rows"), f"{path}/checkpoint").awaitTermination()
-    rows = read_batches(spark, f"{path}/rows", windows.schema)
+    rows = read_batches(spark, f"{path}/rows", windows.schema).drop("batch_id")
+    rows = rows.unionByName(leftover_windows(spark, f"{path}/checkpoint", windows.schema))
     summary = rows.groupBy("bookingid", "window_idx", "is_tail").agg(F.count(F.lit(1)).alias("rows"), *_speed_aggregates())
     return round_doubles(summary)
 
 
 def _predictions(spark: SparkSession, sf: str, scorer) -> DataFrame:
     path = scratch_dir(spark, "stream-predict")
+    samples = _stream_samples(spark, sf)
     start_predictions(
-        _stream_samples(spark, sf), scorer, parquet_batches(f"{path}/messages"), f"{path}/checkpoint",
+        samples, scorer, parquet_batches(f"{path}/messages"), f"{path}/checkpoint",
         order=["seq"], idle_seconds=None,
     ).awaitTermination()
     schema = "bookingid long, window_idx long, is_tail boolean, time double, speed double, label int"
     messages = read_batches(spark, f"{path}/messages", spark.createDataFrame([], schema).schema)
-    return round_doubles(messages.drop("batch_id"))
+    tails = leftover_windows(spark, f"{path}/checkpoint", stream_count_windows(samples, order=["seq"]).schema)
+    return round_doubles(messages.drop("batch_id").unionByName(scored_messages(tails, scorer)))
 
 
 def stream_predict_rule(spark: SparkSession, sf: str) -> DataFrame:
@@ -487,6 +517,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "ingest_csv": ingest_csv,
         "ingest_batch": ingest_batch_query,
+        "ingest_batch_rerun": ingest_batch_rerun,
         "labels_csv": labels_csv,
         "append_raw": append_raw_table,
         "append_trips": append_trips_table,
@@ -523,6 +554,7 @@ def all_queries() -> dict[str, Query]:
         "first_trips": first_trips,
         "consolidate_trips": consolidate_trips,
         "consolidate_trips_open_labels": consolidate_trips_open_labels,
+        "decode_messages": decode_messages,
         "prediction_message": prediction_message,
         "stream_ingest": stream_ingest,
         "stream_count_windows": stream_count_windows_query,

@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP, check_window
@@ -156,6 +157,30 @@ def stream_count_windows(
     windows = packed.groupBy("bucket").applyInPandasWithState(
         _advance(tuple(order), size, step, idle_ms), _OUTPUT, _STATE, "append", timeout
     )
+    return _unpacked(windows, payload_type)
+
+
+def _unpacked(windows: DataFrame, payload_type: str) -> DataFrame:
     return windows.withColumn("_sample", F.from_json("payload", payload_type)).select(
         "bookingid", "window_idx", "is_tail", "_sample.*"
     )
+
+
+def leftover_windows(spark: SparkSession, checkpoint: str, windows: T.StructType) -> DataFrame:
+    """What a stream that has ended still holds: the last, short window of every trip, read from its state.
+
+    ``windows`` is the schema of :func:`stream_count_windows`. A run over a fixed set of files with
+    ``idle_seconds=None`` emits full windows only; with these rows its output is whole.
+    """
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in windows.fields if f.name not in ("bookingid", "window_idx", "is_tail")]
+    held = F.slice("held", F.lit(1), F.col("place"))
+    start = F.aggregate(held, F.lit(0).cast("long"), lambda total, rows: total + rows)
+    trips = (
+        spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
+        .select("*", F.posexplode("trips").alias("place", "bookingid"))
+        .select(
+            "bookingid", F.element_at("next_window", F.col("place") + 1).alias("window_idx"), F.lit(True).alias("is_tail"),
+            F.explode(F.slice("buffer", (start + 1).cast("int"), F.element_at("held", F.col("place") + 1).cast("int"))).alias("payload"),
+        )
+    )
+    return _unpacked(trips, ", ".join(fields))

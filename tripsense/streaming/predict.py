@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripsense.functions.features import fill_missing, trip_features
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP
 from tripsense.sources.schemas import PREDICTION_SCHEMA
-from tripsense.streaming.count_windows import stream_count_windows
+from tripsense.streaming.count_windows import STATE_BUCKETS, stream_count_windows
 from tripsense.streaming.sinks import BatchWriter, start_batches
 
 WINDOW_KEYS = ("bookingid", "window_idx", "is_tail")
@@ -72,6 +72,7 @@ def start_predictions(
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
     idle_seconds: float | None = IDLE_SECONDS,
+    buckets: int = STATE_BUCKETS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Score every window of a micro-batch in one job and hand the messages to ``write``.
@@ -79,9 +80,15 @@ def start_predictions(
     ``scorer`` maps features to a ``prediction`` column: a loaded model, a fixed rule, or a
     :class:`~tripsense.modelling.registry.ModelFollower` that looks for a new version at each batch.
     """
-    windows = stream_count_windows(samples, order=order, size=size, step=step, idle_seconds=idle_seconds)
+    windows = stream_count_windows(
+        samples, order=order, size=size, step=step, idle_seconds=idle_seconds, buckets=buckets
+    )
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        write(prediction_messages(scorer(window_features(batch)), "window_idx", "is_tail"), batch_id)
+        write(scored_messages(batch, scorer), batch_id)
 
     return start_batches(windows, score, checkpoint, trigger=trigger)
+
+
+def scored_messages(window_samples: DataFrame, scorer: Scorer) -> DataFrame:
+    return prediction_messages(scorer(window_features(window_samples)), "window_idx", "is_tail")

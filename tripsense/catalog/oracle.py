@@ -236,6 +236,16 @@ def all_oracles() -> dict[str, str]:
             " GROUP BY bookingid, second HAVING COUNT(*) > 1) d",
             "fx_dup",
         ),
+        "validate_trips": with_views(
+            "SELECT 'type:' || c AS rule, CAST(CASE WHEN c = 'label' THEN 1 ELSE 0 END AS BIGINT) AS violations FROM"
+            f" (SELECT UNNEST([{', '.join(repr(n) for n in ('bookingid', *_NAMES, 'label'))}]) AS c) u UNION ALL "
+            + " UNION ALL ".join(
+                f"SELECT 'not_null:{n}', COUNT(*) FILTER (WHERE {n} IS NULL) FROM short" for n in ("bookingid", *_NAMES[:-1])
+            )
+            + " UNION ALL SELECT 'unique:bookingid', COUNT(*) - COUNT(DISTINCT bookingid) FROM short",
+            "fx_gaps",
+            extra={"short": _features_of("fx_gaps")},
+        ),
         "trips_all": with_views(_TRIPS_OUT, "trips"),
         "trip_lookup": with_views(f"{_TRIPS_OUT} WHERE bookingid = {LOOKUP_ID}", "trips"),
         "sample_magnitudes": with_views(

@@ -121,6 +121,12 @@ def validate_schema(spark: SparkSession, sf: str) -> DataFrame:
     return schemas.contract_report(rows, ["bookingid", "second", "speed"], schemas.RAW_KEY)
 
 
+def validate_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule of the trip table, over all trips of samples with gaps and with labels of the wrong type."""
+    table = labelled_trips(fx.fx_gaps(spark, sf), fx.fx_labels(spark, sf)).select("bookingid", *FEATURE_COLUMNS, F.col("label").cast("long").alias("label"))
+    return schemas.table_report(table, schemas.TRIP_SCHEMA, schemas.TRIP_KEY)
+
+
 def trips_all(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(_trips(spark, sf))
 
@@ -524,6 +530,7 @@ def all_queries() -> dict[str, Query]:
         "raw_first_writer_wins": raw_first_writer_wins,
         "insert_raw": insert_raw_table,
         "validate_schema": validate_schema,
+        "validate_trips": validate_trips,
         "trips_all": trips_all,
         "trip_lookup": trip_lookup,
         "sample_magnitudes": sample_magnitudes,

@@ -23,7 +23,7 @@ from tripsense.modelling.prepare import (
 from tripsense.modelling.registry import ModelRegistry
 from tripsense.operators.labels import label_classes
 from tripsense.operators.ordering import union_all
-from tripsense.session import scratch_dir
+from tripsense.session import cut_lineage
 
 
 def train_job(
@@ -66,23 +66,22 @@ def train_job(
 def compare_models(trips: DataFrame, feature_columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """``model, accuracy, f1, auc`` of four classifiers on the same held-out trips.
 
-    The scored rows of all models form one table, written once, so each metric is one aggregation by model and
-    no model scores a trip twice. The SVM gives no AUC: its raw margin is not reported as one.
+    The scored rows of all models form one table, cut off from the models once, so each metric is one aggregation by
+    model and no model scores a trip twice. The SVM gives no AUC: its raw margin is not reported as one.
     """
-    spark = trips.sparkSession
     data = scale_features(trips, feature_columns).select("bookingid", "features", F.col("label").cast("int").alias("label"))
     train, test = train_test_split(data, EXPERIMENT_TRAIN_FRACTION)
     classes = label_classes(data).first()["classes"]
-    path = scratch_dir(spark, "scored")
-    union_all(
-        [
-            estimator.fit(train)
-            .transform(test)
-            .select(F.lit(name).alias("model"), "label", "prediction", evaluate.positive_score().alias("score"))
-            for name, estimator in classifiers.experiment_models(len(feature_columns), classes).items()
-        ]
-    ).write.parquet(path)
-    scored = spark.read.parquet(path)
+    scored = cut_lineage(
+        union_all(
+            [
+                estimator.fit(train)
+                .transform(test)
+                .select(F.lit(name).alias("model"), "label", "prediction", evaluate.positive_score().alias("score"))
+                for name, estimator in classifiers.experiment_models(len(feature_columns), classes).items()
+            ]
+        )
+    )
     confusion = evaluate.confusion_matrix(scored, ["model"])
     auc = evaluate.area_under_roc(scored.filter("model <> 'SVM'"), "score", ["model"])
     return (

@@ -89,5 +89,23 @@ def contract_report(df: DataFrame, not_null: Sequence[str], key: Sequence[str])
     )
 
 
+def type_report(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``rule, violations``: 1 for every column of the schema that is missing or of another type, else 0."""
+    found = {field.name: field.dataType for field in df.schema.fields}
+    rules = [
+        F.struct(
+            F.lit(f"type:{field.name}").alias("rule"),
+            F.lit(int(found.get(field.name) != field.dataType)).cast("long").alias("violations"),
+        )
+        for field in schema.fields
+    ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rules)))
+
+
+def table_report(df: DataFrame, schema: T.StructType, key: Sequence[str]) -> DataFrame:
+    """All rules of a stored table: its columns' types, its required columns and its key."""
+    return type_report(df, schema).unionByName(contract_report(df, required_columns(schema), key))
+
+
 def required_columns(schema: T.StructType) -> list[str]:
     return [field.name for field in schema.fields if not field.nullable]

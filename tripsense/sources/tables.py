@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.sources.schemas import RAW_KEY, RAW_SCHEMA, TRIP_KEY, TRIP_SCHEMA, conform, optional
 
-# Most key rows of a batch that are broadcast against the table.
-BROADCAST_KEYS = 1_000_000
-
 # Trips are spread over this many directories, so a batch of few trips opens few of them.
 TRIP_BUCKETS = 16
 BUCKET = "trip_bucket"
@@ -67,8 +64,8 @@ def insert_raw(batch: DataFrame, path: str, arrival: Sequence[str]) -> int:
     """Insert samples under the primary key: earlier rows of the table or of the batch win.
 
     Copies inside the batch are reduced first, so what meets the table is unique by key and cannot be skewed.
-    The table is then scanned for those keys, in the directories and the id range the batch touches, and not
-    shuffled as long as the keys may be broadcast. Returns the number of distinct keys offered.
+    The table is then scanned for those keys, in the directories and the id range the batch touches; how the two meet
+    is left to the planner. Returns the number of distinct keys offered.
     """
     rows = first_writer_wins(batch, RAW_KEY, arrival).withColumn(BUCKET, trip_bucket()).persist()
     try:
@@ -86,7 +83,7 @@ def insert_raw(batch: DataFrame, path: str, arrival: Sequence[str]) -> int:
             .select(*RAW_KEY)
         )
         keys = rows.select(*RAW_KEY)
-        present = stored.join(F.broadcast(keys) if size <= BROADCAST_KEYS else keys, list(RAW_KEY), "left_semi")
+        present = stored.join(keys, list(RAW_KEY), "left_semi")
         append_raw(rows.join(present, list(RAW_KEY), "left_anti"), path)
         return size
     finally:

@@ -176,6 +176,7 @@ def _messages(where: str) -> str:
 _IN_TRAIN = (
     f"('0x' || SUBSTR(MD5(CAST(bookingid AS VARCHAR) || ':{SEED}'), 1, 8))::BIGINT % 10000 < {round(TRAIN_FRACTION * 10000)}"
 )
+_IN_EXPERIMENT = _IN_TRAIN.replace("< 7000", "< 8000")
 _DEVIATION = "CASE WHEN s.{0} = 0 THEN 0e0 ELSE t.{0} / s.{0} END"
 _CORRELATIONS = " UNION ALL ".join(
     f"SELECT '{n}' AS feature, CASE WHEN STDDEV_POP({n}) * STDDEV_POP(label) = 0 THEN NULL"
@@ -363,6 +364,27 @@ def all_oracles() -> dict[str, str]:
             " GROUP BY v.name, v.version, v.alias",
             "trips",
         ),
+        **{
+            name: with_views(f"SELECT bookingid, label, TRUE AS valid FROM trips WHERE NOT ({_IN_EXPERIMENT})", "trips")
+            for name in ("train_random_forest", "train_logistic", "train_svm", "train_mlp")
+        },
+        "train_on_rule": "SELECT model, TRUE AS learnt FROM (VALUES ('forest'), ('logistic')) m(model)",
+        "score_trips": with_views("SELECT bookingid, label, TRUE AS valid FROM trips", "trips"),
+        "stream_predict": with_views(
+            f"SELECT bookingid, window_idx, is_tail, time, speed, TRUE AS valid FROM ({_messages('')}) m", "windowed"
+        ),
+        "compare_models": "SELECT model, model <> 'SVM' AS has_auc, TRUE AS valid FROM (VALUES ('Random Forest'),"
+                          " ('Logistic Regression'), ('SVM'), ('Neural Network')) m(model)",
+        **{
+            name: f"SELECT feature, TRUE AS valid FROM (SELECT UNNEST([{', '.join(repr(n) for n in _NAMES)}]) AS feature) f"
+            for name in ("feature_importance", "lasso_selection", "feature_consensus")
+        },
+        "feature_consensus_fixed": with_views(
+            "SELECT feature, score > 0.01 AS forest, score > 0.02 AS lasso, score > 0.03 AS pearson,"
+            " CAST((score > 0.01) AS INTEGER) + CAST((score > 0.02) AS INTEGER) + CAST((score > 0.03) AS INTEGER) AS votes,"
+            f" score > 0.02 OR feature = 'second' AS keep FROM ({_CORRELATIONS}) c WHERE score > 0.01",
+            "trips",
+        ),
         "eval_auc": with_views(_AUC, "fx_scores"),
         "eval_auc_fine_scores": with_views(_AUC.replace("score", "fine_score").replace("fx_fine_scores", "fx_scores"), "fx_scores"),
         "eval_accuracy": with_views(

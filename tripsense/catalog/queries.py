@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripsense.catalog import fixtures as fx
@@ -17,6 +17,7 @@ from tripsense.modelling.registry import ModelRegistry, resolve_version
 from tripsense.operators import dashboard, labels, trips
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.operators.latest import latest_trip_state
+from tripsense.operators.ordering import union_all
 from tripsense.operators.windows import count_windows
 from tripsense.plans import training
 from tripsense.plans.consolidate import consolidate, labelled_trips
@@ -372,7 +373,8 @@ def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
     """Windows scored by a forest trained on the trip table and served from the registry."""
     registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
     training.train_job(_stored_trips(spark, sf), registry, "trips", num_trees=20, alias="champion")
-    return _predictions(spark, sf, registry.load("trips"))
+    messages = _predictions(spark, sf, registry.load("trips"))
+    return messages.withColumn("valid", F.col("label").isin(0, 1)).drop("label")
 
 
 def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -430,6 +432,10 @@ def dataset_counts(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.inline(F.array(*[F.struct(F.lit(n).alias("dataset"), F.col(n).alias("rows")) for n in rows.columns])))
 
 
+# What a fitted model says differs from engine to engine. The queries over models give the rows they score, and whether what
+# they say of each has the form and the relations it must have; ``train_on_rule`` asks whether models learn.
+
+
 def _scored_by(estimator: Callable[[int, int], Estimator]) -> Query:
     """Fit on the training part of the stored trips, score the held-out part."""
 
@@ -437,18 +443,33 @@ def _scored_by(estimator: Callable[[int, int], Estimator]) -> Query:
         data = prepare.scale_features(_stored_trips(spark, sf)).select("bookingid", "features", "label")
         train, test = prepare.train_test_split(data, prepare.EXPERIMENT_TRAIN_FRACTION)
         model = estimator(len(prepare.MODEL_FEATURES), 2).fit(train)
-        return model.transform(test).select("bookingid", "label", F.col("prediction").cast("int").alias("prediction"))
+        return model.transform(test).select("bookingid", "label", F.col("prediction").isin(0.0, 1.0).alias("valid"))
 
     return query
 
 
+def train_on_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Models of a label that one feature decides, held against it on the held-out trips."""
+    ruled = _stored_trips(spark, sf).withColumn("label", (F.col("std_speed") > STD_SPEED_LIMIT).cast("int"))
+    data = prepare.scale_features(ruled).select("bookingid", "features", "label")
+    train, test = prepare.train_test_split(data, prepare.EXPERIMENT_TRAIN_FRACTION)
+    scored = [
+        estimator.fit(train).transform(test).select(F.lit(name).alias("model"), "label", "prediction")
+        for name, estimator in (("forest", classifiers.random_forest(20, 5)), ("logistic", classifiers.logistic()))
+    ]
+    accuracy = evaluate.accuracy(evaluate.confusion_matrix(union_all(scored), ["model"]), ["model"])
+    return accuracy.select("model", (F.col("accuracy") > 0.85).alias("learnt"))
+
+
 def score_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Train, register, load back and score all trips."""
     registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
     stored = _stored_trips(spark, sf)
     training.train_job(stored, registry, "trips", num_trees=20)
     scored = training.probability_of_danger(registry.load("trips")(stored))
-    return scored.select("bookingid", "label", F.col("prediction").cast("int").alias("prediction"), "probability")
+    agree = (F.col("prediction") == 1) == (F.col("probability") > 0.5)
+    valid = F.col("prediction").isin(0.0, 1.0) & F.col("probability").between(0, 1) & agree
+    return scored.select("bookingid", "label", valid.alias("valid"))
 
 
 def train_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -468,17 +489,25 @@ def train_job(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return training.compare_models(_stored_trips(spark, sf))
+    table = training.compare_models(_stored_trips(spark, sf))
+    in_range = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1) & F.coalesce(F.col("auc").between(0, 1), F.lit(True))
+    return table.select("model", F.col("auc").isNotNull().alias("has_auc"), in_range.alias("valid"))
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    scores = training.forest_selection(_stored_trips(spark, sf), FEATURE_COLUMNS)
-    return selection.rank_features(selection.select_features(scores, selection.IMPORTANCE_THRESHOLD))
+    ranked = selection.rank_features(training.forest_selection(_stored_trips(spark, sf), FEATURE_COLUMNS))
+    everything = Window.partitionBy()
+    ordered = F.col("score") <= F.coalesce(F.lag("score").over(Window.orderBy("rank")), F.lit(1.0))
+    whole = F.abs(F.sum("score").over(everything) - 1) < 1e-6
+    return ranked.select("feature", (F.col("score").between(0, 1) & ordered & whole).alias("valid"))
 
 
 def lasso_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature, whether its coefficient is a number, and whether the threshold decides on it alone."""
     scores = training.lasso_selection(_stored_trips(spark, sf), FEATURE_COLUMNS)
-    return selection.select_features(scores, selection.COEFFICIENT_THRESHOLD)
+    kept = selection.select_features(scores, selection.COEFFICIENT_THRESHOLD).select("feature", F.lit(True).alias("kept"))
+    decided = F.coalesce("kept", F.lit(False)) == (F.abs("score") > selection.COEFFICIENT_THRESHOLD)
+    return scores.join(kept, "feature", "left").select("feature", (~F.isnan("score") & decided).alias("valid"))
 
 
 def pearson_selection(spark: SparkSession, sf: str) -> DataFrame:
@@ -492,7 +521,19 @@ def rank_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_consensus(spark: SparkSession, sf: str) -> DataFrame:
-    return training.select_by_consensus(_stored_trips(spark, sf), FEATURE_COLUMNS, force_keep=["second"])
+    """Every feature, and whether its votes and the forced one explain what is kept."""
+    votes = training.select_by_consensus(_stored_trips(spark, sf), FEATURE_COLUMNS, force_keep=["second"])
+    counted = sum((F.col(m).cast("int") for m in ("forest", "lasso", "pearson")), F.lit(0))
+    right = (F.col("votes") == counted) & (F.col("keep") == ((counted >= 2) | (F.col("feature") == "second")))
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in FEATURE_COLUMNS])).alias("feature"))
+    return names.join(votes, "feature", "left").select("feature", F.coalesce(right, F.lit(True)).alias("valid"))
+
+
+def feature_consensus_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes of three selections that differ in their threshold only."""
+    scores = selection.pearson_scores(_trips(spark, sf), FEATURE_COLUMNS)
+    chosen = [selection.select_features(scores, threshold) for threshold in (0.01, 0.02, 0.03)]
+    return selection.feature_consensus(*chosen, force_keep=["second"])
 
 
 def eval_auc(spark: SparkSession, sf: str) -> DataFrame:
@@ -589,4 +630,6 @@ def all_queries() -> dict[str, Query]:
         "feature_importance": feature_importance,
         "lasso_selection": lasso_selection,
         "feature_consensus": feature_consensus,
+        "feature_consensus_fixed": feature_consensus_fixed,
+        "train_on_rule": train_on_rule,
     }

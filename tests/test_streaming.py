@@ -14,8 +14,8 @@ from tripsense.catalog.queries import speed_rule
 from tripsense.functions.features import feature_aggregates, fill_missing, with_magnitudes
 from tripsense.operators.windows import count_windows
 from tripsense.sources import messages, schemas, tables
-from tripsense.streaming.count_windows import _advance, stream_count_windows
-from tripsense.streaming.ingest import start_message_ingest
+from tripsense.streaming.count_windows import _advance, leftover_windows, stream_count_windows
+from tripsense.streaming.ingest import start_message_ingest, start_rejects
 from tripsense.operators.latest import latest_trip_state
 from tripsense.streaming.latest import prediction_feed, read_latest_state, start_latest_state
 from tripsense.streaming.predict import prediction_messages, start_predictions
@@ -145,6 +145,26 @@ def test_message_ingest_rejects_and_survives_redelivery(spark, folder):
     assert spark.read.parquet(folder("rejects-c1")).count() == 3
 
 
+def test_rejects_have_a_stream_of_their_own(spark, folder):
+    write_lines(folder("in") + "/a.json", [message(1, 0), "not json", {"second": 1}, {"bookingid": 1, "second": 1, "speed": "fast"}])
+    start_rejects(messages.read_json_lines(spark, folder("in")), parquet_batches(folder("out")), folder("c")).awaitTermination()
+    assert spark.read.parquet(folder("out")).count() == 3
+
+
+def test_leftovers_complete_an_ended_stream(spark, folder):
+    rows = trip_messages()
+    write_lines(folder("in") + "/a.json", rows)
+    parsed = messages.parse_messages(messages.read_json_lines(spark, folder("in"))).select(*schemas.RAW_SCHEMA.names)
+    stream = stream_count_windows(parsed, idle_seconds=None, buckets=3)
+    start_batches(stream, parquet_batches(folder("rows")), folder("c")).awaitTermination()
+    full = read_batches(spark, folder("rows"), stream.schema).drop("batch_id")
+    got = full.unionByName(leftover_windows(spark, folder("c"), stream.schema))
+    expected = count_windows(samples(spark, [tuple(r.values()) for r in rows]), [F.max("second").alias("last")], order=["second"])
+    summary = got.groupBy("bookingid", "window_idx", "is_tail").agg(F.count("*").alias("rows"), F.max("second").alias("last"))
+    columns = ["bookingid", "window_idx", "is_tail", "rows", "last"]
+    assert as_set(summary.select(*columns)) == as_set(expected.select(*columns))
+
+
 def test_latest_state_over_batches(spark, folder):
     schema = "bookingid long, seq long, speed double, time double, label int, has_label boolean"
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripsense.sources.messages import parse_messages
+from tripsense.sources.schemas import RAW_SCHEMA
 from tripsense.sources.tables import insert_raw
-from tripsense.streaming.sinks import parquet_batches, start_batches
+from tripsense.streaming.sinks import BatchWriter, parquet_batches, start_batches
 
 
 def start_raw_ingest(
@@ -45,3 +47,11 @@ def start_message_ingest(
             parsed.unpersist()
 
     return start_batches(messages, insert, checkpoint, trigger=trigger)
+
+
+def start_rejects(
+    messages: DataFrame, write: BatchWriter, checkpoint: str, *, schema: T.StructType = RAW_SCHEMA, trigger: dict | None = None
+) -> StreamingQuery:
+    """The texts that a prediction or a feed over the same messages leaves out, for a writer of their own."""
+    rejected = parse_messages(messages, schema).filter("rejected").select("value")
+    return start_batches(rejected, write, checkpoint, trigger=trigger)

@@ -17,7 +17,8 @@ def prediction_feed(messages: DataFrame) -> DataFrame:
     """Prediction messages with ``has_label``, false when the JSON object has no such field at all.
 
     Feed it to :func:`start_latest_state` with ``order="offset"``: messages are keyed by trip, so the offset
-    orders those of one trip.
+    orders those of one trip. Rejected messages are left to
+    :func:`tripsense.streaming.ingest.start_rejects`.
     """
     parsed = parse_messages(messages, PREDICTION_SCHEMA)
     present = F.coalesce(F.array_contains(F.json_object_keys("value"), "label"), F.lit(False))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tripsense.llm.common import batch
 
-# The machine is fitted in one task on at most so many labelled rows, those with the smallest hashed ids.
+# The machine is fitted in one task on about so many labelled rows at most, chosen by hashed ids.
 TRAIN_ROWS = 20_000
 FOLDS = 5
 BUCKETS = 1 << 20
@@ -176,11 +176,20 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
 
 
 def train(documents: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic", train_rows: int = TRAIN_ROWS) -> Machine:
-    """A machine from labelled rows that are not held out, at most ``train_rows`` of them. Rows without a label are left out."""
+    """A machine from labelled ids that are not held out, about ``train_rows`` of them if there are more.
+
+    Which ones, their hash decides; ids with several labels count as labelled if any of them is 1, and of several texts of an
+    id the smallest is taken. Rows without a label are left out.
+    """
     known = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).filter(
-        F.col("_label").isNotNull() & ~held_out(F.col("_id"))
-    ).orderBy(F.xxhash64("_id"), "_id", "_label").limit(train_rows)
-    labelled = documents.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).join(known, "_id").select("_id", "text", "_label")
+        F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out(F.col("_id"))
+    ).groupBy("_id").agg(F.max("_label").alias("_label"))
+    share = min(1.0, train_rows / max(1, known.count()))
+    chosen = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # About train_rows rows of two numbers are broadcast, whatever the input.
+    labelled = documents.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).join(
+        F.broadcast(chosen), "_id"
+    ).groupBy("_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("_label").alias("_label"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Terms()

@@ -31,7 +31,7 @@ RANK = 96
 OVERSAMPLE = 16
 # Terms in more than this share of all passages tell nothing and have no weight.
 COMMON_SHARE = 0.2
-LEAST_COSINE = 0.5
+LEAST_COSINE = 0.55
 # Shares of an item's words, in order: a copy, and a paraphrase that must hold the answer too.
 COPY_SHARE = 0.7
 PARAPHRASE_SHARE = 0.5
@@ -40,8 +40,8 @@ ANSWER_WORDS = 8
 # Items of fewer words say too little to be told from chance; none of their occurrences counts.
 LEAST_ITEM_WORDS = 8
 BLOCK_WORDS = 50_000
-TERMS_PER_ROW = 512
-DOCUMENTS_AT_ONCE = 256
+TERMS_PER_ROW = 64
+DOCUMENTS_AT_ONCE = 32
 SEED = 5
 
 _WORDS = re.compile(r"\w+")
@@ -179,6 +179,13 @@ def _sparse(chunk: np.ndarray, term: np.ndarray, idf: np.ndarray) -> tuple[np.nd
     return keys // len(idf), keys % len(idf), (counts * idf[keys % len(idf)]).astype(np.float32)
 
 
+def _weighed(rows: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The chosen rows, each times its weight."""
+    chosen = rows[at]
+    chosen *= weight[:, None]
+    return chosen
+
+
 def _sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of rows with equal keys; the keys are sorted."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -221,9 +228,9 @@ def _latent_space(encoded: DataFrame, block: Block, rank: int) -> Space:
                 continue
             _, row = np.unique(row, return_inverse=True)
             weight = weight / np.sqrt(np.bincount(row, weight.astype(float) ** 2))[row].astype(np.float32)
-            _, sketch = _sums(row, random[column] * weight[:, None])
+            _, sketch = _sums(row, _weighed(random, column, weight))
             order = np.argsort(column, kind="stable")
-            touched, added = _sums(column[order], (sketch[row] * weight[:, None])[order])
+            touched, added = _sums(column[order], _weighed(sketch, row[order], weight[order]))
             total[touched] += added
         for start in range(0, terms, TERMS_PER_ROW):
             part = total[start : start + TERMS_PER_ROW]
@@ -277,7 +284,7 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
             if not len(row):
                 continue
             held = np.zeros((first[-1], onto.shape[1]), dtype=np.float32)
-            touched, sums = _sums(row, onto[column] * counts[:, None])
+            touched, sums = _sums(row, _weighed(onto, column, counts))
             held[touched] = sums
             document = np.repeat(np.arange(len(ids)), np.diff(first))
             window = held.copy()
@@ -294,8 +301,10 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
                 low, high = np.searchsorted(
                     places[d], [begin - len(item.words), begin + CHUNK_WORDS * WINDOW_CHUNKS + len(item.words)]
                 )
-                inside = item.of_item(said[d][low:high])
-                share, start, answered = item.best(said[d][low:high][inside], places[d][low:high][inside])
+                inside = np.flatnonzero(item.of_item(said[d][low:high])) + low
+                if len(inside) < PARAPHRASE_SHARE * len(item.words):
+                    continue
+                share, start, answered = item.best(said[d][inside], places[d][inside])
                 if share >= COPY_SHARE or share >= PARAPHRASE_SHARE and answered:
                     found = (share, float(cosine[at, of]), start)
                     best[d, number] = max(best.get((d, number), found), found)
@@ -357,7 +366,10 @@ def keep_clean(documents: DataFrame, items: DataFrame, *, id: str = "doc_id", te
     held = contaminated(documents, items, id=id, text=text, **options).select(
         F.col("id").alias("_id"), F.col("_text_hash").alias("_hash")
     ).distinct()
-    keyed = documents.withColumns({"_row_id": F.col(id).cast("long"), "_row_hash": F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0")))})
+    keyed = documents.select(
+        F.struct("*").alias("row"), F.col(id).cast("long").alias("_row_id"),
+        F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("\0"))).alias("_row_hash"),
+    )
     return keyed.join(
         held, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_hash") == F.col("_hash")), "left_anti"
-    ).drop("_row_id", "_row_hash")
+    ).select("row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tripsense.llm import boosting
 from tripsense.llm.common import batch
 
-# The layouts are filled from at most so many pages, those with the smallest hashed ids, and so much of each.
+# The layouts are filled from at most so many pages, those with the smallest hashes, and so much of each.
 SAMPLE_PAGES = 200
 SAMPLE_CHARS = 20_000
 LAYOUTS = 500
@@ -355,12 +355,16 @@ def train(paragraphs: list[str], *, layouts: int = LAYOUTS, seed: int = SEED) ->
 
 
 def sample_paragraphs(pages: DataFrame, *, id: str = "page_id", html: str = "html") -> list[str]:
-    """Paragraphs of the sample of pages that fills the layouts."""
-    chosen = pages.filter(F.col(html).isNotNull()).orderBy(F.xxhash64(F.col(id)), F.col(id)).limit(SAMPLE_PAGES)
-    found: list[str] = []
-    for row in chosen.select(F.substring(F.col(html), 1, SAMPLE_CHARS).alias("html")).collect():
-        found += [line for line in Page(row["html"]).text_of_all().split("\n") if len(line.split()) > 1]
-    return sorted(set(found))
+    """Paragraphs of the sample of pages that fills the layouts: those with the smallest hashes, found by the hashes alone."""
+    hashed = pages.filter(F.col(html).isNotNull()).select(
+        F.xxhash64(F.col(id), F.col(html)).alias("hash"), F.substring(F.col(html).cast("string"), 1, SAMPLE_CHARS).alias("html")
+    )
+    lowest = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(SAMPLE_PAGES).collect()]
+    chosen = hashed.filter(F.col("hash").isin(lowest)).groupBy("hash").agg(F.min("html").alias("html"))
+    found: set[str] = set()
+    for row in chosen.collect() if lowest else []:
+        found.update(line for line in Page(row["html"]).text_of_all().split("\n") if len(line.split()) > 1)
+    return sorted(found)
 
 
 def main_text(pages: DataFrame, trees: boosting.Boosted, *, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

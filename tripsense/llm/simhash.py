@@ -213,7 +213,11 @@ def near_duplicates(
 
 def keep_one(documents: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``documents`` with one row of each group: that with the smallest id (nulls last), then the smallest other values."""
-    groups = near_duplicates(documents, id=id, text=text, **options)
+    return keep_first(documents, near_duplicates(documents, id=id, text=text, **options), id=id, text=text)
+
+
+def keep_first(documents: DataFrame, groups: DataFrame, *, id: str, text: str) -> DataFrame:
+    """One row of ``documents`` for each ``root`` of ``groups``, chosen as ``keep_one`` says."""
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("_text_hash"))
     kept = groups.groupBy("root").agg(F.min(rank).alias("k")).select(
         F.col("k.id").alias("_id"), F.col("k._text_hash").alias("_hash")

@@ -7,6 +7,9 @@ back, the products are added up, and a Nystroem step turns the sum into singular
 compared with all benchmark items by cosine there, and for every candidate the longest common subsequence of words
 decides, with a look at the item's answer where it is a paraphrase.
 
+What the cosine passes over is not lost: a place that holds the needed share of an item's words holds some of its rarest
+ones, so an index of those gives every other candidate (``Rare``), whatever rank, window and weights are.
+
 The benchmark is the stated query set; it is searched in blocks of about ``BLOCK_WORDS`` words, each in one job, so what goes
 to the executors is bounded. Nothing of the documents is gathered but sums over terms.
 """
@@ -31,6 +34,8 @@ RANK = 96
 OVERSAMPLE = 16
 # Terms in more than this share of all passages tell nothing and have no weight.
 COMMON_SHARE = 0.2
+# Of the words that a found item needs at least, this share must be among its rarest ones.
+RARE_SHARE = 0.4
 LEAST_COSINE = 0.55
 # Shares of an item's words, in order: a copy, and a paraphrase that must hold the answer too.
 COPY_SHARE = 0.7
@@ -65,6 +70,7 @@ class Item:
             self.places[word] = self.places.get(word, 0) | 1 << at
 
         self.sorted = np.array(sorted(self.places), dtype=np.int32)
+        self.span = len(self.words) + len(self.words) // 4 + 4
 
     def of_item(self, words: np.ndarray) -> np.ndarray:
         """Which of ``words`` the item has."""
@@ -84,7 +90,7 @@ class Item:
         """The best share of the item's words found in order in a span of a quarter more than its length; where it
         starts; whether the answer is there."""
         length = len(self.words)
-        span, step = length + length // 4 + 4, max(1, length // 8)
+        span, step = self.span, max(1, length // 8)
         top, start, answered = 0.0, -1, False
         last = -step
         ends = np.searchsorted(places, places + span)
@@ -129,6 +135,42 @@ class Block:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+class Rare:
+    """Index of the rarest words of each item, for finding every document part that can hold the item.
+
+    Of ``n`` words an item needs ``t`` in one span. Any ``n - t + j`` of its words then have ``j`` there, and the rarest are
+    taken.
+    """
+
+    def __init__(self, items: list[Item], idf: np.ndarray):
+        self.needed = np.ones(len(items), dtype=np.int64)
+        self.spans = np.array([item.span for item in items], dtype=np.int64)
+        pairs = []
+        for number, item in enumerate(items):
+            least = int(np.ceil(PARAPHRASE_SHARE * len(item.words)))
+            self.needed[number] = max(1, int(RARE_SHARE * least))
+            said = np.array(item.words)
+            rarest = said[np.argsort(-idf[said], kind="stable")[: len(said) - least + self.needed[number]]]
+            pairs += [(term, number) for term in np.unique(rarest).tolist()]
+        terms, self.owners = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2).T
+        self.starts = np.searchsorted(terms, np.arange(len(idf) + 1))
+
+    def candidates(self, document: np.ndarray, place: np.ndarray, term: np.ndarray) -> list[tuple[int, int]]:
+        """Documents and items, from words in the order of documents and places."""
+        times = self.starts[term + 1] - self.starts[term]
+        at = np.repeat(np.arange(len(term)), times)
+        before = np.cumsum(times) - times
+        item = self.owners[np.arange(len(at)) + np.repeat(self.starts[term] - before, times)]
+        key = document[at] * len(self.needed) + item
+        order = np.argsort(key, kind="stable")
+        key, item, place = key[order], item[order], place[at[order]].astype(np.int64)
+        last = np.arange(len(key)) + self.needed[item] - 1
+        inside = last < len(key)
+        first, last = np.flatnonzero(inside), last[inside]
+        held = (key[first] == key[last]) & (place[last] - place[first] < self.spans[item[first]])
+        return [divmod(k, len(self.needed)) for k in np.unique(key[first[held]]).tolist()]
+
+
 @dataclass
 class Space:
     """The latent space: ``directions`` maps term weights to coordinates, ``values`` are the singular values."""
@@ -274,9 +316,7 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
     own = block.segment_rows(space.idf) @ space.directions
     own = (own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     owner = np.array([number for number, _ in block.segments], dtype=np.int64)
-    items, terms, idf = block.items, len(block.vocabulary), space.idf
-    flat = np.ones(terms, dtype=np.float64)
-    flat[idf <= 0] = 0
+    items, flat, rare = block.items, np.ones(len(block.vocabulary)), Rare(block.items, space.idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, places, said, first, chunk, term in _decoded(batches):
@@ -294,20 +334,20 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
             window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
             cosine = window @ own.T
             near, segment = np.nonzero(cosine >= least_cosine)
+            candidates = set(zip(document[near].tolist(), owner[segment].tolist()))
+            sizes = [len(p) for p in places]
+            candidates.update(rare.candidates(np.repeat(np.arange(len(ids)), sizes), np.concatenate(places), term))
             best: dict[tuple[int, int], tuple] = {}
-            for at, of in zip(near.tolist(), segment.tolist()):
-                d, number = int(document[at]), int(owner[of])
-                item, begin = items[number], (at - first[d]) * CHUNK_WORDS
-                low, high = np.searchsorted(
-                    places[d], [begin - len(item.words), begin + CHUNK_WORDS * WINDOW_CHUNKS + len(item.words)]
-                )
-                inside = np.flatnonzero(item.of_item(said[d][low:high])) + low
+            for d, number in sorted(candidates):
+                item = items[number]
+                inside = np.flatnonzero(item.of_item(said[d]))
                 if len(inside) < PARAPHRASE_SHARE * len(item.words):
                     continue
                 share, start, answered = item.best(said[d][inside], places[d][inside])
                 if share >= COPY_SHARE or share >= PARAPHRASE_SHARE and answered:
-                    found = (share, float(cosine[at, of]), start)
-                    best[d, number] = max(best.get((d, number), found), found)
+                    at = first[d] + start // CHUNK_WORDS
+                    around = cosine[max(first[d], at - WINDOW_CHUNKS + 1) : at + 1, owner == number]
+                    best[d, number] = (share, float(around.max()), start)
             if best:
                 yield batch(
                     id=pa.array([ids[d] for d, _ in best], pa.int64()), _text_hash=pa.array([hashes[d] for d, _ in best], pa.int64()),

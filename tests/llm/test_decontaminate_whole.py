@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
+
 from tripsense.llm import decontaminate
 
 
@@ -53,3 +55,19 @@ def test_short_items_of_a_large_benchmark_equal_brute_force(spark):
                     plain.add((d, item.id))
     assert planted <= plain and got >= planted
     assert got <= plain
+
+
+def copies_among(others, copies):
+    rng = random.Random(6)
+    item = "what is the tallest hill of the northern island called in old songs"
+    rows = [(i, " ".join(f"w{rng.randint(0, 500)}" for _ in range(15))) for i in range(others)]
+    return item, rows + [(1000 + i, item) for i in range(copies)]
+
+
+@pytest.mark.parametrize("others, copies", [(60, 30), (0, 2), (0, 1), (200, 1)])
+def test_frequent_copies_are_found(spark, others, copies):
+    item, rows = copies_among(others, copies)
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontaminate.contaminated(documents, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert {r["id"] for r in got} == {1000 + i for i in range(copies)} and len(got) == copies
+    assert all(r["share"] == 1 and r["cosine"] > decontaminate.LEAST_COSINE for r in got)

@@ -32,8 +32,8 @@ CHUNK_WORDS = 24
 WINDOW_CHUNKS = 3
 RANK = 96
 OVERSAMPLE = 16
-# Terms in more than this share of all passages tell nothing and have no weight.
-COMMON_SHARE = 0.2
+# The least IDF of a term; none is without weight, however common.
+LEAST_WEIGHT = 0.05
 # Of the words that a found item needs at least, this share must be among its rarest ones.
 RARE_SHARE = 0.4
 LEAST_COSINE = 0.55
@@ -127,7 +127,7 @@ class Block:
         ]
 
     def segment_rows(self, idf: np.ndarray) -> np.ndarray:
-        """TF-IDF of the items' passages, of unit length; zero where no word has weight."""
+        """TF-IDF of the items' passages, of unit length."""
         rows = np.zeros((len(self.segments), len(self.vocabulary)))
         for at, (_, said) in enumerate(self.segments):
             np.add.at(rows[at], said, 1.0)
@@ -215,9 +215,8 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _sparse(chunk: np.ndarray, term: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, terms and TF-IDF weights of chunks, without terms of no weight."""
-    weighty = idf[term] > 0
-    keys, counts = np.unique(chunk[weighty].astype(np.int64) * len(idf) + term[weighty], return_counts=True)
+    """Rows, terms and TF-IDF weights of chunks."""
+    keys, counts = np.unique(chunk.astype(np.int64) * len(idf) + term, return_counts=True)
     return keys // len(idf), keys % len(idf), (counts * idf[keys % len(idf)]).astype(np.float32)
 
 
@@ -250,9 +249,7 @@ def _inverse_frequency(encoded: DataFrame, terms: int) -> tuple[np.ndarray, int]
     passages = counts.pop(-1, 0)
     found = np.zeros(terms)
     found[list(counts)] = list(counts.values())
-    idf = np.log((passages + 1) / (found + 1)) + 1e-9
-    idf[found > max(COMMON_SHARE * passages, 1)] = 0
-    return idf, passages
+    return np.maximum(np.log((passages + 1) / (found + 1)), LEAST_WEIGHT), passages
 
 
 def _latent_space(encoded: DataFrame, block: Block, rank: int) -> Space:

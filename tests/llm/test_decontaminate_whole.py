@@ -15,13 +15,13 @@ def test_short_items_of_a_large_benchmark_equal_brute_force(spark):
     vocabulary = [f"word{i}" for i in range(3000)]
     text = lambda n: [rng.choice(vocabulary) for _ in range(n)] + rng.choices(["the", "of", "and"], k=n // 3)
     items = []
-    for i in range(1500):
-        said = text(16)[: rng.randint(8, 20)]
+    for i in range(3000):
+        said = text(rng.randint(7, 12))[: rng.randint(8, 12)]
         rng.shuffle(said)
         items.append((i, said))
     rows, planted = [], set()
     for i in range(120):
-        said = text(rng.randint(5, 300))
+        said = text(rng.randint(100, 400))
         rng.shuffle(said)
         if i % 4:
             number, at = rng.randrange(len(items)), rng.randint(0, len(said))

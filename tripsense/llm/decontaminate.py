@@ -155,8 +155,8 @@ class Rare:
         terms, self.owners = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2).T
         self.starts = np.searchsorted(terms, np.arange(len(idf) + 1))
 
-    def candidates(self, document: np.ndarray, place: np.ndarray, term: np.ndarray) -> list[tuple[int, int]]:
-        """Documents and items, from words in the order of documents and places."""
+    def candidates(self, document: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+        """By document and item, from which place to which it can be; words come in the order of documents and places."""
         times = self.starts[term + 1] - self.starts[term]
         at = np.repeat(np.arange(len(term)), times)
         before = np.cumsum(times) - times
@@ -168,7 +168,14 @@ class Rare:
         inside = last < len(key)
         first, last = np.flatnonzero(inside), last[inside]
         held = (key[first] == key[last]) & (place[last] - place[first] < self.spans[item[first]])
-        return [divmod(k, len(self.needed)) for k in np.unique(key[first[held]]).tolist()]
+        first, last = first[held], last[held]
+        keys, starts = np.unique(key[first], return_index=True)
+        if not len(keys):
+            return {}
+        ends = np.concatenate([starts[1:], [len(first)]]) - 1
+        spans = self.spans[item[first[starts]]]
+        low, high = place[first[starts]] - spans, place[last[ends]] + spans
+        return {divmod(k, len(self.needed)): (a, b) for k, a, b in zip(keys.tolist(), low.tolist(), high.tolist())}
 
 
 @dataclass
@@ -331,13 +338,20 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
             window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
             cosine = window @ own.T
             near, segment = np.nonzero(cosine >= least_cosine)
-            candidates = set(zip(document[near].tolist(), owner[segment].tolist()))
             sizes = [len(p) for p in places]
-            candidates.update(rare.candidates(np.repeat(np.arange(len(ids)), sizes), np.concatenate(places), term))
+            # What the needed share of words stands in is in the index, so a near window beside it needs no second look.
+            candidates = rare.candidates(np.repeat(np.arange(len(ids)), sizes), np.concatenate(places), term)
+            for at, of in zip(near.tolist(), owner[segment].tolist()):
+                d, begin = int(document[at]), int(at - first[document[at]]) * CHUNK_WORDS
+                if (d, of) in candidates:
+                    low, high = candidates[d, of]
+                    reach = len(items[of].words)
+                    candidates[d, of] = min(low, begin - reach), max(high, begin + CHUNK_WORDS * WINDOW_CHUNKS + reach)
             best: dict[tuple[int, int], tuple] = {}
-            for d, number in sorted(candidates):
+            for (d, number), reach in candidates.items():
                 item = items[number]
-                inside = np.flatnonzero(item.of_item(said[d]))
+                low, high = np.searchsorted(places[d], reach)
+                inside = np.flatnonzero(item.of_item(said[d][low:high])) + low
                 if len(inside) < PARAPHRASE_SHARE * len(item.words):
                     continue
                 share, start, answered = item.best(said[d][inside], places[d][inside])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripsense.llm import chat, decontaminate, html, mixing, quality, reputation, ring, secrets, simhash, toxicity
+from tripsense.llm import chat, decontaminate, fim, html, licences, mixing, quality, reputation, ring, secrets, simhash, spelling, toxicity
 from tripsense.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,32 @@ def op10_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return verdicts.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_bloom_neighbourhoods(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+def op12_boundary_set(spark: SparkSession, sf: str) -> DataFrame:
+    made = fim.round_trip(fim.fill_in_middle(table(spark, sf, "documents")))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_licence_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    def joined(names: str | Column) -> Column:
+        return F.array_join(names, ",")
+
+    starts = F.transform("base", lambda place: place["start"])
+    base_labels = F.array_sort(F.array_distinct(F.transform("base", lambda place: place["label"])))
+    return licences.scan(table(spark, sf, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base_labels).alias("base_labels"), joined("labels").alias("labels"), "score",
+        joined("in_force").alias("in_force"),
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,6 +142,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_boosted_extraction": op8_boosted_extraction,
         "op9_bounded_ring": op9_bounded_ring,
         "op10_host_reputation": op10_host_reputation,
+        "op11_bloom_neighbourhoods": op11_bloom_neighbourhoods,
+        "op12_boundary_set": op12_boundary_set,
+        "op13_licence_automaton": op13_licence_automaton,
         "pipeline": pipeline,
     }
 
@@ -188,5 +217,30 @@ FROM ruled"""
     )
 
 
+_BOUNDARIES = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, tokens, CAST(len(tokens) AS BIGINT) AS n,
+    CAST('0x' || digest[1:8] AS BIGINT) % (len(tokens) + 1) AS one, CAST('0x' || digest[9:16] AS BIGINT) % (len(tokens) + 1) AS two,
+    CAST('0x' || digest[17:24] AS BIGINT) % 100 AS plain, CAST('0x' || digest[25:32] AS BIGINT) % 100 AS spm
+  FROM cut
+), parted AS (
+  SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR plain >= 90 THEN 'plain' WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(tokens[1:least(one, two)], '') AS prefix,
+    array_to_string(tokens[least(one, two) + 1:greatest(one, two)], '') AS middle,
+    array_to_string(tokens[greatest(one, two) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parted"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op10_host_reputation": _reputation_sql()}
+    return {"op10_host_reputation": _reputation_sql(), "op12_boundary_set": _BOUNDARIES}

@@ -71,7 +71,7 @@ _TO_WORDS = bytes(
     b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
 )
 _AFTER_TAG = re.compile(rb"[ \t]*[:=][ \t]*([^\r\n]*)")
-_TOKENS = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+:_-]*)")
+_TOKENS = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+:_-]*)", re.ASCII)
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 

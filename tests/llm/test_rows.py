@@ -250,6 +250,21 @@ def test_odd_rows_are_mixed(odd_documents, no_documents):
     assert mixing.taken_words(*mixing.mix(no_documents)).count() == mixing.mixed_documents(no_documents).count() == 0
 
 
+def test_slots_are_not_broadcast(spark):
+    """The planner sees a range of shards, but each gives many slots."""
+    frame = spark.createDataFrame([(k, "a b c", "s") for k in range(50)], "doc_id long, text string, source string")
+    _, pieces = mixing.mix(frame)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and not any("Broadcast" in line and "block" in line for line in plan.splitlines())
+
+
+def test_too_many_sources_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    rows = [(k, "a b", f"s{k % 4}") for k in range(8)]
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+
+
 # sharding
 
 
@@ -277,12 +292,76 @@ def test_rows_below_the_bound_stay_with_the_first_node(spark):
     nodes = spark.range(16 * ring.VIRTUAL_NODES).selectExpr(
         "cast(shiftrightunsigned(xxhash64('shard', id div 64, id % 64), 48) as int) AS at", "cast(id div 64 as int) AS shard"
     ).collect()
-    spots = df.selectExpr("doc_id", "cast(shiftrightunsigned(xxhash64('row', doc_id), 48) as int) AS at").collect()
+    spots = df.selectExpr(
+        "doc_id", "cast(shiftrightunsigned(xxhash64('row', doc_id, xxhash64(false, size), 0L), 48) as int) AS at"
+    ).collect()
     for spot in spots:
         first = min((n for n in nodes), key=lambda n: ((n["at"] - spot["at"]) % ring.CELLS, n["shard"]))
         assert got[spot["doc_id"]] == first["shard"]
 
 
+def plain_walk(cells, preferences, shards, slack):
+    """Arcs offered round by round: a shard keeps what it holds and takes the larger arcs first, while the sum fits."""
+    capacity = sum(load for load, _ in cells.values()) / shards * (1 + slack)
+    turn, held = dict.fromkeys(cells, 0), dict.fromkeys(cells, False)
+    while True:
+        while any(not held[c] and turn[c] < shards for c in cells):
+            asked = defaultdict(list)
+            for c in cells:
+                if turn[c] < shards:
+                    asked[preferences[c][turn[c]]].append(c)
+            for offers in asked.values():
+                total = 0
+                for c in sorted(offers, key=lambda c: (not held[c], -cells[c][0], c)):
+                    total += cells[c][0]
+                    held[c] = total <= capacity
+                    turn[c] += not held[c]
+        left = [c for c in cells if not held[c]]
+        if not left:
+            return {c: preferences[c][turn[c]] for c in cells}
+        capacity += max(cells[c][0] for c in left)
+        for c in left:
+            turn[c] = 0
+
+
+def test_overflow_walk_equals_a_plain_one(spark):
+    """With full shards: arcs that do not fit go on clockwise, as a replay in plain Python says."""
+    rng = random.Random(11)
+    points = [(int(r["at"]), r["shard"]) for r in spark.range(5 * ring.VIRTUAL_NODES).selectExpr(
+        f"shiftrightunsigned(xxhash64('shard', id div {ring.VIRTUAL_NODES}, id % {ring.VIRTUAL_NODES}), 48) AS at",
+        f"cast(id div {ring.VIRTUAL_NODES} as int) AS shard",
+    ).collect()]
+    cells = {c: (rng.randint(1, 400), 1) for c in rng.sample(range(ring.CELLS), 900)}
+    preferences = {}
+    for c in cells:
+        met = sorted(((p - c) % ring.CELLS, shard) for p, shard in points)
+        preferences[c] = list(dict.fromkeys(shard for _, shard in met))
+    table = ring._preferences(spark, 5, ring.VIRTUAL_NODES)
+    wanted = {c: preferences[c] for c in cells}
+    assert {r["cell"]: r["choices"] for r in table.collect() if r["cell"] in cells} == wanted
+    loads = spark.createDataFrame([(c, l, n) for c, (l, n) in cells.items()], "cell int, load long, rows long")
+    for slack in (ring.SLACK, 0.3):
+        got = {r["cell"]: r["shard"] for r in ring._settle(table.join(loads, "cell"), 5, slack).collect()}
+        assert got == plain_walk(cells, preferences, 5, slack)
+
+
+@pytest.mark.parametrize("kind", ["null ids", "one id", "equal rows"])
+def test_a_hot_id_is_spread(spark, kind):
+    """A third of the rows with one id, or equal as a whole."""
+    rng = random.Random(4)
+    hot = {"null ids": None, "one id": 7, "equal rows": 7}[kind]
+    rows = [(i + 10, "x" * rng.randint(0, 300)) for i in range(2000)]
+    rows += [(hot, "y" * (150 if kind == "equal rows" else rng.randint(0, 300)) + ("" if kind == "equal rows" else str(k))) for k in range(1000)]
+    got = ring.shard_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), size=ring.text_bytes("text"), tie="text").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted((i or 0, t) for i, t in rows)
+    loads, slots = Counter(), defaultdict(list)
+    for r in got:
+        loads[r["shard"]] += len(r["text"]) + 1
+        slots[r["shard"]].append(r["slot"])
+    assert max(loads.values()) <= sum(loads.values()) / 16 * (1 + ring.SLACK) + 306
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_odd_rows_are_sharded(spark, odd_documents, no_documents):
     got = ring.shard_rows(odd_documents, size=ring.text_bytes("text"))
     assert got.count() == odd_documents.count()
@@ -308,6 +387,7 @@ def test_hosts_paths_and_rules(spark):
     labels = spark.createDataFrame([], "label_id long, bad int")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in reputation.url_verdicts(pages, labels).collect()}
     assert got == dict(enumerate(urls.values()))
+    assert [r["n"] for r in reputation.host_reputation(spark.createDataFrame([], "host string, n long, bad long")).collect()] == []
     assert reputation.url_verdicts(pages.limit(0), labels).count() == 0
 
 
@@ -330,6 +410,29 @@ def test_hosts_are_judged_with_their_kin(spark):
     assert got["good.fine.org"][1] < got["one.fine.org"][1] < got["unseen.evil.org"][1] < got["worse.evil.org"][1]
 
 
+def test_suffixes_and_domains_without_labels(spark):
+    """Hosts, domains and suffixes with and without labelled pages side by side."""
+    urls = ["http://a.net/en/1", "http://b.org/en/2", "http://a.org/x", "http://c.d.org/en/4", "http://e.info/", "junk"]
+    pages = spark.createDataFrame(list(enumerate(urls, 1)), "page_id long, url string")
+    for labels in ([(1, 1)], [(1, 0), (4, 1)], [(9, 1)], [(None, None)]):
+        verdicts = reputation.url_verdicts(pages, spark.createDataFrame(labels, "label_id long, bad int")).collect()
+        assert len(verdicts) == len(urls) and all(0 < v["posterior"] < 1 for v in verdicts)
+
+
+def test_suffixes_are_a_parameter(spark):
+    hosts = spark.createDataFrame([("a.com.mx",), ("x.b.com.mx",), ("com.mx",), ("mx",), ("",), ("k.city.kobe.jp",)], "host string")
+    suffixes = ("com.mx", "city.kobe.jp")
+    got = hosts.select("host", reputation.suffix_of(F.col("host"), suffixes).alias("s"), reputation.domain_of(F.col("host"), suffixes).alias("d")).collect()
+    assert {r["host"]: (r["s"], r["d"]) for r in got} == {
+        "a.com.mx": ("com.mx", "a.com.mx"), "x.b.com.mx": ("com.mx", "b.com.mx"), "com.mx": ("com.mx", "com.mx"),
+        "mx": ("mx", "mx"), "": ("", ""), "k.city.kobe.jp": ("city.kobe.jp", "k.city.kobe.jp"),
+    }
+    outcomes = spark.createDataFrame([("a.com.mx", 50, 50), ("b.com.mx", 1, 0), ("c.com.mx", 40, 0)], "host string, n long, bad long")
+    apart = {r["host"]: r["posterior"] for r in reputation.host_reputation(outcomes, suffixes=("com.mx",)).collect()}
+    together = {r["host"]: r["posterior"] for r in reputation.host_reputation(outcomes, suffixes=()).collect()}
+    assert apart["a.com.mx"] > 0.9 and apart["c.com.mx"] < 0.1 and apart["b.com.mx"] != together["b.com.mx"]
+
+
 # pipeline
 
 

@@ -28,6 +28,8 @@ BLOCK_WORDS = 1024
 SLOTS_PER_SHARD = 256
 ROWS_PER_BUCKET = 50_000
 LEAST_BUCKETS = 256
+# Targets and draws go over all sources in one task, so their number is bounded.
+MOST_SOURCES = 10_000
 SEED = 20_240_229
 _WORD = r"[^\x20\x09-\x0D]+"
 _WORDS = re.compile(_WORD)
@@ -189,7 +191,7 @@ def mix(
     Pieces: ``(shard, slot, place, number, start, id, _text_hash, size, reading, first_word, end_word)``: words
     ``first_word`` to ``end_word`` of the row that starts at ``start`` in source ``number`` stand at ``place`` in the slot.
     Null and empty texts have no words and no pieces; null sources are one source; null ids and repeated rows take part
-    like others. An empty table gives empty results. Equal input gives equal output.
+    like others. An empty table gives empty results; more than ``MOST_SOURCES`` sources are an error. Equal input gives equal output.
     """
     spark = documents.sparkSession
     sized = cut(
@@ -201,7 +203,9 @@ def mix(
     )
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     targets = cut(source_targets(stats.select("source", "source_size"), weights=weights, share=share))
-    sources = targets.orderBy("number").collect()  # one row per source
+    sources = targets.orderBy("number").limit(MOST_SOURCES + 1).collect()
+    if len(sources) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources; give a coarser source column")
     rows = sized.count()
     known = sized.alias("d").join(
         targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))
@@ -221,7 +225,8 @@ def mix(
     begin = F.greatest(F.col("at"), F.col("block") * block_words)
     end = F.least(F.col("at") + F.col("size"), F.col("block") * block_words + F.col("take"))
     filled = (
-        pieces.join(_slots(spark, sources, block_words, slots_per_shard, seed), ["number", "block"])
+        # The planner takes the slots for as small as the range of shards they are made from.
+        pieces.join(_slots(spark, sources, block_words, slots_per_shard, seed).hint("merge"), ["number", "block"])
         .withColumn("first_word", begin - F.col("at"))
         .withColumn("end_word", end - F.col("at"))
         .filter("end_word > first_word")

@@ -22,7 +22,7 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-# Suffixes of two labels under which names are registered; any other suffix is the last label.
+# Suffixes of two labels under which names are registered, unless a caller gives its own; any other suffix is the last label.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 THRESHOLD = 0.5
 Z = 1.645
@@ -42,16 +42,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*TWO_LABEL_SUFFIXES), last_two).otherwise(F.substring_index(host, ".", -1))
+def _suffix_labels(host: Column, suffixes: Sequence[str]) -> Column:
+    """Number of labels of the longest of ``suffixes`` that the host ends in; 1 without one."""
+    labels = F.lit(1)
+    for size in sorted({s.count(".") + 1 for s in suffixes}):
+        own = [s for s in suffixes if s.count(".") + 1 == size]
+        labels = F.when(F.substring_index(host, ".", -size).isin(*own), F.lit(size)).otherwise(labels)
+    return labels
 
 
-def domain_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    return _last_labels(host, _suffix_labels(host, suffixes))
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     """The suffix and one label before it."""
-    return F.when(
-        F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)
-    ).otherwise(F.substring_index(host, ".", -2))
+    return _last_labels(host, _suffix_labels(host, suffixes) + 1)
+
+
+def _last_labels(host: Column, count: Column) -> Column:
+    labels = F.split(host, r"\.", -1)
+    return F.array_join(F.slice(labels, -F.least(count, F.size(labels)), count), ".")
 
 
 def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> tuple[Column, Column]:
@@ -68,25 +79,29 @@ def _strength(children: DataFrame, parent: list[str]) -> DataFrame:
     """Per parent: ``n``, ``bad`` and the strength of the prior that it gives its children, by moments."""
     sums = children.groupBy(*parent).agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-        F.sum(F.when(F.col("n") > 0, F.col("bad") * F.col("bad") / F.col("n")).otherwise(F.lit(0.0))).alias("spread"),
+        F.sum(F.coalesce(F.try_divide(F.col("bad") * F.col("bad"), F.col("n")), F.lit(0.0))).alias("spread"),
         F.sum(F.when(F.col("n") > 0, F.lit(1)).otherwise(F.lit(0))).alias("seen"),
     )
-    rate = F.col("bad") / F.col("n")
+    # Null wherever a parent has no labelled page: such expressions may be computed before a condition is looked at.
+    n = F.nullif(F.col("n"), F.lit(0))
+    rate = F.col("bad") / n
     chance = rate * (1 - rate)
-    size = F.col("n") - F.col("squares") / F.col("n")
+    size = F.nullif(F.col("n") - F.col("squares") / n, F.lit(0.0))
     between = (F.col("spread") - F.col("bad") * rate - (F.col("seen") - 1) * chance) / size
-    fitted = F.when(
-        (F.col("n") > 0) & (size > 0) & (between > 0), F.least(F.greatest(chance / between - 1, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
-    ).when((F.col("n") > 0) & (size > 0), F.lit(MOST_STRENGTH)).otherwise(F.lit(LEAST_STRENGTH))
+    apart = F.try_divide(chance, F.nullif(between, F.lit(0.0))) - 1
+    fitted = F.when(between > 0, F.least(F.greatest(apart, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))).when(
+        size > 0, F.lit(MOST_STRENGTH)
+    ).otherwise(F.lit(LEAST_STRENGTH))
     return sums.select(*parent, "n", "bad", fitted.alias("strength"))
 
 
-def host_reputation(outcomes: DataFrame, *, z: float = Z) -> DataFrame:
+def host_reputation(outcomes: DataFrame, *, z: float = Z, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``(host, n, bad, posterior, lower)`` from ``(host, n, bad)``, one row per host; ``n`` may be 0.
 
     Without any labelled page the rate of all pages counts as one half, with the least strength.
     """
-    hosts = outcomes.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
+    host = F.col("host")
+    hosts = outcomes.select("host", domain_of(host, suffixes).alias("domain"), suffix_of(host, suffixes).alias("suffix"), "n", "bad")
     domains = _strength(hosts, ["domain", "suffix"])
     suffixes = _strength(domains, ["suffix"])
     overall = _strength(suffixes.withColumn("all", F.lit(1)), ["all"]).select(
@@ -112,13 +127,14 @@ def host_reputation(outcomes: DataFrame, *, z: float = Z) -> DataFrame:
 def url_verdicts(
     pages: DataFrame, labels: DataFrame, *, id: str = "page_id", url: str = "url",
     label_id: str = "label_id", rules: Sequence[tuple[str, str, str]] = RULES,
-    threshold: float = THRESHOLD, z: float = Z,
+    threshold: float = THRESHOLD, z: float = Z, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, posterior, lower)`` for every row of ``pages``.
 
     ``labels`` has one row per ``label_id``, a number that stands second in the path of a labelled page, and ``bad``, 0 or
-    1; rows with nulls there label nothing. A null url has an empty host and path. Repeated rows stay, other columns of
-    ``pages`` are not read.
+    1; rows with nulls there label nothing. ``suffixes`` are the ones of several labels under which names are registered, such
+    as the entries of a public list. A null url has an empty host and path. Repeated rows stay, other columns of ``pages``
+    are not read.
     """
     parsed = pages.select(F.col(id).alias(id), F.col(url).cast("string").alias("_url")).select(
         id, host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path")
@@ -132,7 +148,7 @@ def url_verdicts(
         F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("pages"))), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.col("bad") * F.col("pages")), F.lit(0)).alias("bad"),
     )
-    reputation = host_reputation(outcomes, z=z).select("host", "posterior", "lower")
+    reputation = host_reputation(outcomes, z=z, suffixes=suffixes).select("host", "posterior", "lower")
     rule, ruled = rule_columns(F.col("host"), F.col("path"), rules)
     return parsed.join(reputation, "host").select(
         id, "host", "path", rule.alias("rule"),

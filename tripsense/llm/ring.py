@@ -1,6 +1,6 @@
 """Shards by a consistent-hash ring with virtual nodes and bounded loads.
 
-A row sits on the ring at the hash of its id. Every shard has ``VIRTUAL_NODES`` points there, and a row belongs to the
+A row sits on the ring at the hash of its id and a tie. Every shard has ``VIRTUAL_NODES`` points there, and a row belongs to the
 first shard clockwise from it; what a full shard cannot hold goes on clockwise to the next distinct shard. The walk runs
 over ``CELLS`` equal arcs of the ring, of which one aggregate gives the sizes, so it is as long for any amount of data;
 the rows only look up their arc's shard. All of it is DataFrame operations.
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripsense.llm.common import cut
+from tripsense.operators.ordering import join_null_safe, with_prefix
 
 SHARDS = 16
 VIRTUAL_NODES = 64
@@ -19,6 +20,8 @@ CELL_BITS = 16
 CELLS = 1 << CELL_BITS
 SLACK = 1 / 512
 ROUNDS_AT_ONCE = 4
+# So many rows that are alike in id and tie may move as one.
+COPIES = 16
 
 
 def _preferences(spark: SparkSession, shards: int, virtual_nodes: int) -> DataFrame:
@@ -84,23 +87,35 @@ def text_bytes(text: str) -> Column:
     return F.octet_length(F.coalesce(F.col(text).cast("string"), F.lit(""))).cast("long")
 
 
+def _numbered(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with ``_copy``: 0, but a running number where more than ``COPIES`` rows share id and tie."""
+    many = keyed.groupBy("_id", "_tie").agg(F.count("*").alias("n")).filter(F.col("n") > COPIES).select("_id", "_tie")
+    many = cut(many)
+    if many.isEmpty():
+        return keyed.withColumn("_copy", F.lit(0).cast("long"))
+    one = with_prefix(join_null_safe(keyed, many, ["_id", "_tie"], "left_semi"), ["_id", "_tie"], ["_bytes"], out="_copy")
+    return join_null_safe(keyed, many, ["_id", "_tie"], "left_anti").withColumn("_copy", F.lit(0).cast("long")).unionByName(one)
+
+
 def shard_rows(
     rows: DataFrame, *, id: str = "doc_id", size: str | Column = "size", tie: str | Column | None = None,
     shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = SLACK,
 ) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``, a gapless number from 0 in the shard; columns of these names are replaced.
 
-    The load of a row is ``size`` plus one, null as none. Rows with equal ids, null ids among them, share a place on the
-    ring and stay together, in the order of ``tie`` (their size if none is given); rows equal in both are numbered in any order. An empty table stays
-    empty.
+    The load of a row is ``size`` plus one, null as none. Rows with equal ids, null ids among them, are told apart by ``tie``
+    (their size if none is given). Rows equal in both share a place on the ring if they are at most ``COPIES``; more are
+    spread by their numbers. An empty table stays empty.
     """
     size, tie = (F.col(c) if isinstance(c, str) else c for c in (size, size if tie is None else tie))
-    spot = F.xxhash64(F.lit("row"), F.col(id))
     others = [c for c in rows.columns if c not in ("shard", "slot")]
-    placed = rows.select(
-        F.struct(*others).alias("row"), F.col(id).alias("_id"), spot.alias("_spot"),
-        F.shiftrightunsigned(spot, 64 - CELL_BITS).cast("int").alias("_cell"),
-        (F.coalesce(size.cast("long"), F.lit(0)) + 1).alias("_bytes"), tie.alias("_tie"),
+    keyed = rows.select(
+        F.struct(*others).alias("row"), F.col(id).alias("_id"),
+        (F.coalesce(size.cast("long"), F.lit(0)) + 1).alias("_bytes"), F.xxhash64(F.col(id).isNull(), tie).alias("_tie"),
+    )
+    spot = F.xxhash64(F.lit("row"), "_id", "_tie", "_copy")
+    placed = _numbered(keyed).withColumn("_spot", spot).withColumn(
+        "_cell", F.shiftrightunsigned("_spot", 64 - CELL_BITS).cast("int")
     )
     loads = placed.groupBy("_cell").agg(F.sum("_bytes").alias("load"), F.count("*").alias("rows"))
     cells = _preferences(rows.sparkSession, shards, virtual_nodes).join(
@@ -111,7 +126,7 @@ def shard_rows(
     lookup = settled.select(
         F.col("cell").alias("_cell"), "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy("_cell").orderBy("_spot", "_id", "_tie", "_bytes")
+    within = Window.partitionBy("_cell").orderBy("_spot", "_id", "_tie", "_copy", "_bytes")
     numbered = placed.withColumn("_rank", F.row_number().over(within))
     # At most CELLS rows of three numbers are broadcast, whatever the input.
     return numbered.join(F.broadcast(lookup), "_cell").select(

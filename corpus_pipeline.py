@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripsense.llm import decontaminate, mixing, ring, similar, toxicity
+from tripsense.llm import decontaminate, mixing, ring, simhash, toxicity
 from tripsense.llm.common import table
 from tripsense.session import scratch_dir
 
@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share four fifths of their five-word shingles."""
-    return similar.keep_one(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked by at most three differing bits."""
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

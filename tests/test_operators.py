@@ -16,14 +16,14 @@ LENGTHS = [1, 4, 5, 6, 9, 10, 11, 14, 15, 16, 20, 21, 57]
 
 
 @pytest.mark.parametrize("size, step", [(10, 5), (10, 10), (7, 3), (4, 1), (1, 1), (10, 9)])
-@pytest.mark.parametrize("partitions", [None, 30])
-def test_count_windows_equal_a_replayed_buffer(spark, size, step, partitions):
+@pytest.mark.parametrize("group_rows", [1000, 3])
+def test_count_windows_equal_a_replayed_buffer(spark, size, step, group_rows):
     rows = [(trip, second) for trip, length in enumerate(LENGTHS) for second in range(length)]
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "bookingid long, second long").repartition(3)
     got = count_windows(
         df, [F.min("second").alias("first"), F.max("second").alias("last")],
-        order=["second"], size=size, step=step, partitions=partitions,
+        order=["second"], size=size, step=step, group_rows=group_rows,
     )
     expected = [
         (trip, k, len(w), w[0], w[-1], len(w) < size)
@@ -105,10 +105,10 @@ def test_ordered_samples(spark):
     assert got == [(i, float(s)) for i in (1, 2) for s in (1, 2, 3)]
 
 
-@pytest.mark.parametrize("partitions", [None, 15])
-def test_sequences_are_chunks_of_the_ordered_trip(spark, partitions):
+@pytest.mark.parametrize("group_rows", [1000, 5])
+def test_sequences_are_chunks_of_the_ordered_trip(spark, group_rows):
     rows = samples(spark, [sample(1, s, speed=s * 2) for s in range(53)] + [sample(2, 0, speed=9)]).repartition(4)
-    chunks = trips.trip_sequences(rows, chunk_rows=20, partitions=partitions).orderBy("bookingid", "chunk").collect()
+    chunks = trips.trip_sequences(rows, chunk_rows=20, group_rows=group_rows).orderBy("bookingid", "chunk").collect()
     assert [(c["bookingid"], c["chunk"], len(c["records"])) for c in chunks] == [(1, 0, 20), (1, 1, 20), (1, 2, 13), (2, 0, 1)]
     whole = [r for c in chunks[:3] for r in c["records"]]
     assert [(r["second"], r["speed"]) for r in whole] == [(float(s), s * 2.0) for s in range(53)]

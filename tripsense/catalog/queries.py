@@ -36,7 +36,7 @@ from tripsense.streaming.sinks import parquet_batches, read_batches, start_batch
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOOKUP_ID = 7
-MANY_RANGES = 64
+CUT_ROWS = 16
 CHUNK_ROWS = 20
 STD_SPEED_LIMIT = 8.0
 
@@ -260,8 +260,8 @@ def trip_sequences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trip_sequences_long_trips(spark: SparkSession, sf: str) -> DataFrame:
-    """In so many ranges that trips are cut."""
-    return _sequences(fx.fx_raw(spark, sf), partitions=MANY_RANGES)
+    """With trips cut into pieces of a few rows."""
+    return _sequences(fx.fx_raw(spark, sf), group_rows=CUT_ROWS)
 
 
 # windows, sorts, top-k
@@ -290,8 +290,8 @@ def count_windows_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def count_windows_long_trips(spark: SparkSession, sf: str) -> DataFrame:
-    """In so many ranges that trips are cut."""
-    return round_doubles(_windows(spark, sf, _speed_aggregates(), partitions=MANY_RANGES))
+    """With trips cut into pieces of a few rows."""
+    return round_doubles(_windows(spark, sf, _speed_aggregates(), group_rows=CUT_ROWS))
 
 
 def window_features(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact ordered prefixes (ranks, running sums) inside groups of any size.
 
-A window function sorts each of its groups in one task, which is wrong for a group that holds a large share of the table.
-Here the rows are range-partitioned by group and order together, which cuts a large group wherever a partition is full, ties
-in its leading columns included. Positions are counted inside each partition, and what the earlier partitions of the group
-hold is added back. The plan is the same for every size.
+A window function sorts each of its groups in one task, which is right for the many small groups and wrong for one that
+holds a large share of the table. Groups are counted first. Those above a limit are cut into pieces at quantiles of their
+whole order tuple, with a hash of the row behind it so that ties are cut too; which piece a row is in follows from the row
+and the cuts alone, by binary search. Positions are counted inside each piece, and what the earlier pieces of the group hold
+is added back. Both steps compute the same pieces, so nothing has to be written between them.
 """
 
 from __future__ import annotations
@@ -11,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripsense.session import cut_lineage
+# A group of so many rows is sorted in one task; larger ones are cut into pieces of about as many.
+GROUP_ROWS = 1 << 20
+# All pieces together are at most about so many: with more, pieces grow. It bounds what is broadcast.
+MOST_CUTS = 100_000
+SAMPLES_PER_PIECE = 16
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -26,36 +31,74 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def with_prefix(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, out: str, value: str | None = None, partitions: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, out: str, value: str | None = None, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Add ``out``: the number of rows (or the sum of ``value``) before each row of its group.
 
     ``order`` names the sorting columns, nulls first; rows equal in all of them are numbered in any order. Without ``keys``
-    the whole table is one group. The ranged rows are written once, because both steps must see the same partitions.
-    ``partitions`` is the number of ranges, by default that of shuffles.
+    the whole table is one group. Rows must come out the same whenever ``df`` is computed again. Groups above ``group_rows``
+    rows are cut; only rows that are equal in every column stay in one piece however many they are.
     """
+    columns = df.columns
     keys = list(keys)
-    ranges = [*keys, *order]
-    ranged = df.repartitionByRange(*([partitions] if partitions else []), *ranges)
-    placed = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
-    if value is None:
-        total = F.count(F.lit(1))
-        numbered = placed.withColumn("_inside", F.row_number().over(inside) - 1)
-    else:
-        total = F.sum(value)
-        before = inside.rowsBetween(Window.unboundedPreceding, -1)
-        numbered = placed.withColumn("_inside", F.coalesce(F.sum(value).over(before), F.lit(0)))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "_part")
-        .agg(total.alias("_total"))
+    if not keys:
+        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    rows, most = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(group_rows, -(-(rows or 0) // MOST_CUTS))
+    if (most or 0) <= limit:
+        return df.withColumn(out, _inside(Window.partitionBy(*keys).orderBy(*order), value)).select(*columns, out)
+
+    cuts = F.broadcast(_cuts(df, counts.filter(F.col("_rows") > limit), keys, order, limit))
+    place = _place(F.col("_cuts"), _tuple(df, order))
+    placed = join_null_safe(df, cuts, keys, "left").withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(place))
+    numbered = placed.drop("_cuts").withColumn(out, _inside(Window.partitionBy(*keys, "_piece").orderBy(*order), value))
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        placed.filter("_cuts IS NOT NULL")
+        .groupBy(*keys, "_piece")
+        .agg((F.count(F.lit(1)) if value is None else F.sum(value)).alias("_total"))
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
-    joined = join_null_safe(numbered, offsets, [*keys, "_part"], "inner")
-    sum_ = F.col("_inside") + F.col("_before")
-    return joined.withColumn(out, sum_.cast("long") if value is None else sum_).drop("_part", "_inside", "_before")
+    # One row a piece of a cut group.
+    joined = join_null_safe(numbered, F.broadcast(before), [*keys, "_piece"], "left")
+    return joined.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).select(*columns, out)
+
+
+def _inside(window, value: str | None) -> Column:
+    if value is None:
+        return (F.row_number().over(window) - 1).cast("long")
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _tuple(df: DataFrame, order: Sequence[str]) -> Column:
+    """What pieces are cut by: the sorting columns, then a hash of all columns."""
+    return F.struct(*order, F.xxhash64(*df.columns).alias("_tie"))
+
+
+def _cuts(df: DataFrame, large: DataFrame, keys: list[str], order: Sequence[str], limit: int) -> DataFrame:
+    """``_cuts`` of every large group: quantiles of a sample that the rows' hashes choose."""
+    every = F.greatest(F.floor(F.lit(limit) / SAMPLES_PER_PIECE), F.lit(1))
+    sampled = join_null_safe(df, F.broadcast(large.select(*keys)), keys, "left_semi").filter(F.pmod(F.xxhash64(*df.columns), every) == 0)
+    samples = sampled.groupBy(*keys).agg(F.sort_array(F.collect_list(_tuple(df, order))).alias("_samples"))
+    return samples.select(*keys, F.filter("_samples", lambda _, at: at % SAMPLES_PER_PIECE == SAMPLES_PER_PIECE - 1).alias("_cuts"))
+
+
+def _place(cuts: Column, at: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above ``at``, by halving."""
+
+    def halve(range_: Column, _: Column) -> Column:
+        low, high = range_["low"], range_["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        return (
+            F.when(low >= high, F.struct(low.alias("low"), high.alias("high")))
+            .when(F.get(cuts, middle) <= at, F.struct((middle + 1).alias("low"), high.alias("high")))
+            .otherwise(F.struct(low.alias("low"), middle.alias("high")))
+        )
+
+    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(cuts))))
+    return F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high")), halve)["low"]
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

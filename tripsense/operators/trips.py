@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import with_prefix
+from tripsense.operators.ordering import GROUP_ROWS, with_prefix
 
 # Columns shown on a trip card, two decimals.
 CARD_COLUMNS = (
@@ -53,14 +53,14 @@ def trip_sequences(
     fields: tuple[str, ...] = ("speed",),
     *,
     chunk_rows: int = 10_000,
-    partitions: int | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Each trip's records in time order, as lists of at most ``chunk_rows`` records.
 
     Chunks of a trip concatenated by ``chunk`` are its whole record list; a list per trip would have no size
     bound.
     """
-    ranked = with_prefix(samples, ["bookingid"], ["second", *fields], out="_rank", partitions=partitions)
+    ranked = with_prefix(samples, ["bookingid"], ["second", *fields], out="_rank", group_rows=group_rows)
     record = F.struct("second", *fields)
     return (
         ranked.withColumn("chunk", F.floor(F.col("_rank") / chunk_rows).cast("long"))

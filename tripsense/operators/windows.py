@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripsense.operators.ordering import with_prefix
+from tripsense.operators.ordering import GROUP_ROWS, with_prefix
 
 # Rows per window, rows dropped after each full window, idle seconds before the rest is flushed.
 WINDOW_SIZE = 10
@@ -28,7 +28,7 @@ def count_windows(
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    partitions: int | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """One row per ``(bookingid, window_idx)`` with ``rows``, ``is_tail`` and the aggregates.
 
@@ -43,7 +43,7 @@ def count_windows(
     rank = F.col("_rank")
     first = F.greatest(F.ceil((rank - size + 1) / step), F.lit(0)).cast("long")
     last = F.floor(rank / step).cast("long")
-    ranked = with_prefix(samples, ["bookingid"], order, out="_rank", partitions=partitions)
+    ranked = with_prefix(samples, ["bookingid"], order, out="_rank", group_rows=group_rows)
     return (
         (prepare(ranked) if prepare else ranked)
         .withColumn("window_idx", F.explode(F.sequence(first, last)))

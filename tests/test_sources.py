@@ -72,13 +72,111 @@ def test_raw_table_round_trip_and_guarded_insert(spark, folder):
     ]
 
 
-def test_insert_beyond_the_broadcast_limit(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "BROADCAST_KEYS", 1)
+def big_table(spark, path, commits=12, ids=400):
+    """Commits of samples of ever newer trips."""
+    table = tables.raw_table(spark, path)
+    for k in range(commits):
+        rows = spark.range(k * ids, (k + 1) * ids).selectExpr(
+            "id * 7919 % 1000003 AS bookingid", "0D AS second", *[f"1D AS {c}" for c in schemas.RAW_CHANNELS if c != "second"]
+        )
+        table.append(rows)
+    return table
+
+
+def test_small_batch_opens_few_files(spark, folder):
+    table = big_table(spark, folder("raw"))
+    index = table.index()
+    rows, files = index.agg(F.sum("rows"), F.count("*")).first()
+    assert rows == table.read().count() == 4800 and files == 12 * 16
+    ids = spark.createDataFrame([(i * 7919 % 1000003,) for i in (5, 1700)], "bookingid long")
+    opened = table.candidates(ids).agg(F.sum("rows"), F.count("*")).first()
+    assert opened[0] < 0.1 * rows and opened[1] >= 2
+    assert sorted(r["bookingid"] for r in table.read_ids(ids).collect()) == sorted(r[0] for r in ids.collect())
+    unknown = spark.range(2_000_000, 2_000_400).select(F.col("id").alias("bookingid"))
+    assert table.candidates(unknown).count() == 0
+    inside = spark.range(200).select((F.col("id") * 5003 + 1).alias("bookingid")).join(table.read(), "bookingid", "left_anti")
+    assert table.candidates(inside.limit(1)).count() <= 2
+
+
+def test_no_id_is_missed_by_the_index(spark, folder):
+    table = big_table(spark, folder("raw"), commits=2, ids=3000)
+    batch = table.read().withColumn("speed", F.lit(9.0))
+    assert table.insert(batch) == 6000
+    assert table.read().count() == 6000 and table.read().filter("speed = 9").count() == 0
+
+
+def test_cut_off_insert_leaves_no_trace(spark, folder, monkeypatch):
+    from tripsense.sources.keyed import KeyedTable
+
     path = folder("raw")
-    batch = samples(spark, [sample(i, 0, speed=i) for i in range(9)]).withColumn("seq", F.lit(1))
+    batch = samples(spark, [sample(i, 0, speed=i) for i in range(9)])
+    tables.append_raw(batch.filter("bookingid < 3"), path)
+    with monkeypatch.context() as broken:
+        broken.setattr(KeyedTable, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.insert_raw(batch, path, [])
+    assert tables.read_raw(spark, path).count() == 3
     for _ in range(2):
-        tables.insert_raw(batch, path, ["seq"])
-    assert tables.read_raw(spark, path).count() == 9
+        assert tables.insert_raw(batch, path, []) == 9
+        assert tables.read_raw(spark, path).count() == 9
+
+
+def test_overtaken_writer_checks_its_keys_again(spark, folder, monkeypatch):
+    from tripsense.sources.keyed import KeyedTable
+
+    path, stage, raced = folder("raw"), KeyedTable._stage, []
+
+    def stage_late(self, rows):
+        """Another writer commits between the check of the keys and the commit."""
+        part = stage(self, rows)
+        if not raced:
+            raced.append(True)
+            other = samples(spark, [sample(2, 0, speed=99), sample(3, 0, speed=99)])
+            assert tables.insert_raw(other, path, []) == 2
+        return part
+
+    monkeypatch.setattr(KeyedTable, "_stage", stage_late)
+    assert tables.insert_raw(samples(spark, [sample(i, 0, speed=i) for i in range(3)]), path, []) == 3
+    assert as_set(tables.read_raw(spark, path).select("bookingid", "speed")) == [(0, 0.0), (1, 1.0), (2, 99.0), (3, 99.0)]
+    table = tables.raw_table(spark, path)
+    assert table.state().version == 1 and not table._commit(table.state().__class__(0, ()), [])
+
+
+def test_compaction_keeps_rows_and_joins_files(spark, folder, monkeypatch):
+    from tripsense.sources import keyed
+
+    monkeypatch.setattr(keyed, "MOST_PARTS", 3)
+    table = big_table(spark, folder("raw"), commits=6, ids=100)
+    assert len(table.state().parts) <= 4
+    before, rows = as_set(table.read()), table.index().count()
+    assert table.compact(most_files=4) == rows
+    assert as_set(table.read()) == before and table.index().count() <= 32
+    assert table.compact(most_files=4) == 0
+    assert table.insert(table.read()) == 600 and table.read().count() == 600
+
+
+def test_checked_insert_keeps_rejects(spark, folder):
+    columns = ", ".join(f"{c} string" for c in ["bookingid", *schemas.RAW_CHANNELS])
+    good = {c: "1.5" for c in schemas.RAW_CHANNELS}
+
+    def row(bookingid, **other):
+        return (bookingid, *[(good | other)[c] for c in schemas.RAW_CHANNELS])
+
+    rows = [row("1"), row("1", speed="9"), row("2", gyro_x=None), row("x"), row(None), row("3", second=None, speed="fast")]
+    batch = spark.createDataFrame(rows, columns)
+    table = tables.raw_table(spark, folder("raw"))
+    assert tables.insert_checked(batch, table, folder("rejects")) == 2
+    assert as_set(table.read().select("bookingid", "speed")) == [(1, 1.5), (2, 1.5)]
+    rejects = spark.read.parquet(folder("rejects"))
+    assert sorted(tuple(sorted(r["violations"])) for r in rejects.collect()) == [
+        ("key",), ("null:bookingid",), ("null:second", "type:speed"), ("type:bookingid",)
+    ]
+    assert sorted(r["source"]["speed"] for r in rejects.collect()) == ["1.5", "1.5", "9", "fast"]
+    narrow = batch.select("bookingid", "second")
+    from tripsense.sources.quarantine import routed
+
+    codes = routed(narrow, schemas.RAW_SCHEMA, schemas.RAW_KEY).select("violations").collect()
+    assert len(codes) == 6 and all("missing:speed" in r["violations"] for r in codes)
 
 
 def test_consolidation_job_is_insert_only(spark, folder):

@@ -1,96 +1,64 @@
-"""The sample table and the trip table, stored as parquet."""
+"""The sample table and the trip table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripsense.operators.first_writer import first_writer_wins
-from tripsense.sources.schemas import RAW_KEY, RAW_SCHEMA, TRIP_KEY, TRIP_SCHEMA, conform, optional
+from tripsense.sources.keyed import KeyedTable
+from tripsense.sources.quarantine import routed
+from tripsense.sources.schemas import RAW_KEY, RAW_SCHEMA, TRIP_KEY, TRIP_SCHEMA
 
-# Trips are spread over this many directories, so a batch of few trips opens few of them.
-TRIP_BUCKETS = 16
-BUCKET = "trip_bucket"
 
+def raw_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, RAW_SCHEMA, RAW_KEY)
 
-def trip_bucket(column: str = "bookingid"):
-    return F.pmod(F.xxhash64(column), F.lit(TRIP_BUCKETS)).cast("int").alias(BUCKET)
 
-
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, empty when nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def _stored_raw(spark: SparkSession, path: str) -> DataFrame:
-    stored = T.StructType(optional(RAW_SCHEMA).fields + [T.StructField(BUCKET, T.IntegerType())])
-    return _read(spark, path, stored)
+def trip_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, TRIP_SCHEMA, TRIP_KEY)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return _stored_raw(spark, path).drop(BUCKET)
+    return raw_table(spark, path).read()
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, optional(TRIP_SCHEMA))
+    return trip_table(spark, path).read()
 
 
 def append_raw(samples: DataFrame, path: str) -> None:
-    """Append samples, laid out by trip.
-
-    The rebalance hint shuffles by bucket but lets adaptive execution split a bucket that a long trip makes
-    large and merge small ones, so files come out near the advisory size. Sorting keeps a trip's samples
-    together: later aggregations combine nearly all of them before their exchange, and a lookup skips row
-    groups by the trip id range.
-    """
-    laid_out = conform(samples, RAW_SCHEMA).withColumn(BUCKET, trip_bucket()).hint("rebalance", BUCKET)
-    laid_out.sortWithinPartitions(BUCKET, *RAW_KEY).write.mode("append").partitionBy(BUCKET).parquet(path)
+    """Add samples whose keys are known to be new, laid out by trip."""
+    raw_table(samples.sparkSession, path).append(samples)
 
 
 def append_trips(trips: DataFrame, path: str) -> None:
-    conform(trips, TRIP_SCHEMA).write.mode("append").parquet(path)
+    """Add trips whose ids are known to be new."""
+    trip_table(trips.sparkSession, path).append(trips)
 
 
 def insert_raw(batch: DataFrame, path: str, arrival: Sequence[str]) -> int:
     """Insert samples under the primary key: earlier rows of the table or of the batch win.
 
-    Copies inside the batch are reduced first, so what meets the table is unique by key and cannot be skewed.
-    The table is then scanned for those keys, in the directories and the id range the batch touches; how the two meet
-    is left to the planner. Returns the number of distinct keys offered.
+    Returns the number of distinct keys offered.
     """
-    rows = first_writer_wins(batch, RAW_KEY, arrival).withColumn(BUCKET, trip_bucket()).persist()
-    try:
-        summary = rows.groupBy(BUCKET).agg(
-            F.count(F.lit(1)).alias("keys"), F.min("bookingid").alias("low"), F.max("bookingid").alias("high")
-        )
-        touched = summary.collect()  # at most TRIP_BUCKETS rows
-        size = sum(row["keys"] for row in touched)
-        if size == 0:
-            return 0
-        stored = (
-            _stored_raw(batch.sparkSession, path)
-            .filter(F.col(BUCKET).isin([row[BUCKET] for row in touched]))
-            .filter(F.col("bookingid").between(min(row["low"] for row in touched), max(row["high"] for row in touched)))
-            .select(*RAW_KEY)
-        )
-        keys = rows.select(*RAW_KEY)
-        present = stored.join(keys, list(RAW_KEY), "left_semi")
-        append_raw(rows.join(present, list(RAW_KEY), "left_anti"), path)
-        return size
-    finally:
-        rows.unpersist()
+    return raw_table(batch.sparkSession, path).insert(batch, arrival)
 
 
 def insert_trips(trips: DataFrame, path: str) -> None:
-    """Append trips whose id is not in the table yet."""
-    stored = read_trips(trips.sparkSession, path)
-    append_trips(trips.join(stored.select(*TRIP_KEY), list(TRIP_KEY), "left_anti"), path)
+    """Add trips whose id is not in the table yet."""
+    trip_table(trips.sparkSession, path).insert(trips)
+
+
+def insert_checked(batch: DataFrame, table: KeyedTable, rejects_path: str, arrival: Sequence[str] = ()) -> int:
+    """Insert the rows that meet the table's contract and keep the others aside, each with its violations.
+
+    Returns the number of distinct keys offered.
+    """
+    checked = routed(batch, table.schema, table.key, arrival).persist()
+    try:
+        aside = checked.filter("size(violations) > 0")
+        aside.write.mode("append").parquet(rejects_path)
+        return table.insert(checked.filter("size(violations) = 0").select("row.*"))
+    finally:
+        checked.unpersist()

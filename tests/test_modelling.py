@@ -186,3 +186,26 @@ def test_selection_methods_vote(trips):
     assert all(v["keep"] == (v["votes"] >= 2 or v["feature"] == "second") for v in votes)
     importance = training.forest_selection(trips, FEATURE_COLUMNS).agg(F.sum("score")).first()[0]
     assert importance == pytest.approx(1.0)
+
+
+def test_two_writers_lose_no_version(spark, folder, monkeypatch):
+    """The other writer claims the number between the look at the table and the claim."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    model = PipelineModel([SQLTransformer(statement="SELECT *, 1D AS prediction FROM __THIS__")])
+    one, two = ModelRegistry(spark, folder("registry")), ModelRegistry(spark, folder("registry"))
+    claim = ModelRegistry._claim
+
+    def late(self, what, least):
+        if self is one and what.startswith("versions"):
+            two.register("m", model, {"by": "two"})
+        return claim(self, what, least)
+
+    monkeypatch.setattr(ModelRegistry, "_claim", late)
+    assert one.register("m", model, {"by": "one"}) == "2"
+    assert sorted(r["version"] for r in one.entries().collect()) == ["1", "2"]
+    assert [one.load("m", v).metadata["by"] for v in ("1", "2")] == ["two", "one"]
+    one.set_alias("m", "1")
+    two.set_alias("m", "2")
+    assert one.resolve("m") == "2"

@@ -5,20 +5,21 @@ import os
 import random
 import time
 
-import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import as_set, replay_windows, sample, samples
 from tripsense.catalog.queries import speed_rule
 from tripsense.functions.features import feature_aggregates, fill_missing, with_magnitudes
 from tripsense.operators.windows import count_windows
 from tripsense.sources import messages, schemas, tables
-from tripsense.streaming.count_windows import _advance, leftover_windows, stream_count_windows
+from tripsense.streaming.count_windows import TripBuffer, leftover_windows, stream_count_windows
 from tripsense.streaming.ingest import start_message_ingest, start_rejects
 from tripsense.operators.latest import latest_trip_state
-from tripsense.streaming.latest import prediction_feed, read_latest_state, start_latest_state
-from tripsense.streaming.predict import prediction_messages, start_predictions
+from tripsense.streaming.latest import _layers, each_once, prediction_feed, read_latest_state, start_latest_state
+from tripsense.streaming.predict import prediction_messages, start_predictions, topic_messages
 from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
 
 LENGTHS = {1: 1, 2: 9, 3: 10, 4: 14, 5: 16, 6: 37}
@@ -155,7 +156,7 @@ def test_leftovers_complete_an_ended_stream(spark, folder):
     rows = trip_messages()
     write_lines(folder("in") + "/a.json", rows)
     parsed = messages.parse_messages(messages.read_json_lines(spark, folder("in"))).select(*schemas.RAW_SCHEMA.names)
-    stream = stream_count_windows(parsed, idle_seconds=None, buckets=3)
+    stream = stream_count_windows(parsed, idle_seconds=None)
     start_batches(stream, parquet_batches(folder("rows")), folder("c")).awaitTermination()
     full = read_batches(spark, folder("rows"), stream.schema).drop("batch_id")
     got = full.unionByName(leftover_windows(spark, folder("c"), stream.schema))
@@ -179,73 +180,113 @@ def test_latest_state_over_batches(spark, folder):
     assert run([(2, 4, 7.0, None, None, True)], "c") == {1: (5, 2, 1), 2: (7, 1, None)}
 
 
-class FakeState:
-    """Enough of a group state to drive the state function without a stream."""
+@pytest.mark.parametrize("snapshot_every, keep", [(1, None), (3, None), (4, 40)])
+def test_layered_view_equals_all_messages(spark, folder, snapshot_every, keep):
+    """After every few batches: the view is that of all messages, and old layers are gone."""
+    rng = random.Random(snapshot_every)
+    schema = "bookingid long, seq long, speed double, time double, label int, has_label boolean"
+    names, rows, seq = schema.replace(",", "").split()[::2], [], 0
+    for part in range(7):
+        fresh = []
+        for _ in range(15):
+            seq += 1
+            fresh.append((rng.randint(1, 12) + 5 * part, seq, rng.choice([None, 0.0, 2.5, 7.0]), rng.choice([None, 1.0, 3.0]), rng.choice([None, 0, 1]), rng.random() < 0.7))
+        rows += fresh
+        write_lines(folder("in") + f"/{part}.json", [dict(zip(names, r)) for r in fresh])
+        stream = spark.readStream.schema(schema).json(folder("in"))
+        start_latest_state(
+            stream, "seq", folder("s"), folder("c"), label_present="has_label", snapshot_every=snapshot_every, keep=keep
+        ).awaitTermination()
+    wanted = {r["bookingid"]: tuple(r) for r in latest_trip_state(spark.createDataFrame(rows, schema), "seq", label_present="has_label").collect()}
+    got = {r["bookingid"]: tuple(r) for r in read_latest_state(spark, folder("s"), "seq").collect()}
+    if keep is None:
+        assert got == wanted
+    else:  # the last snapshot was made at batch 3, of 60 messages
+        assert got.items() <= wanted.items() and {k for k, r in wanted.items() if r[-1] >= 60 - keep} <= set(got)
+        assert set(wanted) - set(got)
+    done, folders = _layers(spark, folder("s"))
+    assert len([f for f in folders if "/changes/" in f]) < snapshot_every and len(os.listdir(folder("s") + "/snapshots")) <= 2 + (done < 0)
+
+
+def test_repeated_predictions_are_dropped(spark, folder):
+    """A batch published again, with later timestamps, and another window of the same trip."""
+    def published(batch_id, windows, at):
+        rows = spark.createDataFrame([(7, w, False, 1.0 * w, 2.0, 1) for w in windows], "bookingid long, window_idx long, is_tail boolean, time double, speed double, label int")
+        return topic_messages(rows, batch_id).withColumn("timestamp", F.timestamp_seconds(F.lit(at)))
+
+    for name, part in (("a", published(0, [0, 1], 1000)), ("b", published(0, [0, 1], 1060)), ("c", published(1, [1, 2], 1100))):
+        part.write.parquet(f"{folder('in')}/{name}")
+        stream = spark.readStream.schema(part.schema).parquet(f"{folder('in')}/*")
+        feed = each_once(prediction_feed(stream))
+        start_batches(feed, parquet_batches(folder("out")), folder("check")).awaitTermination()
+    got = read_batches(spark, folder("out"), T.StructType([T.StructField("window_idx", T.LongType()), T.StructField("time", T.DoubleType())]))
+    assert sorted((r["window_idx"], r["time"]) for r in got.collect()) == [(0, 0.0), (1, 1.0), (1, 1.0), (2, 2.0)]
+
+
+class FakeHandle:
+    """State, timer and clock of one trip."""
 
     def __init__(self):
-        self.value, self.now, self.due, self.hasTimedOut = None, 0, None, False
+        self.value, self.due, self.now = None, None, 0
+
+    def getValueState(self, name, schema):
+        return self
 
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
+    def get(self):
+        return self.value
 
     def update(self, value):
-        assert all(type(item) in (int, str) for column in value for item in column)
         self.value = value
 
-    def remove(self):
-        self.value = self.due = None
+    def clear(self):
+        self.value = None
 
-    def getCurrentProcessingTimeMs(self):
-        return self.now
+    def registerTimer(self, due):
+        assert self.due is None and due > self.now
+        self.due = due
 
-    def setTimeoutDuration(self, duration):
-        assert duration > 0
-        self.due = self.now + duration
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
 
 
 @pytest.mark.parametrize("size, step", [(10, 5), (4, 4), (6, 1), (1, 1), (5, 3)])
-def test_state_function_equals_replayed_buffers_with_idle_trips(size, step):
-    """Random batches of several trips against one plain buffer per trip."""
+def test_processor_equals_a_replayed_buffer_with_idle_times(size, step):
+    """Random batches of a trip against one plain buffer; its timer fires as soon as it is due."""
     rng = random.Random(size * 31 + step)
     idle_ms = 3000
-    advance, state = _advance(("second",), size, step, idle_ms), FakeState()
-    buffers, numbers, seen, expected, got = {}, {}, {}, [], []
-
-    def forget_idle(now):
-        for trip in [t for t, last in seen.items() if last < now - idle_ms]:
-            if buffers[trip]:
-                expected.append((trip, numbers[trip], True, buffers[trip]))
-            for table in (buffers, numbers, seen):
-                del table[trip]
-
-    def run(batches):
-        for frame in advance((0,), iter(batches), state):
-            for (trip, window, tail), part in frame.groupby(["bookingid", "window_idx", "is_tail"], sort=False):
-                got.append((trip, window, tail, list(part["payload"])))
-
-    for now in range(1000, 60_000, 1000):
-        state.now, state.hasTimedOut = now, False
-        arrived = [(rng.randint(1, 4), now + rng.random(), f"{now}-{i}") for i in range(rng.choice([0, 0, 1, 7, 25]))]
-        if rng.random() < 0.7:
-            arrived = [row for row in arrived if row[0] != 2]
+    sample_type = T.StructType([T.StructField("second", T.DoubleType()), T.StructField("x", T.StringType())])
+    processor, handle = TripBuffer(sample_type, ["second"], size, step, idle_ms), FakeHandle()
+    processor.init(handle)
+    arrived_row = Row("bookingid", "second", "x")
+    buffer, number, last, expected, got = [], 0, None, [], []
+
+    def run(rows):
+        for row in rows:
+            assert list(row.__fields__) == ["bookingid", "window_idx", "is_tail", "second", "x"] and row["bookingid"] == 7
+            got.append((row["window_idx"], row["is_tail"], row["second"], row["x"]))
+
+    for now in range(1000, 90_000, 1000):
+        handle.now = now
+        arrived = [(now + rng.random(), rng.choice([None, f"{now}-{i}"])) for i in range(rng.choice([0, 0, 0, 1, 7, 25]))]
+        if rng.random() < 0.3:
+            arrived = []
         if arrived:
-            for trip, _, payload in sorted(arrived, key=lambda r: r[1]):
-                buffers.setdefault(trip, []).append(payload)
-                numbers.setdefault(trip, 0)
-                seen[trip] = now
-                if len(buffers[trip]) == size:
-                    expected.append((trip, numbers[trip], False, buffers[trip]))
-                    buffers[trip], numbers[trip] = buffers[trip][step:], numbers[trip] + 1
-            frame = pd.DataFrame(arrived, columns=["bookingid", "second", "payload"])
-            cut = rng.randint(0, len(frame))
-            run([part for part in (frame[:cut], frame[cut:]) if len(part)])
-            forget_idle(now)
-        elif state.due is not None and state.due <= now:
-            state.hasTimedOut = True
-            run([])
-            forget_idle(now)
-    assert sorted(got) == sorted(expected)
-    assert any(tail for _, _, tail, _ in got) == (size > 1)
+            for row in sorted(arrived, key=lambda r: r[0]):
+                buffer.append(row)
+                if len(buffer) == size:
+                    expected += [(number, False, *r) for r in buffer]
+                    buffer, number = buffer[step:], number + 1
+            last = now
+            run(processor.handleInputRows((7,), iter([arrived_row(7, *row) for row in arrived]), handle))
+        if handle.due is not None and handle.due <= now:
+            handle.due = None
+            run(processor.handleExpiredTimer((7,), handle, None))
+        if last is not None and now - last > idle_ms:
+            expected += [(number, True, *r) for r in buffer]
+            buffer, number, last = [], 0, None
+            assert handle.value is None and handle.due is None
+    assert got == expected
+    assert any(tail for _, tail, _, _ in got) == (size > 1)
 
 
 def test_prediction_feed_tells_null_from_absent(spark):

@@ -12,6 +12,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripsense.sources.commits import names_in, put_if_absent
+
 CHAMPION = "champion"
 
 _VERSIONS = "name string, version string, run_id string, path string, metadata string"
@@ -37,7 +39,7 @@ class LoadedModel:
 
 
 class ModelRegistry:
-    """One writer at a time per model name: version numbers are read, then written."""
+    """Version numbers and the order of aliases are claimed by files that only one writer can put in place."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -54,6 +56,15 @@ class ModelRegistry:
     def _append(self, name: str, schema: str, row: tuple) -> None:
         self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
+    def _claim(self, what: str, least: int) -> int:
+        """The next free number of a kind, for this writer alone."""
+        folder = f"{self.root}/claims/{what}"
+        taken = [int(name) for name in names_in(self.spark, folder) if name.isdigit()]
+        number = max([least, *(n + 1 for n in taken)])
+        while not put_if_absent(self.spark, folder, str(number), ""):
+            number += 1
+        return number
+
     def entries(self) -> DataFrame:
         """``name, version, run_id, alias``; an alias belongs to the version it was last given to."""
         current = (
@@ -65,11 +76,11 @@ class ModelRegistry:
         return versions.join(current, ["name", "version"], "left").select("name", "version", "run_id", "alias")
 
     def register(self, name: str, model: PipelineModel, metadata: dict, *, alias: str | None = None) -> str:
-        known = self._table("versions", _VERSIONS).filter(F.col("name") == name)
-        version = str((known.agg(F.max(F.col("version").cast("long"))).first()[0] or 0) + 1)
         run_id = uuid.uuid4().hex
         path = f"{self.root}/models/{run_id}"
         model.write().save(path)
+        known = self._table("versions", _VERSIONS).filter(F.col("name") == name)
+        version = str(self._claim(f"versions/{name}", (known.agg(F.max(F.col("version").cast("long"))).first()[0] or 0) + 1))
         self._append("versions", _VERSIONS, (name, version, run_id, path, json.dumps(metadata)))
         if alias:
             self.set_alias(name, version, alias)
@@ -77,7 +88,7 @@ class ModelRegistry:
 
     def set_alias(self, name: str, version: str, alias: str = CHAMPION) -> None:
         assigned = self._table("aliases", _ALIASES).agg(F.max("sequence")).first()[0] or 0
-        self._append("aliases", _ALIASES, (name, alias, version, assigned + 1))
+        self._append("aliases", _ALIASES, (name, alias, version, self._claim("aliases", assigned + 1)))
 
     def resolve(self, name: str, alias: str = CHAMPION) -> str:
         found = resolve_version(self.entries().filter(F.col("name") == name), alias).first()
@@ -97,7 +108,7 @@ class ModelFollower:
     """Scores with the version currently served.
 
     The registry is asked again at the first batch after ``check_seconds``; a model is loaded only when another
-    version is to be served.
+    version is to be served. A batch is scored by one version, which stands in ``model_version``.
     """
 
     def __init__(self, registry: ModelRegistry, name: str, *, check_seconds: float = 10.0):
@@ -118,4 +129,4 @@ class ModelFollower:
             if self.current is None or (self.current.name, self.current.version) != (self.name, version):
                 self.current = self.registry.load(self.name, version)
             self._checked = time.monotonic()
-        return self.current(df)
+        return self.current(df).withColumn("model_version", F.lit(self.current.version))

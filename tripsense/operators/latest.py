@@ -1,31 +1,45 @@
-"""Live view of a trip: what is left on screen after all messages so far."""
+"""Live view of a trip: what is left on screen after all messages so far.
+
+A view is kept as a partial state: per field its newest value that counts, together with its place in the order. Partial
+states of parts of the messages merge into that of all of them, in any order and however often.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _newest(value: Column, applies: Column, order: str) -> Column:
-    return F.max_by(value, F.when(applies, F.col(order)))
+FIELDS = ("speed", "time", "label")
 
 
-def latest_state_aggregates(order: str, *, label_present: str | None = None) -> list[Column]:
-    """Newest speed and time that are not zero, empty or null; newest label, even a null one.
+def partial_state(messages: DataFrame, order: str, *, label_present: str | None = None) -> DataFrame:
+    """``bookingid``, per field ``(at, value)`` of its newest message that counts, and the newest ``order``.
 
-    A message without a label field at all keeps the previous label. Null and absent look alike once parsed,
-    so ``label_present`` may name a boolean column that tells them apart.
+    For speed and time those count that are not zero, empty or null; for the label all, even null ones. A message without a
+    label field at all keeps the previous label. Null and absent look alike once parsed, so ``label_present`` may name a
+    boolean column that tells them apart.
     """
-    speed, time, label = F.col("speed"), F.col("time"), F.col("label")
+
+    def newest(name: str, counts: Column) -> Column:
+        return F.max(F.when(counts, F.struct(F.col(order).alias("at"), F.col(name).alias("value")))).alias(name)
+
     truthy = lambda c: c.isNotNull() & ~F.isnan(c) & (c != 0)
-    has_label = F.col(label_present) if label_present else F.lit(True)
-    return [
-        _newest(speed, truthy(speed), order).alias("speed"),
-        _newest(time, truthy(time), order).alias("time"),
-        _newest(label, has_label, order).alias("label"),
+    return messages.groupBy("bookingid").agg(
+        newest("speed", truthy(F.col("speed"))),
+        newest("time", truthy(F.col("time"))),
+        newest("label", F.col(label_present) if label_present else F.lit(True)),
         F.max(order).alias(order),
-    ]
+    )
+
+
+def merged_states(partials: DataFrame, order: str) -> DataFrame:
+    return partials.groupBy("bookingid").agg(*[F.max(name).alias(name) for name in (*FIELDS, order)])
+
+
+def shown(partials: DataFrame, order: str) -> DataFrame:
+    return partials.select("bookingid", *[F.col(name)["value"].alias(name) for name in FIELDS], order)
 
 
 def latest_trip_state(messages: DataFrame, order: str, *, label_present: str | None = None) -> DataFrame:
-    return messages.groupBy("bookingid").agg(*latest_state_aggregates(order, label_present=label_present))
+    """Newest speed and time that are not zero, empty or null; newest label, even a null one."""
+    return shown(partial_state(messages, order, label_present=label_present), order)

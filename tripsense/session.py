@@ -28,7 +28,13 @@ def session_options() -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Keyed streaming state lives on local disk with changelog upload, not on the JVM heap.
+        **keyed_state_options(),
+    }
+
+
+def keyed_state_options() -> dict[str, str]:
+    """Keyed streaming state on local disk with changelog upload, not on the JVM heap."""
+    return {
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -15,12 +15,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripsense.operators.first_writer import first_writer_wins
+from tripsense.sources.commits import delete, names_in, put_if_absent
 from tripsense.sources.schemas import conform, optional
 
 BUCKETS = 16
@@ -75,22 +75,14 @@ class KeyedTable:
     def _at(self, *parts: str) -> str:
         return "/".join([self.path.rstrip("/"), *parts])
 
-    def _hadoop(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def _delete(self, *parts: str) -> None:
-        where, files = self._hadoop(self._at(*parts))
-        files.delete(where, True)
+        delete(self.spark, self._at(*parts))
 
     # commits
 
     def state(self) -> State:
         """The newest commit."""
-        where, files = self._hadoop(self._at("_commits"))
-        if not files.exists(where):
-            return State(-1, ())
-        names = [status.getPath().getName() for status in files.listStatus(where)]
+        names = names_in(self.spark, self._at("_commits"))
         versions = [int(name.removesuffix(".json")) for name in names if name.endswith(".json") and not name.startswith((".", "_"))]
         if not versions:
             return State(-1, ())
@@ -99,22 +91,7 @@ class KeyedTable:
 
     def _commit(self, after: State, parts: Sequence[str]) -> bool:
         """Put the next commit in place; false if another writer was there first."""
-        final = self._at("_commits", f"{after.version + 1:020d}.json")
-        draft, files = self._hadoop(self._at("_commits", f"_{uuid.uuid4().hex}"))
-        out = files.create(draft, False)
-        out.write(bytearray(json.dumps({"parts": list(parts)}).encode()))
-        out.close()
-        jvm = self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark._jsc.hadoopConfiguration())
-        no_options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-        try:
-            context.rename(files.makeQualified(draft), files.makeQualified(jvm.org.apache.hadoop.fs.Path(final)), no_options)
-        except Py4JJavaError as error:
-            files.delete(draft, False)
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                return False
-            raise
-        return True
+        return put_if_absent(self.spark, self._at("_commits"), f"{after.version + 1:020d}.json", json.dumps({"parts": list(parts)}))
 
     # index
 
@@ -183,8 +160,7 @@ class KeyedTable:
         part = uuid.uuid4().hex
         laid_out = conform(rows, self.schema).withColumn(BUCKET, self._bucket(F.col(self.key[0]))).hint("rebalance", BUCKET)
         laid_out.sortWithinPartitions(BUCKET, *self.key).write.partitionBy(BUCKET).parquet(self._at("data", part))
-        where, files = self._hadoop(self._at("data", part))
-        if not any(status.isDirectory() for status in files.listStatus(where)):
+        if not any(name.startswith(BUCKET) for name in names_in(self.spark, self._at("data", part))):
             self._delete("data", part)
             return None
         self._index_of(part).coalesce(1).write.parquet(self._at("index", part))

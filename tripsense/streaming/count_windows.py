@@ -1,125 +1,65 @@
-"""Count windows on a stream: short per-trip buffers in keyed state, with an idle flush.
-
-State is keyed by a hash bucket of the trip id rather than by the trip. Calling into Python costs the same for a
-bucket of a hundred trips as for one trip, and inside a bucket all trips advance together as arrays.
-"""
+"""Count windows on a stream: short per-trip buffers in keyed state, with an idle flush by timers."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP, check_window
-
-# Aim for about a hundred live trips per bucket; the number is fixed once a stream has a checkpoint.
-STATE_BUCKETS = 1024
-
-_STATE = "trips array<long>, next_window array<long>, last_seen array<long>, held array<long>, buffer array<string>"
-_OUTPUT = "bookingid long, window_idx long, is_tail boolean, payload string"
-
-# Windows handed back to the JVM at a time.
-_CHUNK_WINDOWS = 10_000
-
-
-@dataclass
-class _Bucket:
-    """Trips in ascending order, and their buffered payloads back to back in the same order."""
-
-    trips: np.ndarray
-    next_window: np.ndarray
-    last_seen: np.ndarray
-    held: np.ndarray
-    buffer: np.ndarray
-
-    @classmethod
-    def restore(cls, state: GroupState) -> _Bucket:
-        *numbers, buffer = state.get if state.exists else ([], [], [], [], [])
-        return cls(*(np.array(column, dtype=np.int64) for column in numbers), np.array(buffer, dtype=object))
-
-    def row(self) -> tuple:
-        return tuple(part.tolist() for part in (self.trips, self.next_window, self.last_seen, self.held, self.buffer))
-
-    def add(self, ids: np.ndarray, payloads: np.ndarray, now: int) -> None:
-        """Append arrived rows, already in order within each trip, behind what their trips hold."""
-        known = np.union1d(self.trips, ids)
-        owner = np.searchsorted(known, np.concatenate([np.repeat(self.trips, self.held), ids]))
-        before = np.searchsorted(known, self.trips)
-        next_window, last_seen = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-        next_window[before], last_seen[before] = self.next_window, self.last_seen
-        last_seen[np.searchsorted(known, ids)] = now
-        by_trip = np.argsort(owner, kind="stable")
-        self.trips, self.next_window, self.last_seen = known, next_window, last_seen
-        self.held = np.bincount(owner, minlength=len(known))
-        self.buffer = np.concatenate([self.buffer, payloads])[by_trip]
-
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.trips)), self.held)
-
-    def keep(self, rows: np.ndarray, trips: np.ndarray) -> None:
-        """Keep the marked rows and trips; rows of a dropped trip must not be marked."""
-        self.held = np.bincount(self.owner()[rows], minlength=len(self.trips))[trips]
-        self.buffer = self.buffer[rows]
-        self.trips, self.next_window, self.last_seen = self.trips[trips], self.next_window[trips], self.last_seen[trips]
-
-    def take_full(self, size: int, step: int) -> Iterator[pd.DataFrame]:
-        """Emit every full window and drop the rows no later window needs."""
-        start = np.cumsum(self.held) - self.held
-        full = np.where(self.held >= size, (self.held - size) // step + 1, 0)
-        trip = np.repeat(np.arange(len(full)), full)
-        number = np.arange(len(trip)) - np.repeat(np.cumsum(full) - full, full)
-        for at in range(0, len(trip), _CHUNK_WINDOWS):
-            some, k = trip[at:at + _CHUNK_WINDOWS], number[at:at + _CHUNK_WINDOWS]
-            rows = ((start[some] + k * step)[:, None] + np.arange(size)).ravel()
-            yield _frame(np.repeat(self.trips[some], size), np.repeat(self.next_window[some] + k, size), False, self.buffer[rows])
-        owner = self.owner()
-        position = np.arange(len(owner)) - start[owner]
-        self.next_window = self.next_window + full
-        self.keep(position >= full[owner] * step, np.ones(len(full), bool))
-
-    def take_idle(self, before: int) -> Iterator[pd.DataFrame]:
-        """Emit what is left of trips last seen before the given time, and forget them."""
-        idle = self.last_seen < before
-        owner = self.owner()
-        rows = idle[owner]
-        if rows.any():
-            yield _frame(self.trips[owner[rows]], self.next_window[owner[rows]], True, self.buffer[rows])
-        self.keep(~rows, ~idle)
-
-
-def _frame(trips: np.ndarray, windows: np.ndarray, is_tail: bool, payloads: np.ndarray) -> pd.DataFrame:
-    tail = np.full(len(trips), is_tail)
-    return pd.DataFrame({"bookingid": trips, "window_idx": windows, "is_tail": tail, "payload": payloads}, copy=False)
-
-
-def _advance(order: Sequence[str], size: int, step: int, idle_ms: int | None):
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        bucket = _Bucket.restore(state)
-        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
-        if not state.hasTimedOut:
-            # A shuffle leaves rows in no order. Their number is limited by the source's trigger limit.
-            arrived = list(batches)
-            columns = {name: np.concatenate([batch[name].to_numpy() for batch in arrived])
-                       for name in ("bookingid", "payload", *order)}
-            sequence = np.lexsort([columns[name] for name in (*reversed(order), "bookingid")])
-            bucket.add(columns["bookingid"][sequence], columns["payload"][sequence], now)
-            yield from bucket.take_full(size, step)
-        if idle_ms is not None:
-            yield from bucket.take_idle(now - idle_ms)
-        if len(bucket.trips) == 0:
-            state.remove()
+from tripsense.session import keyed_state_options
+
+STATE = "trip"
+_TAGS = [T.StructField("bookingid", T.LongType()), T.StructField("window_idx", T.LongType()), T.StructField("is_tail", T.BooleanType())]
+
+
+class TripBuffer(StatefulProcessor):
+    """The samples of one trip that later windows need: one state value a trip, and one timer where idle trips go."""
+
+    def __init__(self, sample: T.StructType, order: Sequence[str], size: int, step: int, idle_ms: int | None):
+        self.names, self.order, self.size, self.step, self.idle_ms = sample.names, list(order), size, step, idle_ms
+        self.out = Row(*[field.name for field in _TAGS], *sample.names)
+        self.schema = T.StructType([
+            T.StructField("next_window", T.LongType()), T.StructField("last_seen", T.LongType()), T.StructField("held", T.ArrayType(sample)),
+        ])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.trip = handle.getValueState(STATE, self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.trip.get()
+        number, held = (known[0], [tuple(row) for row in known[2]]) if known is not None else (0, [])
+        # A shuffle leaves rows in no order. Their number is limited by the source's trigger limit.
+        for row in sorted(rows, key=lambda row: [row[name] for name in self.order]):
+            held.append(tuple(row[name] for name in self.names))
+            if len(held) == self.size:
+                for sample in held:
+                    yield self.out(key[0], number, False, *sample)
+                del held[: self.step]
+                number += 1
+        now = None
+        if self.idle_ms is not None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            if known is None:
+                self.handle.registerTimer(now + self.idle_ms + 1)
+        self.trip.update((number, now, held))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        number, last_seen, held = self.trip.get()
+        due = last_seen + self.idle_ms + 1
+        if timerValues.getCurrentProcessingTimeInMs() < due:  # seen again since the timer was set
+            self.handle.registerTimer(due)
             return
-        state.update(bucket.row())
-        if idle_ms is not None:
-            state.setTimeoutDuration(int(bucket.last_seen.min()) + idle_ms + 1 - now)
+        for sample in held:
+            yield self.out(key[0], number, True, *sample)
+        self.trip.clear()
 
-    return advance
+    def close(self) -> None:
+        pass
 
 
 def stream_count_windows(
@@ -129,40 +69,28 @@ def stream_count_windows(
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
     idle_seconds: float | None = IDLE_SECONDS,
-    buckets: int = STATE_BUCKETS,
 ) -> DataFrame:
     """Samples tagged with ``window_idx`` and ``is_tail``; a sample appears once per window it is in.
 
-    State per trip is a counter, a time and fewer than ``size`` samples. Samples travel through the state as JSON
-    text packed and unpacked on the JVM, so the Python side handles opaque values and null stays apart from NaN.
+    State per trip is a counter, a time and fewer than ``size`` samples in their own types; only the trips of a micro-batch are
+    written. Within a micro-batch a trip's samples are taken by ``order`` (columns without nulls); across batches, as they
+    arrive. More than ``idle_seconds`` after its last sample the rest of a trip goes out as one short window and the trip is
+    forgotten; timers fire without new input. ``None`` turns that off, which a run over a fixed set of files needs in order
+    to end by itself.
 
-    Within a micro-batch a trip's samples are taken by ``order`` (numeric columns); across batches, as they
-    arrive. More than ``idle_seconds`` after its last sample the rest of a trip goes out as one short window and
-    the trip is forgotten; timers fire without new input. ``None`` turns that off, which a run over a fixed set
-    of files needs in order to end by itself.
-
-    Rows without a trip id belong in a reject table and must not reach this operator.
+    Rows without a trip id belong in a reject table and must not reach this operator. Keyed state needs the state store of
+    ``session.keyed_state_options``, which is set here where the session has another.
     """
     check_window(size, step)
+    for name, value in keyed_state_options().items():
+        samples.sparkSession.conf.set(name, value)
+    sample = T.StructType([T.StructField(f.name, f.dataType) for f in samples.schema.fields if f.name != "bookingid"])
     idle_ms = None if idle_seconds is None else int(idle_seconds * 1000)
-    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    fields = [field for field in samples.schema.fields if field.name != "bookingid"]
-    payload_type = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
-    packed = samples.select(
-        F.pmod(F.xxhash64("bookingid"), F.lit(buckets)).alias("bucket"),
-        "bookingid",
-        *order,
-        F.to_json(F.struct(*[field.name for field in fields])).alias("payload"),
-    )
-    windows = packed.groupBy("bucket").applyInPandasWithState(
-        _advance(tuple(order), size, step, idle_ms), _OUTPUT, _STATE, "append", timeout
-    )
-    return _unpacked(windows, payload_type)
-
-
-def _unpacked(windows: DataFrame, payload_type: str) -> DataFrame:
-    return windows.withColumn("_sample", F.from_json("payload", payload_type)).select(
-        "bookingid", "window_idx", "is_tail", "_sample.*"
+    return samples.groupBy("bookingid").transformWithState(
+        TripBuffer(sample, order, size, step, idle_ms),
+        outputStructType=T.StructType(_TAGS + sample.fields),
+        outputMode="append",
+        timeMode="none" if idle_ms is None else "processingTime",
     )
 
 
@@ -172,15 +100,9 @@ def leftover_windows(spark: SparkSession, checkpoint: str, windows: T.StructType
     ``windows`` is the schema of :func:`stream_count_windows`. A run over a fixed set of files with
     ``idle_seconds=None`` emits full windows only; with these rows its output is whole.
     """
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in windows.fields if f.name not in ("bookingid", "window_idx", "is_tail")]
-    held = F.slice("held", F.lit(1), F.col("place"))
-    start = F.aggregate(held, F.lit(0).cast("long"), lambda total, rows: total + rows)
-    trips = (
-        spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
-        .select("*", F.posexplode("trips").alias("place", "bookingid"))
-        .select(
-            "bookingid", F.element_at("next_window", F.col("place") + 1).alias("window_idx"), F.lit(True).alias("is_tail"),
-            F.explode(F.slice("buffer", (start + 1).cast("int"), F.element_at("held", F.col("place") + 1).cast("int"))).alias("payload"),
-        )
+    state = spark.read.format("statestore").option("stateVarName", STATE).load(checkpoint)
+    held = state.select(
+        F.col("key.bookingid").alias("bookingid"), F.col("value.next_window").alias("window_idx"), F.lit(True).alias("is_tail"),
+        F.explode("value.held").alias("sample"),
     )
-    return _unpacked(trips, ", ".join(fields))
+    return held.select("bookingid", "window_idx", "is_tail", "sample.*").select(*windows.names)

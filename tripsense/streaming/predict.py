@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripsense.functions.features import fill_missing, trip_features
 from tripsense.operators.windows import IDLE_SECONDS, WINDOW_SIZE, WINDOW_STEP
 from tripsense.sources.schemas import PREDICTION_SCHEMA
-from tripsense.streaming.count_windows import STATE_BUCKETS, stream_count_windows
+from tripsense.streaming.count_windows import stream_count_windows
 from tripsense.streaming.sinks import BatchWriter, start_batches
 
 WINDOW_KEYS = ("bookingid", "window_idx", "is_tail")
@@ -33,12 +33,15 @@ def topic_messages(messages: DataFrame, batch_id: int) -> DataFrame:
     """Key, value and headers for the prediction topic.
 
     The key keeps a trip's predictions in order. A topic sink may repeat a batch after a failure; the headers
-    carry what a reader needs to recognise a message it has seen.
+    carry what a reader needs to recognise a message it has seen, and the version of the model where it is known.
     """
+    told = {"batch_id": F.lit(batch_id), "window_idx": F.col("window_idx")}
+    if "model_version" in messages.columns:
+        told["model_version"] = F.col("model_version")
     headers = F.array(
         *[
             F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
-            for name, value in (("batch_id", F.lit(batch_id)), ("window_idx", F.col("window_idx")))
+            for name, value in told.items()
         ]
     )
     return messages.select(
@@ -72,7 +75,6 @@ def start_predictions(
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
     idle_seconds: float | None = IDLE_SECONDS,
-    buckets: int = STATE_BUCKETS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Score every window of a micro-batch in one job and hand the messages to ``write``.
@@ -80,9 +82,7 @@ def start_predictions(
     ``scorer`` maps features to a ``prediction`` column: a loaded model, a fixed rule, or a
     :class:`~tripsense.modelling.registry.ModelFollower` that looks for a new version at each batch.
     """
-    windows = stream_count_windows(
-        samples, order=order, size=size, step=step, idle_seconds=idle_seconds, buckets=buckets
-    )
+    windows = stream_count_windows(samples, order=order, size=size, step=step, idle_seconds=idle_seconds)
 
     def score(batch: DataFrame, batch_id: int) -> None:
         write(scored_messages(batch, scorer), batch_id)
@@ -91,4 +91,6 @@ def start_predictions(
 
 
 def scored_messages(window_samples: DataFrame, scorer: Scorer) -> DataFrame:
-    return prediction_messages(scorer(window_features(window_samples)), "window_idx", "is_tail")
+    scored = scorer(window_features(window_samples))
+    version = ["model_version"] if "model_version" in scored.columns else []
+    return prediction_messages(scored, "window_idx", "is_tail", *version)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +43,21 @@ def start_batches(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def drain(query: StreamingQuery, seconds: float = 600.0) -> None:
+    """Let a stream with timers run until its input is read and its timers have emptied its state, then stop it."""
+    deadline = time.monotonic() + seconds
+    try:
+        while time.monotonic() < deadline:
+            time.sleep(0.2)
+            if query.exception() is not None:
+                raise query.exception()
+            progress = query.lastProgress
+            if progress and progress["batchId"] > 0 and progress["numInputRows"] == 0 and not sum(
+                operator["numRowsTotal"] for operator in progress["stateOperators"]
+            ):
+                return
+        raise TimeoutError(f"the state was not empty after {seconds} s")
+    finally:
+        query.stop()

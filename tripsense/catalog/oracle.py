@@ -149,6 +149,25 @@ _LATEST = (
 )
 
 
+# Rules of the table by row; of rows that keep them, the first of each key by arrival is the one without a violation.
+_ROUTED = (
+    "SELECT bookingid, second, speed, CASE WHEN broken = '' AND ROW_NUMBER() OVER (PARTITION BY bookingid, second ORDER BY"
+    f" broken <> '', {', '.join(DUP_ARRIVAL)}) > 1 THEN 'key' ELSE broken END AS violations FROM (SELECT {', '.join(DUP_ARRIVAL)},"
+    " CASE WHEN l_suppkey % 7 = 0 OR l_suppkey % 11 = 0 THEN NULL ELSE bookingid END AS bookingid,"
+    " CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE second END AS second,"
+    " CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE CAST(l_partkey AS DOUBLE) END AS speed,"
+    " CONCAT_WS(',', CASE WHEN l_suppkey % 7 = 0 THEN 'null:bookingid' END, CASE WHEN l_partkey % 13 = 0 THEN 'null:second' END,"
+    " CASE WHEN l_suppkey % 7 <> 0 AND l_suppkey % 11 = 0 THEN 'type:bookingid' END,"
+    " CASE WHEN l_partkey % 17 = 0 THEN 'type:speed' END) AS broken FROM fx_dup) d"
+)
+# Full windows are scored when their last message has come: by the first version up to the middle of all messages.
+_SWAPPED = (
+    "SELECT bookingid, window_idx, time, speed, CASE WHEN last_seq <= half THEN CAST(spread > 4 AS INTEGER)"
+    " ELSE CAST(spread > 5 AS INTEGER) END AS label, CASE WHEN last_seq <= half THEN '1' ELSE '2' END AS model_version FROM"
+    f" (SELECT bookingid, window_idx, {r('MAX(second)', 'time')}, {r('AVG(speed)', 'speed')}, STDDEV_SAMP(speed) AS spread,"
+    " MAX(seq) AS last_seq FROM windowed WHERE window_idx < full_windows GROUP BY bookingid, window_idx) w,"
+    " (SELECT (MIN(seq) + MAX(seq)) // 2 AS half FROM fx_stream) h"
+)
 _SEQUENCES = (
     "SELECT bookingid, chunk, CAST(COUNT(*) AS INTEGER) AS records, MIN(second) AS first_second,"
     f" MAX(second) AS last_second, {r('ARG_MIN(speed, second)', 'first_speed')},"
@@ -229,6 +248,13 @@ def all_oracles() -> dict[str, str]:
         "insert_raw": with_views(
             _FIRST_WRITER.format(speed=r("speed"), order="l_suppkey % 2, " + ", ".join(DUP_ARRIVAL)), "fx_dup"
         ),
+        "compact_raw": with_views(f"SELECT bookingid, {_RAW_ROUNDED} FROM fx_raw", "fx_raw"),
+        "read_stored_ids": with_views(
+            f"SELECT bookingid, {r('second')}, {r('speed')} FROM fx_raw WHERE bookingid IN (SELECT bookingid FROM fx_done)",
+            "fx_raw", "fx_done",
+        ),
+        "route_rows": with_views(_ROUTED, "fx_dup"),
+        "insert_checked": with_views(_ROUTED, "fx_dup"),
         "validate_schema": with_views(
             "SELECT 'not_null:bookingid' AS rule, COUNT(*) AS violations FROM fx_dup WHERE bookingid IS NULL"
             " UNION ALL SELECT 'not_null:second', COUNT(*) FROM fx_dup WHERE second IS NULL"
@@ -325,6 +351,11 @@ def all_oracles() -> dict[str, str]:
         "stream_ingest": with_views(_FIRST_WRITER.format(speed=r("speed"), order=", ".join(DUP_ARRIVAL)), "fx_dup"),
         "stream_count_windows": with_views(_WINDOW_SUMMARY.format(where=""), "windowed"),
         "stream_latest_state": with_views(_LATEST, "fx_stream"),
+        "stream_idle_flush": with_views(_WINDOW_SUMMARY.format(where=""), "windowed"),
+        "stream_predictions_once": with_views(
+            f"SELECT bookingid, window_idx, time, speed, label FROM ({_messages('')}) m", "windowed"
+        ),
+        "stream_model_swap": with_views(_SWAPPED, "windowed"),
         "stream_predict_rule": with_views(_messages(""), "windowed"),
         "assemble_features": with_views(
             "SELECT bookingid, " + ", ".join(r(n) for n in MODEL_FEATURES) + " FROM trips", "trips"
@@ -368,16 +399,23 @@ def all_oracles() -> dict[str, str]:
             name: with_views(f"SELECT bookingid, label, TRUE AS valid FROM trips WHERE NOT ({_IN_EXPERIMENT})", "trips")
             for name in ("train_random_forest", "train_logistic", "train_svm", "train_mlp")
         },
-        "train_on_rule": "SELECT model, TRUE AS learnt FROM (VALUES ('forest'), ('logistic')) m(model)",
+        "train_on_rule": with_views(
+            "SELECT model, COUNT(*) AS rows, CAST(SUM(CASE WHEN std_speed > 8 THEN 1 ELSE 0 END) AS BIGINT) AS positives, TRUE AS learnt"
+            f" FROM (VALUES ('forest'), ('logistic'), ('svm'), ('mlp')) m(model), trips WHERE NOT ({_IN_EXPERIMENT}) GROUP BY model",
+            "trips",
+        ),
         "score_trips": with_views("SELECT bookingid, label, TRUE AS valid FROM trips", "trips"),
         "stream_predict": with_views(
             f"SELECT bookingid, window_idx, is_tail, time, speed, TRUE AS valid FROM ({_messages('')}) m", "windowed"
         ),
-        "compare_models": "SELECT model, model <> 'SVM' AS has_auc, TRUE AS valid FROM (VALUES ('Random Forest'),"
-                          " ('Logistic Regression'), ('SVM'), ('Neural Network')) m(model)",
+        "compare_models": with_views(
+            "SELECT model, COUNT(*) AS rows, model <> 'SVM' AS has_auc, TRUE AS valid FROM (VALUES ('Random Forest'),"
+            f" ('Logistic Regression'), ('SVM'), ('Neural Network')) m(model), trips WHERE NOT ({_IN_EXPERIMENT}) GROUP BY model",
+            "trips",
+        ),
         **{
-            name: f"SELECT feature, TRUE AS valid FROM (SELECT UNNEST([{', '.join(repr(n) for n in _NAMES)}]) AS feature) f"
-            for name in ("feature_importance", "lasso_selection", "feature_consensus")
+            name: f"SELECT feature, TRUE AS {flag} FROM (SELECT UNNEST([{', '.join(repr(n) for n in _NAMES)}]) AS feature) f"
+            for name, flag in (("feature_importance", "valid"), ("lasso_selection", "optimal"), ("feature_consensus", "as_voted"))
         },
         "feature_consensus_fixed": with_views(
             "SELECT feature, score > 0.01 AS forest, score > 0.02 AS lasso, score > 0.03 AS pearson,"

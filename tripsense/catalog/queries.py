@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripsense.catalog import fixtures as fx
 from tripsense.functions.features import FEATURE_COLUMNS, feature_aggregates, fill_missing, trip_features, with_magnitudes
 from tripsense.functions.scalars import normalise_columns, round_doubles, trip_status
 from tripsense.modelling import classifiers, evaluate, prepare, selection
-from tripsense.modelling.registry import ModelRegistry, resolve_version
+from tripsense.modelling.registry import ModelFollower, ModelRegistry, resolve_version
 from tripsense.operators import dashboard, labels, trips
 from tripsense.operators.first_writer import first_writer_wins
 from tripsense.operators.latest import latest_trip_state
@@ -26,12 +27,13 @@ from tripsense.session import scratch_dir
 from tripsense.sources import schemas
 from tripsense.sources.files import read_labels_csv, read_samples_csv
 from tripsense.sources.messages import encode_messages, parse_messages
-from tripsense.sources.tables import append_raw, append_trips, insert_raw, insert_trips, read_raw, read_trips
+from tripsense.sources.quarantine import routed
+from tripsense.sources.tables import append_raw, append_trips, insert_checked, insert_raw, insert_trips, raw_table, read_raw, read_trips
 from tripsense.streaming.count_windows import leftover_windows, stream_count_windows
 from tripsense.streaming.ingest import start_raw_ingest
-from tripsense.streaming.latest import read_latest_state, start_latest_state
-from tripsense.streaming.predict import prediction_messages, scored_messages, start_predictions
-from tripsense.streaming.sinks import parquet_batches, read_batches, start_batches
+from tripsense.streaming.latest import each_once, prediction_feed, read_latest_state, start_latest_state
+from tripsense.streaming.predict import prediction_messages, scored_messages, start_predictions, topic_messages
+from tripsense.streaming.sinks import drain, parquet_batches, read_batches, start_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,11 @@ LOOKUP_ID = 7
 CUT_ROWS = 16
 CHUNK_ROWS = 20
 STD_SPEED_LIMIT = 8.0
+SWAP_LIMITS = (4.0, 5.0)
+# Longer than the next micro-batch of an input of several takes to come.
+IDLE_SECONDS = 5
+# A fitted coefficient may be so far from the exact minimum.
+LEAST_GAP = 1e-3
 
 DUP_ARRIVAL = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 
@@ -117,6 +124,53 @@ def insert_raw_table(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(read_raw(spark, path).select("bookingid", "second", "speed"))
 
 
+def compact_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples in several commits, their crowded buckets written anew."""
+    table = raw_table(spark, scratch_dir(spark, "compact"))
+    samples = fx.fx_raw(spark, sf)
+    for part in range(3):
+        table.append(samples.filter(F.col("bookingid") % 3 == part))
+    table.compact(most_files=2)
+    return round_doubles(table.read())
+
+
+def read_stored_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples of some trips, from the files that the index names for them."""
+    table = raw_table(spark, scratch_dir(spark, "lookup"))
+    table.append(fx.fx_raw(spark, sf))
+    return round_doubles(table.read_ids(fx.fx_done(spark, sf)).select("bookingid", "second", "speed"))
+
+
+def _dirty_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples as text, with ids that are missing or no numbers, missing times, speeds that are words, and repeated keys."""
+    rows = fx.fx_dup(spark, sf).selectExpr(
+        "CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 11 = 0 THEN concat('t', bookingid) ELSE CAST(bookingid AS STRING) END AS bookingid",
+        "CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE second END AS second",
+        "CASE WHEN l_partkey % 17 = 0 THEN 'fast' ELSE CAST(l_partkey AS STRING) END AS speed", *DUP_ARRIVAL,
+    )
+    return rows.withColumns({name: F.lit(None).cast("double") for name in schemas.RAW_CHANNELS if name not in rows.columns})
+
+
+def _violations() -> Column:
+    return F.array_join(F.array_sort("violations"), ",").alias("violations")
+
+
+def route_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row with the rules it breaks."""
+    checked = routed(_dirty_samples(spark, sf), schemas.RAW_SCHEMA, schemas.RAW_KEY, DUP_ARRIVAL)
+    return checked.select("row.bookingid", "row.second", "row.speed", _violations())
+
+
+def insert_checked_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What the table took and what was kept aside, read back: together the whole input."""
+    path = scratch_dir(spark, "checked")
+    table = raw_table(spark, f"{path}/raw")
+    insert_checked(_dirty_samples(spark, sf), table, f"{path}/rejects", DUP_ARRIVAL)
+    stored = table.read().select("bookingid", "second", "speed", F.lit("").alias("violations"))
+    aside = spark.read.parquet(f"{path}/rejects")
+    return stored.unionByName(aside.select("row.bookingid", "row.second", "row.speed", _violations()))
+
+
 def validate_schema(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.fx_dup(spark, sf).withColumn("speed", F.expr("NULLIF(speed, 7 * PI() / 8)"))
     return schemas.contract_report(rows, ["bookingid", "second", "speed"], schemas.RAW_KEY)
@@ -352,6 +406,59 @@ def stream_count_windows_query(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(summary)
 
 
+def stream_idle_flush(spark: SparkSession, sf: str) -> DataFrame:
+    """Full windows and tails, all of them from a stream whose timers run until no trip is left."""
+    path = scratch_dir(spark, "stream-idle")
+    windows = stream_count_windows(_stream_samples(spark, sf), order=["seq"], idle_seconds=IDLE_SECONDS)
+    trigger = {"processingTime": "1 second"}
+    drain(start_batches(windows, parquet_batches(f"{path}/rows"), f"{path}/checkpoint", trigger=trigger))
+    rows = read_batches(spark, f"{path}/rows", windows.schema)
+    summary = rows.groupBy("bookingid", "window_idx", "is_tail").agg(F.count(F.lit(1)).alias("rows"), *_speed_aggregates())
+    return round_doubles(summary)
+
+
+def stream_predictions_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Every prediction published twice, in three batches: a reader sees it once."""
+    path = scratch_dir(spark, "stream-once")
+    scored = prediction_messages(speed_rule(fill_missing(_feature_windows(spark, sf))), "window_idx", "is_tail")
+    for delivery in range(2):
+        for batch_id in range(3):
+            published = topic_messages(scored.filter(F.col("window_idx") % 3 == batch_id), batch_id)
+            stamped = published.withColumn("timestamp", F.timestamp_seconds(F.lit(1_700_000_000 + 60 * delivery)))
+            stamped.write.parquet(f"{path}/topic/{delivery}-{batch_id}")
+    topic = spark.readStream.schema(stamped.schema).parquet(f"{path}/topic/*")
+    feed = each_once(prediction_feed(topic)).select("bookingid", "window_idx", "time", "speed", "label")
+    start_batches(feed, parquet_batches(f"{path}/seen"), f"{path}/checkpoint").awaitTermination()
+    return round_doubles(read_batches(spark, f"{path}/seen", feed.schema).drop("batch_id"))
+
+
+def stream_model_swap(spark: SparkSession, sf: str) -> DataFrame:
+    """One running stream; when the first half of the messages is scored, another version is given the alias."""
+    path = scratch_dir(spark, "stream-swap")
+    registry = ModelRegistry(spark, f"{path}/registry")
+    for limit in SWAP_LIMITS:
+        rule = SQLTransformer(statement=f"SELECT *, CAST(std_speed > {limit} AS DOUBLE) AS prediction FROM __THIS__")
+        registry.register("rule", PipelineModel([rule]), {"limit": limit})
+    registry.set_alias("rule", "1")
+    messages = fx.fx_stream(spark, sf).select("bookingid", "seq", *schemas.RAW_CHANNELS)
+    half = messages.agg(F.expr("(min(seq) + max(seq)) div 2")).first()[0]
+    messages.filter(F.col("seq") <= half).write.parquet(f"{path}/in/first")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{path}/in/*")
+    query = start_predictions(
+        stream, ModelFollower(registry, "rule", check_seconds=0), parquet_batches(f"{path}/messages"), f"{path}/checkpoint",
+        order=["seq"], idle_seconds=None, trigger={"processingTime": "0 seconds"},
+    )
+    try:
+        query.processAllAvailable()
+        registry.set_alias("rule", "2")
+        messages.filter(F.col("seq") > half).write.parquet(f"{path}/in/second")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    schema = "bookingid long, window_idx long, time double, speed double, label int, model_version string"
+    return round_doubles(read_batches(spark, f"{path}/messages", spark.createDataFrame([], schema).schema).drop("batch_id"))
+
+
 def _predictions(spark: SparkSession, sf: str, scorer) -> DataFrame:
     path = scratch_dir(spark, "stream-predict")
     samples = _stream_samples(spark, sf)
@@ -453,12 +560,19 @@ def train_on_rule(spark: SparkSession, sf: str) -> DataFrame:
     ruled = _stored_trips(spark, sf).withColumn("label", (F.col("std_speed") > STD_SPEED_LIMIT).cast("int"))
     data = prepare.scale_features(ruled).select("bookingid", "features", "label")
     train, test = prepare.train_test_split(data, prepare.EXPERIMENT_TRAIN_FRACTION)
+    models = {
+        "forest": classifiers.random_forest(20, 5), "logistic": classifiers.logistic(), "svm": classifiers.linear_svm(),
+        "mlp": classifiers.perceptron(len(prepare.MODEL_FEATURES), 2),
+    }
     scored = [
         estimator.fit(train).transform(test).select(F.lit(name).alias("model"), "label", "prediction")
-        for name, estimator in (("forest", classifiers.random_forest(20, 5)), ("logistic", classifiers.logistic()))
+        for name, estimator in models.items()
     ]
-    accuracy = evaluate.accuracy(evaluate.confusion_matrix(union_all(scored), ["model"]), ["model"])
-    return accuracy.select("model", (F.col("accuracy") > 0.85).alias("learnt"))
+    confusion = evaluate.confusion_matrix(union_all(scored), ["model"])
+    sizes = confusion.groupBy("model").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("positives"))
+    return evaluate.accuracy(confusion, ["model"]).join(sizes, "model").select(
+        "model", "rows", "positives", (F.col("accuracy") > 0.85).alias("learnt")
+    )
 
 
 def score_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -491,7 +605,9 @@ def train_job(spark: SparkSession, sf: str) -> DataFrame:
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
     table = training.compare_models(_stored_trips(spark, sf))
     in_range = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1) & F.coalesce(F.col("auc").between(0, 1), F.lit(True))
-    return table.select("model", F.col("auc").isNotNull().alias("has_auc"), in_range.alias("valid"))
+    # A share of so many rows is a whole number of them.
+    whole = F.abs(F.col("accuracy") * F.col("rows") - F.round(F.col("accuracy") * F.col("rows"))) < 1e-6
+    return table.select("model", "rows", F.col("auc").isNotNull().alias("has_auc"), (in_range & whole).alias("valid"))
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -503,11 +619,9 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lasso_selection(spark: SparkSession, sf: str) -> DataFrame:
-    """Every feature, whether its coefficient is a number, and whether the threshold decides on it alone."""
-    scores = training.lasso_selection(_stored_trips(spark, sf), FEATURE_COLUMNS)
-    kept = selection.select_features(scores, selection.COEFFICIENT_THRESHOLD).select("feature", F.lit(True).alias("kept"))
-    decided = F.coalesce("kept", F.lit(False)) == (F.abs("score") > selection.COEFFICIENT_THRESHOLD)
-    return scores.join(kept, "feature", "left").select("feature", (~F.isnan("score") & decided).alias("valid"))
+    """Every feature, and whether its coefficient is where the penalised loss is least."""
+    scores = training.certified_lasso(_stored_trips(spark, sf), FEATURE_COLUMNS)
+    return scores.select("feature", (F.coalesce("gap", F.lit(0.0)) < LEAST_GAP).alias("optimal"))
 
 
 def pearson_selection(spark: SparkSession, sf: str) -> DataFrame:
@@ -521,12 +635,21 @@ def rank_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_consensus(spark: SparkSession, sf: str) -> DataFrame:
-    """Every feature, and whether its votes and the forced one explain what is kept."""
-    votes = training.select_by_consensus(_stored_trips(spark, sf), FEATURE_COLUMNS, force_keep=["second"])
-    counted = sum((F.col(m).cast("int") for m in ("forest", "lasso", "pearson")), F.lit(0))
-    right = (F.col("votes") == counted) & (F.col("keep") == ((counted >= 2) | (F.col("feature") == "second")))
+    """Every feature, and whether it is kept exactly if two of the three selections or the forced list say so."""
+    stored = _stored_trips(spark, sf)
+    kept = training.select_by_consensus(stored, FEATURE_COLUMNS, force_keep=["second"]).filter("keep").select("feature")
+    votes = union_all([
+        selection.select_features(scores, threshold).select("feature")
+        for scores, threshold in (
+            (training.forest_selection(stored, FEATURE_COLUMNS), selection.IMPORTANCE_THRESHOLD),
+            (training.lasso_selection(stored, FEATURE_COLUMNS), selection.COEFFICIENT_THRESHOLD),
+            (selection.pearson_scores(stored, FEATURE_COLUMNS), selection.CORRELATION_THRESHOLD),
+        )
+    ]).groupBy("feature").agg(F.count(F.lit(1)).alias("votes"))
     names = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in FEATURE_COLUMNS])).alias("feature"))
-    return names.join(votes, "feature", "left").select("feature", F.coalesce(right, F.lit(True)).alias("valid"))
+    said = names.join(votes, "feature", "left").join(kept.withColumn("kept", F.lit(True)), "feature", "left")
+    wanted = (F.coalesce("votes", F.lit(0)) >= 2) | ((F.col("feature") == "second") & F.col("votes").isNotNull())
+    return said.select("feature", (F.coalesce("kept", F.lit(False)) == wanted).alias("as_voted"))
 
 
 def feature_consensus_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -570,6 +693,10 @@ def all_queries() -> dict[str, Query]:
         "append_trips": append_trips_table,
         "raw_first_writer_wins": raw_first_writer_wins,
         "insert_raw": insert_raw_table,
+        "compact_raw": compact_raw,
+        "read_stored_ids": read_stored_ids,
+        "route_rows": route_rows,
+        "insert_checked": insert_checked_rows,
         "validate_schema": validate_schema,
         "validate_trips": validate_trips,
         "trips_all": trips_all,
@@ -606,6 +733,9 @@ def all_queries() -> dict[str, Query]:
         "prediction_message": prediction_message,
         "stream_ingest": stream_ingest,
         "stream_count_windows": stream_count_windows_query,
+        "stream_idle_flush": stream_idle_flush,
+        "stream_predictions_once": stream_predictions_once,
+        "stream_model_swap": stream_model_swap,
         "stream_latest_state": stream_latest_state,
         "stream_predict_rule": stream_predict_rule,
         "stream_predict": stream_predict,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,27 @@ def lasso_coefficients(spark: SparkSession, model: Model, features: Sequence[str
     return _frame(spark, features, model.coefficients.toArray())
 
 
+def optimality(assembled: DataFrame, model: Model, features: Sequence[str], *, l1: float = 0.0, label: str = "label") -> DataFrame:
+    """``feature, score, gradient, gap`` of a fitted logistic regression without or with L1 penalty.
+
+    The loss has its minimum where, feature by feature, the gradient of the mean loss over the standardised feature is minus
+    the penalty times the sign of the coefficient, or for a coefficient of zero at most the penalty. ``gap`` is how far a
+    feature is from that. One aggregate over all rows; a feature that does not vary takes no part and has no gap.
+    """
+    values = vector_to_array("features")
+    names = [f"_x{n}" for n in range(len(features))]
+    margin = sum((F.lit(float(c)) * F.col(x) for c, x in zip(model.coefficients, names)), F.lit(float(model.intercept)))
+    rows = assembled.select(F.col(label).cast("double").alias("_y"), *[values[n].alias(x) for n, x in enumerate(names)])
+    wrong = 1 / (1 + F.exp(-margin)) - F.col("_y")
+    sums = rows.withColumn("_wrong", wrong).agg(
+        *[F.try_divide(F.avg(F.col("_wrong") * F.col(x)), F.nullif(F.stddev_samp(x), F.lit(0.0))).alias(x) for x in names]
+    )
+    scores = [F.struct(F.lit(name).alias("feature"), F.lit(float(c)).alias("score"), F.col(x).alias("gradient")) for name, c, x in zip(features, model.coefficients, names)]
+    listed = sums.select(F.inline(F.array(*scores)))
+    free = F.greatest(F.abs("gradient") - l1, F.lit(0.0))
+    return listed.withColumn("gap", F.when(F.col("score") == 0, free).otherwise(F.abs(F.col("gradient") + l1 * F.signum("score"))))
+
+
 def pearson_scores(trips: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """Absolute correlation of each feature with the label, all in one aggregate.
 

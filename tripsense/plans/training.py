@@ -39,9 +39,10 @@ def train_job(
     """Fit, measure on the held-out part, register as a new version.
 
     ``trips`` should be the stored table: the fit reads it several times, which is cheap for a column-pruned
-    scan and not for an aggregation over samples.
+    scan and not for an aggregation over samples. Trips without a label take no part.
     """
     check_columns(trips, [*feature_columns, "label"])
+    trips = trips.filter("label IS NOT NULL")
     train, test = train_test_split(trips, TRAIN_FRACTION)
     counts = {row["train"]: row["n"] for row in
               trips.groupBy(in_train().alias("train")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -64,7 +65,7 @@ def train_job(
 
 
 def compare_models(trips: DataFrame, feature_columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """``model, accuracy, f1, auc`` of four classifiers on the same held-out trips.
+    """``model, accuracy, f1, auc, rows`` of four classifiers on the same held-out trips.
 
     The scored rows of all models form one table, cut off from the models once, so each metric is one aggregation by
     model and no model scores a trip twice. The SVM gives no AUC: its raw margin is not reported as one.
@@ -83,11 +84,13 @@ def compare_models(trips: DataFrame, feature_columns: Sequence[str] = MODEL_FEAT
         )
     )
     confusion = evaluate.confusion_matrix(scored, ["model"])
+    sizes = confusion.groupBy("model").agg(F.sum("n").alias("rows"))
     auc = evaluate.area_under_roc(scored.filter("model <> 'SVM'"), "score", ["model"])
     return (
         evaluate.accuracy(confusion, ["model"])
         .join(evaluate.weighted_f1(confusion, ["model"]), "model")
         .join(auc, "model", "left")
+        .join(sizes, "model")
     )
 
 
@@ -101,6 +104,13 @@ def lasso_selection(trips: DataFrame, features: Sequence[str]) -> DataFrame:
     return selection.lasso_coefficients(trips.sparkSession, model, features)
 
 
+def certified_lasso(trips: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The selection's coefficients, each with how far it is from the minimum of the penalised loss."""
+    assembled = assemble_features(trips, features)
+    model = classifiers.lasso().fit(assembled)
+    return selection.optimality(assembled, model, features, l1=classifiers.LASSO_REGULARISATION)
+
+
 def select_by_consensus(trips: DataFrame, features: Sequence[str], *, force_keep: Sequence[str] = ()) -> DataFrame:
     return selection.feature_consensus(
         selection.select_features(forest_selection(trips, features), selection.IMPORTANCE_THRESHOLD),

@@ -3,15 +3,18 @@
 Texts are cut into passages of ``CHUNK_WORDS`` words and weighed by TF-IDF over the words that occur in the benchmark; other
 words cannot add to any similarity with it. A randomised SVD of the matrix of all passages, to which the benchmark's own
 are added with equal weight in sum, gives a latent space: every partition multiplies its rows with a random matrix and
-back, the products are added up, and a Nystroem step turns the sum into singular vectors. Windows of passages are
-compared with all benchmark items by cosine there, and for every candidate the longest common subsequence of words
-decides, with a look at the item's answer where it is a paraphrase.
-
-What the cosine passes over is not lost: a place that holds the needed share of an item's words holds some of its rarest
-ones, so an index of those gives every other candidate (``Rare``), whatever rank, window and weights are.
-
-The benchmark is the stated query set; it is searched in blocks of about ``BLOCK_WORDS`` words, each in one job, so what goes
-to the executors is bounded. Nothing of the documents is gathered but sums over terms.
+back, the products are added up, and a Nystroem step turns the sum into singular vectors. Windows of
+passages, each as long as the item needs, are compared with all benchmark items by cosine there, which is how paraphrases are
+found. For every candidate the longest common subsequence of words decides, with a look at the item's answer where it is a
+paraphrase.
+
+Copies do not hang on the cosine: a place that holds a copy's share of an item's words holds some of its rarest ones, so an
+index of those gives every copy (``Rare``), whatever rank, window and weights are. Items too short for either are
+matched as phrases.
+
+The benchmark is the stated query set. Documents are encoded once, against the words of the whole benchmark; it is searched
+in blocks of about ``BLOCK_WORDS`` words, each in one job, so what goes to the executors is bounded. Nothing of the
+documents is gathered but sums over terms. Long texts are worked on in runs.
 """
 
 from __future__ import annotations
@@ -29,24 +32,30 @@ from pyspark.sql import functions as F
 from tripsense.llm.common import batch, cut
 
 CHUNK_WORDS = 24
-WINDOW_CHUNKS = 3
+SEGMENT_WORDS = 72
 RANK = 96
 OVERSAMPLE = 16
 # The least IDF of a term; none is without weight, however common.
 LEAST_WEIGHT = 0.05
-# Of the words that a found item needs at least, this share must be among its rarest ones.
+# Of the words that a copy needs at least, this share must be among the item's rarest ones.
 RARE_SHARE = 0.4
-LEAST_COSINE = 0.55
+LEAST_COSINE = 0.5
 # Shares of an item's words, in order: a copy, and a paraphrase that must hold the answer too.
 COPY_SHARE = 0.7
 PARAPHRASE_SHARE = 0.5
 ANSWER_SHARE = 0.5
 ANSWER_WORDS = 8
-# Items of fewer words say too little to be told from chance; none of their occurrences counts.
+# Shorter items are matched as phrases, word by word; those below the second figure say too little to be told from chance.
 LEAST_ITEM_WORDS = 8
+LEAST_PHRASE_WORDS = 4
 BLOCK_WORDS = 50_000
+# The words of the whole benchmark go to every executor.
+MOST_TERMS = 5_000_000
 TERMS_PER_ROW = 64
 DOCUMENTS_AT_ONCE = 32
+# Words of documents that are projected, and cosines that are held, at a time.
+WORDS_AT_ONCE = 1 << 16
+COSINES_AT_ONCE = 1 << 22
 SEED = 5
 
 _WORDS = re.compile(r"\w+")
@@ -70,7 +79,8 @@ class Item:
             self.places[word] = self.places.get(word, 0) | 1 << at
 
         self.sorted = np.array(sorted(self.places), dtype=np.int32)
-        self.span = len(self.words) + len(self.words) // 4 + 4
+        self.phrase = len(self.words) < LEAST_ITEM_WORDS
+        self.span = len(self.words) if self.phrase else len(self.words) + len(self.words) // 4 + 4
 
     def of_item(self, words: np.ndarray) -> np.ndarray:
         """Which of ``words`` the item has."""
@@ -87,25 +97,33 @@ class Item:
         return len(self.words) - row.bit_count()
 
     def best(self, words: np.ndarray, places: np.ndarray) -> tuple[float, int, bool]:
-        """The best share of the item's words found in order in a span of a quarter more than its length; where it
-        starts; whether the answer is there."""
+        """The best share of the item's words found in order in a span of a quarter more than its length; where it first
+        starts; whether the answer is there. Of a phrase, all words must stand one behind the other."""
         length = len(self.words)
-        span, step = self.span, max(1, length // 8)
+        if self.phrase:
+            return self._as_phrase(words, places)
         top, start, answered = 0.0, -1, False
-        last = -step
-        ends = np.searchsorted(places, places + span)
-        for low in np.flatnonzero(ends - np.arange(len(places)) >= PARAPHRASE_SHARE * length).tolist():
-            if places[low] < last + step or ends[low] - low < top * length:
-                continue
-            last = int(places[low])
+        ends = np.searchsorted(places, places + self.span)
+        held = ends - np.arange(len(places))
+        # Those with the most words of the item come first, so most of the others cannot be better and end the search.
+        for low in np.argsort(-held, kind="stable").tolist():
+            if held[low] < max(PARAPHRASE_SHARE, top) * length:
+                break
             here = words[low : ends[low]].tolist()
-            share = self.common(here) / length
-            if share > top:
-                held = Counter(here)
-                answer = sum(min(n, held[w]) for w, n in self.answer.items())
-                top, start, answered = share, last, answer >= ANSWER_SHARE * self.answer.total()
+            share, place = self.common(here) / length, int(places[low])
+            if share > top or share == top and place < start:
+                found = Counter(here)
+                answer = sum(min(n, found[w]) for w, n in self.answer.items())
+                top, start, answered = share, place, answer >= ANSWER_SHARE * self.answer.total()
         return top, start, answered
 
+    def _as_phrase(self, words: np.ndarray, places: np.ndarray) -> tuple[float, int, bool]:
+        length = len(self.words)
+        for low in np.flatnonzero(words == self.words[0]).tolist():
+            if words[low : low + length].tolist() == self.words and places[low + length - 1] - places[low] == length - 1:
+                return 1.0, int(places[low]), True
+        return 0.0, -1, False
+
 
 class Block:
     """A block of the benchmark: its vocabulary, its items and their passages."""
@@ -115,16 +133,26 @@ class Block:
         self.items: list[Item] = []
         for row in rows:
             said = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(row["text"])]
-            if len(said) < LEAST_ITEM_WORDS:
+            if len(said) < LEAST_PHRASE_WORDS:
                 continue
             answer = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(row["answer"])] or said[-ANSWER_WORDS:]
             self.items.append(Item(row["id"], said, Counter(answer)))
-        size = CHUNK_WORDS * WINDOW_CHUNKS
         self.segments = [
-            (number, item.words[at : at + size])
+            (number, item.words[at : at + SEGMENT_WORDS])
             for number, item in enumerate(self.items)
-            for at in range(0, max(1, len(item.words) - size // 2), size)
+            for at in range(0, max(1, len(item.words) - SEGMENT_WORDS // 2), SEGMENT_WORDS)
+            if not item.phrase
         ]
+        self.owner = np.array([number for number, _ in self.segments], dtype=np.int64)
+        # A passage lies within so many chunks, wherever it begins.
+        self.window = np.array([1 + -(-len(said) // CHUNK_WORDS) for _, said in self.segments], dtype=np.int64)
+
+    def local(self, numbers: dict[str, int]) -> np.ndarray:
+        """For the numbers of all words of the benchmark those in the block, -1 for others."""
+        out = np.full(len(numbers), -1, dtype=np.int32)
+        for word, number in self.vocabulary.items():
+            out[numbers[word]] = number
+        return out
 
     def segment_rows(self, idf: np.ndarray) -> np.ndarray:
         """TF-IDF of the items' passages, of unit length."""
@@ -136,7 +164,7 @@ class Block:
 
 
 class Rare:
-    """Index of the rarest words of each item, for finding every document part that can hold the item.
+    """Index of the rarest words of each item, for finding every document part that can hold a copy of it.
 
     Of ``n`` words an item needs ``t`` in one span. Any ``n - t + j`` of its words then have ``j`` there, and the rarest are
     taken.
@@ -147,7 +175,7 @@ class Rare:
         self.spans = np.array([item.span for item in items], dtype=np.int64)
         pairs = []
         for number, item in enumerate(items):
-            least = int(np.ceil(PARAPHRASE_SHARE * len(item.words)))
+            least = len(item.words) if item.phrase else int(np.ceil(COPY_SHARE * len(item.words)))
             self.needed[number] = max(1, int(RARE_SHARE * least))
             said = np.array(item.words)
             rarest = said[np.argsort(-idf[said], kind="stable")[: len(said) - least + self.needed[number]]]
@@ -208,13 +236,15 @@ def _encode(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
     return documents.mapInArrow(run, "id long, _text_hash long, size long, places binary, terms binary")
 
 
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _decoded(batches: Iterator[pa.RecordBatch], local: np.ndarray) -> Iterator[tuple]:
     """Of a few documents at a time: ids, hashes, per document its places and terms, and all chunks in one numbering."""
     for many in batches:
         for start in range(0, many.num_rows, DOCUMENTS_AT_ONCE):
             rows = many.slice(start, DOCUMENTS_AT_ONCE)
             places = [np.frombuffer(p, dtype=np.int32) for p in rows.column("places").to_pylist()]
-            terms = [np.frombuffer(t, dtype=np.int32) for t in rows.column("terms").to_pylist()]
+            terms = [local[np.frombuffer(t, dtype=np.int32)] for t in rows.column("terms").to_pylist()]
+            places = [p[t >= 0] for p, t in zip(places, terms)]
+            terms = [t[t >= 0] for t in terms]
             chunks = -(-rows.column("size").to_numpy() // CHUNK_WORDS)
             first = np.concatenate([[0], np.cumsum(chunks)])
             chunk = np.concatenate([f + p // CHUNK_WORDS for f, p in zip(first, places)])
@@ -234,18 +264,30 @@ def _weighed(rows: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray
     return chosen
 
 
+def _runs(row: np.ndarray) -> Iterator[slice]:
+    """Parts of sorted rows, of about ``WORDS_AT_ONCE`` entries, that cut no row."""
+    start = 0
+    while start < len(row):
+        end = start + WORDS_AT_ONCE
+        end = int(np.searchsorted(row, row[end])) if end < len(row) else len(row)
+        if end == start:  # one row fills it
+            end = int(np.searchsorted(row, row[start], side="right"))
+        yield slice(start, end)
+        start = end
+
+
 def _sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of rows with equal keys; the keys are sorted."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[starts], np.add.reduceat(rows, starts, axis=0)
 
 
-def _inverse_frequency(encoded: DataFrame, terms: int) -> tuple[np.ndarray, int]:
+def _inverse_frequency(encoded: DataFrame, local: np.ndarray, terms: int) -> tuple[np.ndarray, int]:
     """IDF over all passages of all documents, and the number of passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, passages = np.zeros(terms, dtype=np.int64), 0
-        for *_, first, chunk, term in _decoded(batches):
+        for *_, first, chunk, term in _decoded(batches, local):
             keys = np.unique(chunk.astype(np.int64) * terms + term)
             seen += np.bincount(keys % terms, minlength=terms)
             passages += int(first[-1])
@@ -259,25 +301,25 @@ def _inverse_frequency(encoded: DataFrame, terms: int) -> tuple[np.ndarray, int]
     return np.maximum(np.log((passages + 1) / (found + 1)), LEAST_WEIGHT), passages
 
 
-def _latent_space(encoded: DataFrame, block: Block, rank: int) -> Space:
+def _latent_space(encoded: DataFrame, block: Block, local: np.ndarray, rank: int) -> Space:
     """Singular vectors of the passages of documents and benchmark, from one product with a random matrix."""
     terms = len(block.vocabulary)
-    idf, passages = _inverse_frequency(encoded, terms)
+    idf, passages = _inverse_frequency(encoded, local, terms)
     width = min(terms, rank + OVERSAMPLE)
     random = np.random.default_rng(SEED).standard_normal((terms, width)).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((terms, width))
-        for *_, chunk, term in _decoded(batches):
-            row, column, weight = _sparse(chunk, term, idf)
-            if not len(row):
-                continue
-            _, row = np.unique(row, return_inverse=True)
-            weight = weight / np.sqrt(np.bincount(row, weight.astype(float) ** 2))[row].astype(np.float32)
-            _, sketch = _sums(row, _weighed(random, column, weight))
-            order = np.argsort(column, kind="stable")
-            touched, added = _sums(column[order], _weighed(sketch, row[order], weight[order]))
-            total[touched] += added
+        for *_, chunk, term in _decoded(batches, local):
+            rows, columns, weights = _sparse(chunk, term, idf)
+            for run in _runs(rows):
+                _, row = np.unique(rows[run], return_inverse=True)
+                column, weight = columns[run], weights[run]
+                weight = weight / np.sqrt(np.bincount(row, weight.astype(float) ** 2))[row].astype(np.float32)
+                _, sketch = _sums(row, _weighed(random, column, weight))
+                order = np.argsort(column, kind="stable")
+                touched, added = _sums(column[order], _weighed(sketch, row[order], weight[order]))
+                total[touched] += added
         for start in range(0, terms, TERMS_PER_ROW):
             part = total[start : start + TERMS_PER_ROW]
             if part.any():
@@ -315,38 +357,52 @@ def _nystroem(product: np.ndarray, random: np.ndarray, rank: int) -> tuple[np.nd
     return left[:, :rank][:, real > 0], real[real > 0]
 
 
-def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float) -> DataFrame:
+def _projected(chunk: np.ndarray, term: np.ndarray, chunks: int, onto: np.ndarray) -> np.ndarray:
+    """Latent sums of all chunks."""
+    held = np.zeros((chunks, onto.shape[1]), dtype=np.float32)
+    row, column, counts = _sparse(chunk, term, np.ones(len(onto)))
+    for run in _runs(row):
+        touched, sums = _sums(row[run], _weighed(onto, column[run], counts[run]))
+        held[touched] = sums
+    return held
+
+
+def _windows(held: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """Unit vectors of the ``size`` chunks from each chunk on, within its document."""
+    last = np.repeat(first[1:], np.diff(first))
+    window = held.copy()
+    for ahead in range(1, size):
+        inside = np.flatnonzero(np.arange(len(held)) + ahead < last)
+        window[inside] += held[inside + ahead]
+    return window / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
+
+
+def _matches(encoded: DataFrame, block: Block, local: np.ndarray, space: Space, least_cosine: float) -> DataFrame:
     onto = (space.directions * space.idf[:, None]).astype(np.float32)
     own = block.segment_rows(space.idf) @ space.directions
     own = (own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    owner = np.array([number for number, _ in block.segments], dtype=np.int64)
-    items, flat, rare = block.items, np.ones(len(block.vocabulary)), Rare(block.items, space.idf)
+    items, rare, sizes = block.items, Rare(block.items, space.idf), np.unique(block.window).tolist()
+    owner, window_of = block.owner, block.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, places, said, first, chunk, term in _decoded(batches):
-            row, column, counts = _sparse(chunk, term, flat)
-            if not len(row):
+        for ids, hashes, places, said, first, chunk, term in _decoded(batches, local):
+            if not len(term):
                 continue
-            held = np.zeros((first[-1], onto.shape[1]), dtype=np.float32)
-            touched, sums = _sums(row, _weighed(onto, column, counts))
-            held[touched] = sums
+            held = _projected(chunk, term, int(first[-1]), onto)
             document = np.repeat(np.arange(len(ids)), np.diff(first))
-            window = held.copy()
-            for ahead in range(1, WINDOW_CHUNKS):
-                same = document[ahead:] == document[:-ahead]
-                window[:-ahead][same] += held[ahead:][same]
-            window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
-            cosine = window @ own.T
-            near, segment = np.nonzero(cosine >= least_cosine)
-            sizes = [len(p) for p in places]
-            # What the needed share of words stands in is in the index, so a near window beside it needs no second look.
-            candidates = rare.candidates(np.repeat(np.arange(len(ids)), sizes), np.concatenate(places), term)
-            for at, of in zip(near.tolist(), owner[segment].tolist()):
-                d, begin = int(document[at]), int(at - first[document[at]]) * CHUNK_WORDS
-                if (d, of) in candidates:
-                    low, high = candidates[d, of]
-                    reach = len(items[of].words)
-                    candidates[d, of] = min(low, begin - reach), max(high, begin + CHUNK_WORDS * WINDOW_CHUNKS + reach)
+            candidates = rare.candidates(np.repeat(np.arange(len(ids)), [len(p) for p in places]), np.concatenate(places), term)
+            windows = {}
+            for size in sizes:
+                mine = np.flatnonzero(window_of == size)
+                windows[size] = _windows(held, first, size)
+                step = max(1, COSINES_AT_ONCE // len(mine))
+                for start in range(0, len(held), step):
+                    near, segment = np.nonzero(windows[size][start : start + step] @ own[mine].T >= least_cosine)
+                    for at, of in zip((near + start).tolist(), owner[mine[segment]].tolist()):
+                        d, begin, reach = int(document[at]), int(at - first[document[at]]) * CHUNK_WORDS, len(items[of].words)
+                        low, high = begin - reach, begin + CHUNK_WORDS * size + reach
+                        before = candidates.get((d, of))
+                        candidates[d, of] = (min(low, before[0]), max(high, before[1])) if before else (low, high)
             best: dict[tuple[int, int], tuple] = {}
             for (d, number), reach in candidates.items():
                 item = items[number]
@@ -356,9 +412,12 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
                     continue
                 share, start, answered = item.best(said[d][inside], places[d][inside])
                 if share >= COPY_SHARE or share >= PARAPHRASE_SHARE and answered:
-                    at = first[d] + start // CHUNK_WORDS
-                    around = cosine[max(first[d], at - WINDOW_CHUNKS + 1) : at + 1, owner == number]
-                    best[d, number] = (share, float(around.max()), start)
+                    cosine = None if item.phrase else 0.0
+                    for segment in np.flatnonzero(owner == number):
+                        at, size = int(first[d]) + start // CHUNK_WORDS, int(window_of[segment])
+                        around = windows[size][max(int(first[d]), at - size + 1) : at + 1] @ own[segment]
+                        cosine = max(cosine, float(around.max()))
+                    best[d, number] = (share, cosine, start)
             if best:
                 yield batch(
                     id=pa.array([ids[d] for d, _ in best], pa.int64()), _text_hash=pa.array([hashes[d] for d, _ in best], pa.int64()),
@@ -370,11 +429,28 @@ def _matches(encoded: DataFrame, block: Block, space: Space, least_cosine: float
     return encoded.mapInArrow(run, "id long, _text_hash long, item_id long, share double, cosine double, start_word long")
 
 
-def _blocks(items: DataFrame, id: str, text: str, answer: str | None, block_words: int) -> Iterator[Block]:
-    known = items.select(
+def _benchmark(items: DataFrame, id: str, text: str, answer: str | None) -> DataFrame:
+    return items.select(
         F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
         (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("answer"),
     )
+
+
+def _vocabulary(known: DataFrame) -> dict[str, int]:
+    """A number for every word of the benchmark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = {w for column in ("text", "answer") for t in rows.column(column) for w in words_of(t.as_py())}
+            yield batch(word=pa.array(sorted(found), pa.string()))
+
+    words = known.mapInArrow(run, "word string").distinct().limit(MOST_TERMS + 1).collect()
+    if len(words) > MOST_TERMS:
+        raise ValueError(f"the benchmark has more than {MOST_TERMS} different words; search it in parts")
+    return {word: number for number, word in enumerate(sorted(row["word"] for row in words))}
+
+
+def _blocks(known: DataFrame, block_words: int) -> Iterator[Block]:
     total = known.agg(F.sum(F.regexp_count("text", F.lit(r"\w+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     for number in range(blocks):
@@ -392,17 +468,21 @@ def contaminated(
     """``(id, _text_hash, item_id, share, cosine, start_word)``: which documents hold which benchmark items.
 
     ``share`` of the item's words stand in order from word ``start_word`` on. Without an answer column the last
-    ``ANSWER_WORDS`` words of an item count as its answer. Null and empty texts hold nothing, items of fewer than
-    ``LEAST_ITEM_WORDS`` words are never found, null ids and repeated rows stay, other columns are not read.
+    ``ANSWER_WORDS`` words of an item count as its answer. Items of fewer than ``LEAST_ITEM_WORDS`` words are found as whole
+    phrases only (without a cosine), those of fewer than ``LEAST_PHRASE_WORDS`` never. Null and empty texts hold nothing,
+    null ids and repeated rows stay, other columns are not read.
     """
     source = documents.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).withColumn(
         "_text_hash", F.xxhash64(F.coalesce("text", F.lit("\0")))
     )
+    known = _benchmark(items, item_id, item_text, item_answer)
+    numbers = _vocabulary(known)
+    encoded = cut(_encode(source, numbers)) if numbers else None
     found = None
-    for block in _blocks(items, item_id, item_text, item_answer, block_words):
-        encoded = cut(_encode(source, block.vocabulary))
-        space = _latent_space(encoded, block, rank)
-        part = _matches(encoded, block, space, least_cosine)
+    for block in _blocks(known, block_words):
+        local = block.local(numbers)
+        space = _latent_space(encoded, block, local, rank)
+        part = _matches(encoded, block, local, space, least_cosine)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return source.limit(0).select(

@@ -1,9 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the distinct words of a text, their beginnings of four to eight letters, and the beginnings that several
-different words share; each is hashed to one of ``BUCKETS``. Buckets that tell the two labels apart in the training sample
-keep a weight and a vector; the score of a text is the logistic function of all weights plus the inner products of all
-pairs of vectors, so two terms that are harmless apart can be toxic together.
+different words share; each is hashed to one of ``BUCKETS``. Buckets that tell the two labels apart in the training sample,
+alone or as one of a pair, keep a weight and a vector; the score of a text is the logistic function of all weights plus the
+inner products of all pairs of vectors, so two terms that are harmless apart can be toxic together.
 """
 
 from __future__ import annotations
@@ -27,8 +27,13 @@ TRAIN_ROWS = 20_000
 FOLDS = 5
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7, 8)
+# A bucket is kept for what it says alone if it is in so many texts and among the best of so many; what pairs say is looked at
+# among the buckets that vary most, and both buckets of a pair are kept whose texts are so many deviations from what the two
+# say apart.
 KEPT_BUCKETS = 4096
 LEAST_SUPPORT = 3
+PAIRED_BUCKETS = 1024
+PAIR_DEVIATIONS = 6.0
 FACTORS = 8
 EPOCHS = 30
 BATCH = 256
@@ -123,7 +128,7 @@ def _margins(bias, weights, vectors, terms, owner, rows):
 
 
 def choose(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The buckets with the largest signed deviation between the labels, in support of either."""
+    """The buckets with the largest signed deviation between the labels, and those of pairs that say more than they do."""
     flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
     toxic = np.repeat(labels, [len(r) for r in rows]) if rows else np.zeros(0)
     seen = np.bincount(flat, minlength=BUCKETS)
@@ -132,7 +137,29 @@ def choose(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     spread = np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-9)) + 1
     away = np.where(seen >= LEAST_SUPPORT, np.abs(bad - seen * rate) / spread, 0)
     best = np.argsort(-away, kind="stable")[:KEPT_BUCKETS]
-    return np.sort(best[away[best] > 1])
+    return np.union1d(best[away[best] > 1], paired(rows, labels, seen, bad, rate))
+
+
+def paired(rows: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
+    """Buckets of pairs whose texts are labelled otherwise than the two buckets let expect when their effects are added."""
+    varied = np.argsort(-seen * (len(rows) - seen), kind="stable")[:PAIRED_BUCKETS]
+    varied = np.sort(varied[(seen[varied] >= LEAST_SUPPORT) & (seen[varied] < len(rows))])
+    if not len(varied) or rate in (0.0, 1.0):
+        return varied[:0]
+    both, toxic = np.zeros((len(varied), len(varied))), np.zeros((len(varied), len(varied)))
+    for start in range(0, len(rows), BATCH * 8):
+        some = rows[start : start + BATCH * 8]
+        held = np.zeros((len(some), len(varied)), dtype=np.float32)
+        for at, row in enumerate(some):
+            place = np.minimum(np.searchsorted(varied, row), len(varied) - 1)
+            held[at, place[varied[place] == row]] = 1
+        both += held.T @ held
+        toxic += held.T @ (held * labels[start : start + len(some), None].astype(np.float32))
+    own = bad[varied] / seen[varied]
+    expected = np.clip(own[:, None] + own[None, :] - rate, 0, 1) * both
+    away = np.abs(toxic - expected) / (np.sqrt(both * rate * (1 - rate)) + 1)
+    np.fill_diagonal(away, 0)
+    return varied[away.max(axis=1) > PAIR_DEVIATIONS]
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:

@@ -23,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,13 @@ from tripsense.llm.common import batch, cut
 
 CHUNK_WORDS = 24
 SEGMENT_WORDS = 72
-RANK = 96
+RANK = 64
 OVERSAMPLE = 16
 # The least IDF of a term; none is without weight, however common.
 LEAST_WEIGHT = 0.05
 # Of the words that a copy needs at least, this share must be among the item's rarest ones.
 RARE_SHARE = 0.4
-LEAST_COSINE = 0.5
+LEAST_COSINE = 0.55
 # Shares of an item's words, in order: a copy, and a paraphrase that must hold the answer too.
 COPY_SHARE = 0.7
 PARAPHRASE_SHARE = 0.5
@@ -102,20 +103,23 @@ class Item:
         length = len(self.words)
         if self.phrase:
             return self._as_phrase(words, places)
-        top, start, answered = 0.0, -1, False
+        top, start, answered = 0, -1, False
         ends = np.searchsorted(places, places + self.span)
-        held = ends - np.arange(len(places))
-        # Those with the most words of the item come first, so most of the others cannot be better and end the search.
-        for low in np.argsort(-held, kind="stable").tolist():
-            if held[low] < max(PARAPHRASE_SHARE, top) * length:
-                break
+        needed = int(np.ceil(PARAPHRASE_SHARE * length))
+        starts = np.flatnonzero(ends - np.arange(len(places)) >= needed)
+        at = 0
+        while at < len(starts):
+            low = int(starts[at])
             here = words[low : ends[low]].tolist()
-            share, place = self.common(here) / length, int(places[low])
-            if share > top or share == top and place < start:
+            count = self.common(here)
+            if count >= needed:
                 found = Counter(here)
                 answer = sum(min(n, found[w]) for w, n in self.answer.items())
-                top, start, answered = share, place, answer >= ANSWER_SHARE * self.answer.total()
-        return top, start, answered
+                top, start, answered = count, int(places[low]), answer >= ANSWER_SHARE * self.answer.total()
+                needed = count + 1
+            # A later span has at most as many in common as this one, and one more for every word that it adds.
+            at = max(at + 1, int(np.searchsorted(ends[starts], ends[low] + needed - count)))
+        return top / length, start, answered
 
     def _as_phrase(self, words: np.ndarray, places: np.ndarray) -> tuple[float, int, bool]:
         length = len(self.words)
@@ -223,7 +227,7 @@ def _encode(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
             sizes, places, terms = [], [], []
             for text in rows.column("text"):
                 said = words_of(text.as_py())
-                numbers = np.fromiter((vocabulary.get(w, -1) for w in said), dtype=np.int32, count=len(said))
+                numbers = np.fromiter(map(vocabulary.get, said, repeat(-1)), dtype=np.int32, count=len(said))
                 at = np.flatnonzero(numbers >= 0).astype(np.int32)
                 sizes.append(len(said))
                 places.append(at.tobytes())
@@ -383,6 +387,7 @@ def _matches(encoded: DataFrame, block: Block, local: np.ndarray, space: Space,
     own = (own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     items, rare, sizes = block.items, Rare(block.items, space.idf), np.unique(block.window).tolist()
     owner, window_of = block.owner, block.window
+    lengths = np.array([len(item.words) for item in items], dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, places, said, first, chunk, term in _decoded(batches, local):
@@ -398,11 +403,18 @@ def _matches(encoded: DataFrame, block: Block, local: np.ndarray, space: Space,
                 step = max(1, COSINES_AT_ONCE // len(mine))
                 for start in range(0, len(held), step):
                     near, segment = np.nonzero(windows[size][start : start + step] @ own[mine].T >= least_cosine)
-                    for at, of in zip((near + start).tolist(), owner[mine[segment]].tolist()):
-                        d, begin, reach = int(document[at]), int(at - first[document[at]]) * CHUNK_WORDS, len(items[of].words)
-                        low, high = begin - reach, begin + CHUNK_WORDS * size + reach
-                        before = candidates.get((d, of))
-                        candidates[d, of] = (min(low, before[0]), max(high, before[1])) if before else (low, high)
+                    at, of = near + start, owner[mine[segment]]
+                    begin = (at - first[document[at]]) * CHUNK_WORDS
+                    order = np.argsort(key := document[at] * len(items) + of, kind="stable")
+                    keys, edges = np.unique(key[order], return_index=True)
+                    if not len(keys):
+                        continue
+                    low = np.minimum.reduceat((begin - lengths[of])[order], edges)
+                    high = np.maximum.reduceat((begin + CHUNK_WORDS * size + lengths[of])[order], edges)
+                    for one, a, b in zip(keys.tolist(), low.tolist(), high.tolist()):
+                        pair = divmod(one, len(items))
+                        before = candidates.get(pair, (a, b))
+                        candidates[pair] = (min(a, before[0]), max(b, before[1]))
             best: dict[tuple[int, int], tuple] = {}
             for (d, number), reach in candidates.items():
                 item = items[number]

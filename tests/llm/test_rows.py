@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -153,6 +154,27 @@ def test_a_page_as_people_write_them(trees):
     ]
 
 
+@pytest.mark.parametrize("inner", [
+    "<script>x()</script>", "<style>p {}</style>", "<svg><path/></svg>", "<noscript>on</noscript>", "<button>OK</button>",
+    "<template><p>x</p></template>", "<select><option>1</select>", "<iframe>x</iframe>", "<!-- x -->", "<input>",
+])
+def test_dropped_elements_cut_no_line(trees, inner):
+    page = f"<article><p>Some words {inner}go on here, in the same line.</p><p>Then the next line of the article, too.</p></article>"
+    assert html.Page(page).text_of_all().split("\n") == ["Some words go on here, in the same line.", "Then the next line of the article, too."]
+
+
+@pytest.mark.parametrize("tag", ["math", "object", "audio", "video", "canvas"])
+def test_contents_of_other_elements_stay_in_their_line(tag):
+    assert html.Page(f"<p>Let <{tag}>x + 1</{tag}> be given.</p>").text_of_all() == "Let x + 1 be given."
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, "<div>" * 50_000 + "</span>" * 50_000, "<p><b>" * 50_000, "<ul>" + "<li><div>" * 50_000, "<body>" * 100_000])
+def test_parsing_takes_linear_time(page):
+    began = time.process_time()
+    html.Tree(page)
+    assert time.process_time() - began < 5
+
+
 def test_page_rows(spark, trees):
     long_page = "<article>" + "<p>Some words of a paragraph, and more.</p>" * 5000 + "</article>"
     rows = [(1, None, None, "x"), (2, "u", "", "x"), (None, "u", "<p>", "x"), (3, "u", "<<<>><div", "x"), (4, "u", long_page, "x"), (4, "u", long_page, "x"), (5, "u", "<div>" * 3000, "x")]

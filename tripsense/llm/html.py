@@ -13,6 +13,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -34,11 +35,11 @@ PAGES_AT_ONCE = 64
 # Fixed values of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style template noscript svg iframe object canvas audio video math head title select option optgroup textarea button datalist".split()
+    "script style template noscript svg iframe head title select option optgroup textarea button datalist".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr br img input".split()
+    "strong sub sup time tt u var wbr br img input math object audio video canvas".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
@@ -74,14 +75,18 @@ class Tree(HTMLParser):
         # Element and text; None where the element begins, False where a block in it has ended.
         self.flow: list[tuple[int, str | bool | None]] = []
         self.open = [0]
+        # How often each tag is open, so that no search starts that cannot end well.
+        self.opened: Counter[str] = Counter()
+        self.met: set[str] = set()
         self.feed(page)
         self.close()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("html", "body") and tag in self.tags:
+        if tag in ("html", "body") and tag in self.met:
             return
+        self.met.add(tag)
         if tag in CLOSES_P:
-            self._close_up_to({"p"}, {"button", "table", "td", "th"})
+            self._close_up_to({"p"}, {"button", "caption", "object", "table", "td", "template", "th"})
         if tag in CLOSES:
             self._close_up_to(*CLOSES[tag])
         held = {k: v or "" for k, v in attrs}
@@ -95,22 +100,31 @@ class Tree(HTMLParser):
         self.flow.append((number, None))
         if tag not in VOID:
             self.open.append(number)
+            self.opened[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.tags[self.open[at]] == tag:
-                del self.open[at:]
-                if tag not in INLINE:
-                    self.flow.append((self.open[-1], False))
-                return
+        if not self.opened[tag]:
+            return
+        while self._close_last() != tag:
+            pass
+        if tag not in INLINE and tag not in DROPPED:
+            self.flow.append((self.open[-1], False))
+
+    def _close_last(self) -> str:
+        tag = self.tags[self.open.pop()]
+        self.opened[tag] -= 1
+        return tag
 
     def handle_data(self, data: str) -> None:
         self.flow.append((self.open[-1], data))
 
     def _close_up_to(self, tags: set[str], stop: set[str]) -> None:
+        if not any(self.opened[tag] for tag in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.tags[self.open[at]] in tags:
-                del self.open[at:]
+                while len(self.open) > at:
+                    self._close_last()
                 return
             if self.tags[self.open[at]] in stop:
                 return

@@ -209,3 +209,28 @@ def test_two_writers_lose_no_version(spark, folder, monkeypatch):
     one.set_alias("m", "1")
     two.set_alias("m", "2")
     assert one.resolve("m") == "2"
+
+
+def test_optimality_is_a_zero_gap_at_the_minimum_only(spark):
+    """Of a fitted L1 regression every gap is small; moved coefficients have larger ones."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(2)
+    rows = []
+    for _ in range(400):
+        x = [rng.gauss(0, 1), rng.gauss(5, 3), rng.gauss(0, 0.1), 4.0]
+        rows.append((Vectors.dense(x), int(x[0] + 0.3 * (x[1] - 5) + rng.gauss(0, 1) > 0)))
+    data = spark.createDataFrame(rows, ["features", "label"])
+    names = ["a", "b", "c", "constant"]
+
+    class Moved:
+        def __init__(self, coefficients, intercept):
+            self.coefficients, self.intercept = coefficients, intercept
+
+    for penalty in (0.0, 0.05):
+        model = LogisticRegression(elasticNetParam=1.0, regParam=penalty, tol=1e-9, maxIter=500).fit(data)
+        gaps = {r["feature"]: r["gap"] for r in selection.optimality(data, model, names, l1=penalty).collect()}
+        assert gaps["constant"] is None and max(gaps[n] for n in "abc") < 1e-4
+        moved = Moved([c + (0.5 if n == 0 else 0) for n, c in enumerate(model.coefficients)], model.intercept)
+        assert {r["feature"]: r["gap"] for r in selection.optimality(data, moved, names, l1=penalty).collect()}["a"] > 0.01

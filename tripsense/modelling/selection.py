@@ -49,7 +49,8 @@ def optimality(assembled: DataFrame, model: Model, features: Sequence[str], *, l
     scores = [F.struct(F.lit(name).alias("feature"), F.lit(float(c)).alias("score"), F.col(x).alias("gradient")) for name, c, x in zip(features, model.coefficients, names)]
     listed = sums.select(F.inline(F.array(*scores)))
     free = F.greatest(F.abs("gradient") - l1, F.lit(0.0))
-    return listed.withColumn("gap", F.when(F.col("score") == 0, free).otherwise(F.abs(F.col("gradient") + l1 * F.signum("score"))))
+    gap = F.when(F.col("score") == 0, free).otherwise(F.abs(F.col("gradient") + l1 * F.signum("score")))
+    return listed.withColumn("gap", F.when(F.col("gradient").isNotNull(), gap))
 
 
 def pearson_scores(trips: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import as_set
 from tripsense.functions.features import FEATURE_COLUMNS
-from tripsense.modelling import evaluate, prepare, selection
+from tripsense.modelling import classifiers, evaluate, prepare, selection
 from tripsense.modelling.registry import ModelFollower, ModelRegistry, resolve_version
 from tripsense.plans import training
 from tripsense.sources.schemas import REGISTRY_SCHEMA
@@ -234,3 +234,59 @@ def test_optimality_is_a_zero_gap_at_the_minimum_only(spark):
         assert gaps["constant"] is None and max(gaps[n] for n in "abc") < 1e-4
         moved = Moved([c + (0.5 if n == 0 else 0) for n, c in enumerate(model.coefficients)], model.intercept)
         assert {r["feature"]: r["gap"] for r in selection.optimality(data, moved, names, l1=penalty).collect()}["a"] > 0.01
+
+
+def _gini(labels):
+    share = sum(labels) / len(labels)
+    return 2 * share * (1 - share)
+
+
+def test_split_gains_equal_every_split_tried(spark):
+    rng = random.Random(5)
+    rows = [(rng.gauss(0, 3), float(rng.randrange(4)), 1.0, int(rng.random() < 0.4)) for _ in range(300)]
+    rows = [(a, b, c, int(a + b > 2) if n % 3 else y) for n, (a, b, c, y) in enumerate(rows)]
+    rows += [(None, 2.0, 1.0, 1), (0.5, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    got = {row["feature"]: row for row in selection.split_gains(df, ["a", "b", "c"], bins=8).collect()}
+    assert set(got) == {"a", "b"}  # c does not vary
+    for at, name in enumerate("ab"):
+        known = [(row[at], row[3]) for row in rows if row[at] is not None and row[3] is not None]
+        low, high = min(x for x, _ in known), max(x for x, _ in known)
+        best = None
+        for edge in range(1, 8):
+            limit = low + edge * ((high - low) / 8)
+            below, above = [y for x, y in known if x < limit], [y for x, y in known if x >= limit]
+            if below and above:
+                parts = len(below) * _gini(below) + len(above) * _gini(above)
+                gain = _gini([y for _, y in known]) - parts / len(known)
+                if best is None or gain > best[0] + 1e-9:
+                    best = gain, len(below), sum(below)
+        assert got[name]["gain"] == pytest.approx(best[0], abs=1e-8)
+        assert (got[name]["rows_below"], got[name]["positives_below"]) == best[1:]
+
+
+def test_split_gains_without_rows(spark):
+    empty = spark.createDataFrame([], "a double, label int")
+    assert selection.split_gains(empty, ["a"]).collect() == []
+
+
+def test_importance_is_what_the_splits_gain(spark):
+    rng = random.Random(6)
+    rows = [(rng.random(), rng.random(), rng.random()) for _ in range(400)]
+    rows = [(a, b, c, int(a + 0.5 * b > 0.8) ^ int(rng.random() < 0.1)) for a, b, c in rows]
+    df = prepare.assemble_features(spark.createDataFrame(rows, "a double, b double, c double, label int"), ["a", "b", "c"])
+    forest = classifiers.random_forest(8, 4).setBootstrap(False).fit(df)
+    said = forest.featureImportances.toArray()
+    got = {r["feature"]: r["score"] for r in selection.recomputed_importance(df, forest, ["a", "b", "c"]).collect()}
+    assert [got[name] for name in "abc"] == pytest.approx(list(said), abs=1e-9)
+    other = df.withColumn("label", 1 - (F.col("a") > F.col("c")).cast("int"))
+    changed = {r["feature"]: r["score"] for r in selection.recomputed_importance(other, forest, ["a", "b", "c"]).collect()}
+    assert max(abs(changed[name] - got[name]) for name in "abc") > 0.01
+
+
+def test_counts_of_a_confusion_matrix(scored):
+    rows = scored.select("label", "prediction").collect()
+    got = evaluate.binary_counts(evaluate.confusion_matrix(scored)).first().asDict()
+    pairs = [(row["label"] == 1, row["prediction"] == 1) for row in rows]
+    assert got == {"tp": pairs.count((True, True)), "fp": pairs.count((False, True)),
+                   "fn": pairs.count((True, False)), "tn": pairs.count((False, False))}

@@ -269,6 +269,36 @@ def test_jdbc_options():
             jdbc.partition_options("bookingid", *bad)
 
 
+def _conditions_met(df, conditions):
+    flags = [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions]
+    return df.select("id", "at", *[flag.alias(f"r{n}") for n, flag in enumerate(flags)]).collect()
+
+
+def test_balanced_scan_cuts_a_hot_id(spark):
+    rows = [(7, n) for n in range(400)] + [(7, None)] * 3 + [(None, 5)] * 9 + [(n % 60 + 100, n % 7) for n in range(800)]
+    df = spark.createDataFrame(rows, "id long, at long")
+    conditions = jdbc.balanced_predicates(df, "id", "at", 10)
+    met = _conditions_met(df, conditions)
+    assert len(conditions) == 10
+    assert all(sum(row[2:]) == 1 for row in met)
+    sizes = [sum(row[f"r{n}"] for row in met) for n in range(10)]
+    assert sum(sizes) == len(rows) and max(sizes) <= len(rows) / 10 + 15  # at most one id more
+    assert sum(any(row["id"] == 7 and row[f"r{n}"] for row in met) for n in range(10)) >= 4
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)] * 4, [(1, 1)] * 5, [(None, 1), (None, 2), (3, None)]])
+def test_balanced_scan_of_odd_tables(spark, rows):
+    df = spark.createDataFrame(rows, "id long, at long")
+    conditions = jdbc.balanced_predicates(df, "id", "at", 4)
+    assert 1 <= len(conditions) <= 4
+    assert all(sum(row[2:]) == 1 for row in _conditions_met(df, conditions))
+
+
+def test_balanced_scan_checks_its_number(spark):
+    with pytest.raises(ValueError):
+        jdbc.balanced_predicates(spark.createDataFrame([], "id long, at long"), "id", "at", 0)
+
+
 def test_session_options_and_scratch(spark):
     options = session.object_store_options("store:9000", "user", "secret")
     assert options["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"

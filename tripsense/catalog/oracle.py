@@ -123,6 +123,36 @@ def _safety(source: str) -> str:
 _SPEED = _buckets("speed", "avg_speed", SPEED_BUCKETS)
 _SPEED_STD = _buckets("speed_std", "std_speed", SPEED_BUCKETS)
 _DURATION = _buckets("duration", "second", DURATION_BUCKETS)
+_SPLIT_GAINS = f"""
+SELECT feature, {r('threshold')}, CAST(nb AS BIGINT) AS rows_below, CAST(pb AS BIGINT) AS positives_below, {r('gain')}
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) AS place FROM (
+    SELECT *, ROUND((2e0 * p * (n - p) / n - 2e0 * pb * (nb - pb) / nb
+      - 2e0 * (p - pb) * (n - nb - p + pb) / (n - nb)) / n, 9) AS gain
+    FROM (
+      SELECT feature, low + bin * width AS threshold, SUM(c) OVER below AS nb, SUM(q) OVER below AS pb,
+        SUM(c) OVER (PARTITION BY feature) AS n, SUM(q) OVER (PARTITION BY feature) AS p
+      FROM (
+        SELECT feature, low, width, LEAST(FLOOR((x - low) / width), 31) AS bin, COUNT(*) AS c, COUNT(*) FILTER (WHERE label = 1) AS q
+        FROM (
+          SELECT *, MIN(x) OVER (PARTITION BY feature) AS low,
+            (MAX(x) OVER (PARTITION BY feature) - MIN(x) OVER (PARTITION BY feature)) / 32 AS width
+          FROM (UNPIVOT (SELECT label, {_ROUNDED} FROM trips) ON {', '.join(_NAMES)} INTO NAME feature VALUE x) u
+        ) m WHERE width > 0 GROUP BY feature, low, width, bin
+      ) b WINDOW below AS (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ) s WHERE nb > 0
+  ) g
+) best WHERE place = 1"""
+_BALANCED_SCAN = """
+SELECT CAST(DENSE_RANK() OVER (ORDER BY place) AS INTEGER) AS range, 1 AS met, CAST(n AS BIGINT) AS rows FROM (
+  SELECT place, SUM(n) AS n FROM (
+    SELECT n, CAST((SUM(n) OVER (ORDER BY bookingid, inner_) - n) * 16 AS BIGINT) // SUM(n) OVER () AS place FROM (
+      SELECT bookingid, CASE WHEN hot THEN second END AS inner_, COUNT(*) AS n FROM (
+        SELECT bookingid, second, COUNT(*) OVER (PARTITION BY bookingid) * 16 > COUNT(*) OVER () AS hot FROM fx_raw
+      ) s GROUP BY bookingid, inner_
+    ) c
+  ) p GROUP BY place
+) ranges"""
 _PANEL = "SELECT position, bucket, trips FROM ({}) p"
 
 _RAW_ROUNDED = ", ".join(r(name) for name in RAW_CHANNELS)
@@ -409,13 +439,22 @@ def all_oracles() -> dict[str, str]:
             f"SELECT bookingid, window_idx, is_tail, time, speed, TRUE AS valid FROM ({_messages('')}) m", "windowed"
         ),
         "compare_models": with_views(
-            "SELECT model, COUNT(*) AS rows, model <> 'SVM' AS has_auc, TRUE AS valid FROM (VALUES ('Random Forest'),"
+            "SELECT model, COUNT(*) AS rows, COUNT(*) FILTER (WHERE label = 1) AS positives,"
+            " COUNT(*) FILTER (WHERE label <> 1) AS negatives, model <> 'SVM' AS has_auc, TRUE AS valid FROM (VALUES ('Random Forest'),"
             f" ('Logistic Regression'), ('SVM'), ('Neural Network')) m(model), trips WHERE NOT ({_IN_EXPERIMENT}) GROUP BY model",
             "trips",
         ),
+        "predict_gap_rule": with_views(
+            "SELECT model, bookingid, CAST(std_speed > 8 AS INTEGER) AS prediction FROM (VALUES ('forest'), ('logistic'),"
+            f" ('svm'), ('mlp')) m(model), trips WHERE NOT ({_IN_EXPERIMENT})"
+            f" UNION ALL SELECT 'served', bookingid, CAST(std_speed > 8 AS INTEGER) FROM trips WHERE NOT ({_IN_TRAIN})",
+            "trips",
+        ),
+        "split_gains": with_views(_SPLIT_GAINS, "trips"),
+        "balanced_scan": with_views(_BALANCED_SCAN, "fx_raw"),
         **{
             name: f"SELECT feature, TRUE AS {flag} FROM (SELECT UNNEST([{', '.join(repr(n) for n in _NAMES)}]) AS feature) f"
-            for name, flag in (("feature_importance", "valid"), ("lasso_selection", "optimal"), ("feature_consensus", "as_voted"))
+            for name, flag in (("feature_importance", "valid"), ("forest_audit", "agrees"), ("lasso_selection", "optimal"), ("feature_consensus", "as_voted"))
         },
         "feature_consensus_fixed": with_views(
             "SELECT feature, score > 0.01 AS forest, score > 0.02 AS lasso, score > 0.03 AS pearson,"

@@ -25,6 +25,7 @@ from tripsense.plans.consolidate import consolidate, labelled_trips
 from tripsense.plans.ingest import ingest_batch
 from tripsense.session import scratch_dir
 from tripsense.sources import schemas
+from tripsense.sources.jdbc import balanced_predicates
 from tripsense.sources.files import read_labels_csv, read_samples_csv
 from tripsense.sources.messages import encode_messages, parse_messages
 from tripsense.sources.quarantine import routed
@@ -46,6 +47,9 @@ SWAP_LIMITS = (4.0, 5.0)
 IDLE_SECONDS = 5
 # A fitted coefficient may be so far from the exact minimum.
 LEAST_GAP = 1e-3
+# Added to the features of trips on one side of a limit, far more than any of them varies.
+RULE_GAP = 1e6
+SCAN_RANGES = 16
 
 DUP_ARRIVAL = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 
@@ -607,7 +611,61 @@ def compare_models(spark: SparkSession, sf: str) -> DataFrame:
     in_range = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1) & F.coalesce(F.col("auc").between(0, 1), F.lit(True))
     # A share of so many rows is a whole number of them.
     whole = F.abs(F.col("accuracy") * F.col("rows") - F.round(F.col("accuracy") * F.col("rows"))) < 1e-6
-    return table.select("model", "rows", F.col("auc").isNotNull().alias("has_auc"), (in_range & whole).alias("valid"))
+    # What accuracy and F1 must be by the confusion counts.
+    right = F.abs(F.col("accuracy") * F.col("rows") - F.col("tp") - F.col("tn")) < 1e-6
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
+    mean = sum(size * F.coalesce(F.try_divide(2 * hits, 2 * hits + F.col("fp") + F.col("fn")), F.lit(0.0))
+               for size, hits in ((positives, F.col("tp")), (negatives, F.col("tn"))))
+    weighted = F.abs(F.col("f1") * F.col("rows") - mean) < 1e-6
+    return table.select(
+        "model", "rows", positives.alias("positives"), negatives.alias("negatives"), F.col("auc").isNotNull().alias("has_auc"),
+        (in_range & whole & right & weighted).alias("valid"),
+    )
+
+
+def predict_gap_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """What five fitted models say of every trip they were not fitted on, where a gap parts the labels in every feature.
+
+    ``served`` is the production pipeline as the registry gives it back.
+    """
+    dangerous = F.col("std_speed") > STD_SPEED_LIMIT
+    gap = F.when(dangerous, RULE_GAP).otherwise(0.0)
+    stored = _stored_trips(spark, sf).withColumns(
+        {"label": dangerous.cast("int"), **{name: F.col(name) + gap for name in prepare.MODEL_FEATURES}}
+    )
+    train, test = prepare.train_test_split(prepare.scale_features(stored), prepare.EXPERIMENT_TRAIN_FRACTION)
+    models = {
+        "forest": classifiers.random_forest(), "logistic": classifiers.logistic(), "svm": classifiers.linear_svm(),
+        "mlp": classifiers.perceptron(len(prepare.MODEL_FEATURES), 2),
+    }
+    scored = {name: estimator.fit(train).transform(test) for name, estimator in models.items()}
+    registry = ModelRegistry(spark, scratch_dir(spark, "registry"))
+    training.train_job(stored, registry, "trips", alias="champion")
+    scored["served"] = registry.load("trips")(prepare.train_test_split(stored, prepare.TRAIN_FRACTION)[1])
+    return union_all([
+        rows.select(F.lit(name).alias("model"), "bookingid", F.col("prediction").cast("int").alias("prediction"))
+        for name, rows in scored.items()
+    ])
+
+
+def split_gains(spark: SparkSession, sf: str) -> DataFrame:
+    """The best single split of every feature."""
+    return round_doubles(selection.split_gains(round_doubles(_trips(spark, sf)), FEATURE_COLUMNS))
+
+
+def forest_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature, and whether its importance is what the forest's splits gain on the trips."""
+    audited = training.audited_forest(_stored_trips(spark, sf), FEATURE_COLUMNS)
+    return audited.select("feature", (F.abs(F.col("score") - F.col("recomputed")) < 1e-6).alias("agrees"))
+
+
+def balanced_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each condition of a divided table scan reads; ``met`` is how many conditions a row meets."""
+    samples = fx.fx_raw(spark, sf).select("bookingid", F.col("second").cast("long").alias("second"))
+    conditions = [F.coalesce(F.expr(p), F.lit(False)) for p in balanced_predicates(samples, "bookingid", "second", SCAN_RANGES)]
+    at = F.array_position(F.array(*conditions), True).cast("int")
+    met = sum((c.cast("int") for c in conditions), F.lit(0))
+    return samples.groupBy(at.alias("range"), met.alias("met")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -757,6 +815,10 @@ def all_queries() -> dict[str, Query]:
         "train_job": train_job,
         "score_trips": score_trips,
         "compare_models": compare_models,
+        "predict_gap_rule": predict_gap_rule,
+        "split_gains": split_gains,
+        "forest_audit": forest_audit,
+        "balanced_scan": balanced_scan,
         "feature_importance": feature_importance,
         "lasso_selection": lasso_selection,
         "feature_consensus": feature_consensus,

@@ -23,6 +23,13 @@ def accuracy(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return confusion.groupBy(*by).agg((right / F.sum("n")).alias("accuracy"))
 
 
+def binary_counts(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``tp, fp, fn, tn`` of class 1 against every other."""
+    real, said = F.col("label") == 1, F.col("prediction") == 1
+    cells = {"tp": real & said, "fp": ~real & said, "fn": real & ~said, "tn": ~real & ~said}
+    return confusion.groupBy(*by).agg(*[F.sum(F.when(cell, F.col("n")).otherwise(0)).alias(name) for name, cell in cells.items()])
+
+
 def weighted_f1(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """F1 per class, weighted by how often the class occurs.
 

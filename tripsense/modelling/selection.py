@@ -6,15 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripsense.operators.ordering import union_all
+from tripsense.session import scratch_dir
+
 # Least score to keep a feature.
 IMPORTANCE_THRESHOLD = 0.01
 CORRELATION_THRESHOLD = 0.01
 COEFFICIENT_THRESHOLD = 1e-4
 MIN_VOTES = 2
 
+SPLIT_BINS = 32
+
 _SCORES = "feature string, score double"
 
 
@@ -27,6 +32,106 @@ def feature_importance(spark: SparkSession, forest: Model, features: Sequence[st
     return _frame(spark, features, forest.featureImportances.toArray())
 
 
+def _unevenness(rows: Column, positives: Column) -> Column:
+    """Gini impurity times the number of rows."""
+    return 2 * positives * F.try_divide(rows - positives, rows)
+
+
+def split_gains(df: DataFrame, features: Sequence[str], label: str = "label", *, bins: int = SPLIT_BINS) -> DataFrame:
+    """``feature, threshold, rows_below, positives_below, gain``: the best single split of each feature by Gini impurity.
+
+    Candidates are the inner edges of ``bins`` equal ranges between the least and the greatest value; a value on an edge is
+    above it. All features are counted together in one aggregate of at most features x bins rows a task; of equal gains the
+    lowest edge counts. A feature that does not vary has no split and no row, null values and labels take no part.
+    """
+    limits = df.filter(F.col(label).isNotNull()).agg(
+        *[f(name).cast("double").alias(f"{f.__name__}_{name}") for name in features for f in (F.min, F.max)]
+    ).first()
+    varying = [(name, limits[f"min_{name}"], limits[f"max_{name}"]) for name in features]
+    varying = [(name, low, high) for name, low, high in varying if low is not None and low < high]
+    if not varying:
+        return df.sparkSession.createDataFrame(
+            [], "feature string, threshold double, rows_below long, positives_below long, gain double"
+        )
+    cells = [
+        F.struct(
+            F.lit(name).alias("feature"), F.lit(low).alias("low"), F.lit((high - low) / bins).alias("width"),
+            # ``least`` would pass over a null.
+            F.when(F.col(name).isNotNull(), F.least(F.floor((F.col(name) - low) / ((high - low) / bins)), F.lit(bins - 1)))
+            .cast("int").alias("bin"),
+        )
+        for name, low, high in varying
+    ]
+    counted = (
+        df.filter(F.col(label).isNotNull())
+        .select(F.col(label).cast("int").alias("_label"), F.inline(F.array(*cells)))
+        .filter("bin >= 0")
+        .groupBy("feature", "low", "width", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_label") == 1).alias("p"))
+    )
+    whole = Window.partitionBy("feature")
+    below = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    summed = counted.select(
+        "feature", (F.col("low") + F.col("bin") * F.col("width")).alias("threshold"),
+        F.sum("n").over(below).alias("rows_below"), F.sum("p").over(below).alias("positives_below"),
+        F.sum("n").over(whole).alias("n"), F.sum("p").over(whole).alias("p"),
+    ).filter("rows_below > 0")
+    left = _unevenness(F.col("rows_below"), F.col("positives_below"))
+    right = _unevenness(F.col("n") - F.col("rows_below"), F.col("p") - F.col("positives_below"))
+    gain = F.round((_unevenness(F.col("n"), F.col("p")) - left - right) / F.col("n"), 9)
+    best = summed.withColumn("gain", gain).groupBy("feature").agg(
+        F.max_by(F.struct("threshold", "rows_below", "positives_below", "gain"), F.struct("gain", -F.col("threshold"))).alias("best")
+    )
+    return best.select("feature", "best.*")
+
+
+def recomputed_importance(assembled: DataFrame, forest: Model, features: Sequence[str], label: str = "label") -> DataFrame:
+    """``feature, score``: what the splits of a fitted forest gain on ``assembled``, counted anew from its rows.
+
+    Equals the forest's own importances on the rows it was fitted on if every tree saw all of them once (``bootstrap=False``);
+    on others it says what the splits are worth there. Each row is counted at its leaf of every tree, in one aggregate of as many
+    rows as the forest has leaves and classes; counts of inner nodes are sums of those, level by level.
+    """
+    spark = assembled.sparkSession
+    path = scratch_dir(spark, "forest")
+    forest.write().overwrite().save(path)
+    stored = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    nodes = stored.select(
+        "treeID", F.col("id").cast("int").alias("id"), F.col("leftChild").cast("int").alias("left"),
+        F.col("rightChild").cast("int").alias("right"), F.col("split.featureIndex").alias("of"),
+    )
+    # Nodes are numbered from left to right, and so are leaves.
+    order = Window.partitionBy("treeID").orderBy("id")
+    leaves = nodes.filter("left < 0").select("treeID", "id", (F.row_number().over(order) - 1).alias("leaf"))
+    inner = nodes.filter("left >= 0")
+    parents = union_all([inner.select("treeID", F.col(side).alias("id"), F.col("id").alias("parent")) for side in ("left", "right")])
+    reached = (
+        forest.copy().setLeafCol("_leaves").transform(assembled.select("features", F.col(label).cast("int").alias("_class")))
+        .select("_class", F.posexplode(vector_to_array("_leaves")).alias("treeID", "leaf"))
+        .groupBy("treeID", F.col("leaf").cast("int").alias("leaf"), "_class")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    level = reached.join(leaves, ["treeID", "leaf"]).select("treeID", "id", "_class", "n")
+    counted = [level]
+    for _ in range(max((tree.depth for tree in forest.trees), default=0)):
+        level = level.join(parents, ["treeID", "id"]).groupBy("treeID", F.col("parent").alias("id"), "_class").agg(F.sum("n").alias("n"))
+        counted.append(level)
+    by_class = union_all(counted).groupBy("treeID", "id", "_class").agg(F.sum("n").alias("n"))
+    uneven = by_class.groupBy("treeID", "id").agg(
+        (F.sum("n") - F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("uneven")
+    )
+    gains = union_all([
+        inner.select("treeID", "of", F.col(at).alias("id"), F.lit(sign).alias("sign"))
+        for at, sign in (("id", 1), ("left", -1), ("right", -1))
+    ]).join(uneven, ["treeID", "id"]).groupBy("treeID", "of").agg(F.sum(F.col("sign") * F.col("uneven")).alias("gain"))
+    share = F.try_divide(F.col("gain"), F.sum("gain").over(Window.partitionBy("treeID")))
+    sums = gains.select("of", share.alias("share")).groupBy("of").agg(F.sum("share").alias("share"))
+    total = F.sum("share").over(Window.partitionBy())  # a row per feature
+    named = spark.createDataFrame(list(enumerate(features)), "of int, feature string")
+    scored = sums.select("of", F.try_divide("share", total).alias("score"))
+    return named.join(scored, "of", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def lasso_coefficients(spark: SparkSession, model: Model, features: Sequence[str]) -> DataFrame:
     return _frame(spark, features, model.coefficients.toArray())
 

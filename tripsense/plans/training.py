@@ -65,7 +65,7 @@ def train_job(
 
 
 def compare_models(trips: DataFrame, feature_columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """``model, accuracy, f1, auc, rows`` of four classifiers on the same held-out trips.
+    """``model, accuracy, f1, auc, rows, tp, fp, fn, tn`` of four classifiers on the same held-out trips.
 
     The scored rows of all models form one table, cut off from the models once, so each metric is one aggregation by
     model and no model scores a trip twice. The SVM gives no AUC: its raw margin is not reported as one.
@@ -91,6 +91,7 @@ def compare_models(trips: DataFrame, feature_columns: Sequence[str] = MODEL_FEAT
         .join(evaluate.weighted_f1(confusion, ["model"]), "model")
         .join(auc, "model", "left")
         .join(sizes, "model")
+        .join(evaluate.binary_counts(confusion, ["model"]), "model")
     )
 
 
@@ -104,6 +105,15 @@ def lasso_selection(trips: DataFrame, features: Sequence[str]) -> DataFrame:
     return selection.lasso_coefficients(trips.sparkSession, model, features)
 
 
+def audited_forest(trips: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``feature, score, recomputed``: importances of a forest whose trees see every trip, and the same from the trips."""
+    assembled = assemble_features(trips, features).filter("label IS NOT NULL")
+    model = classifiers.random_forest(classifiers.EXPERIMENT_TREES, 5).setBootstrap(False).fit(assembled)
+    said = selection.feature_importance(trips.sparkSession, model, features)
+    counted = selection.recomputed_importance(assembled, model, features).withColumnRenamed("score", "recomputed")
+    return said.join(counted, "feature")
+
+
 def certified_lasso(trips: DataFrame, features: Sequence[str]) -> DataFrame:
     """The selection's coefficients, each with how far it is from the minimum of the penalised loss."""
     assembled = assemble_features(trips, features)

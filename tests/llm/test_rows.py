@@ -56,6 +56,26 @@ def test_folding_equals_a_replay(spark):
     assert sorted((m["conv_id"], m["turn"], m["role"], m["text"]) for m in got) == plain_messages(events)
 
 
+def test_streamed_rows_come_back(spark):
+    rng = random.Random(8)
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [(conv, turn, rng.choice(["user", "assistant", None]), rng.choice([None, "", "é", "ab", "long text " * 40]) )
+            for conv in (None, 1, 2, 3) for turn in (None, low, low + 1, -3, 0, 1, 1, 1, 2, 3, 7, high - 1, high)]
+    rows += [(4, turn, "assistant", f"answer {turn}") for turn in range(300)] * 2
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    log = chat.streamed_events(frame)
+    kinds = {row["kind"]: row["count"] for row in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and kinds["delta"] == len(rows)
+    assert log.filter("seq < turn").count() > 50  # answers that a regeneration takes back
+
+    def shown(rows_):
+        return sorted(((c, t, r or "", x or "") for c, t, r, x in rows_), key=repr)
+
+    said = chat.messages(log, within=chat.WITHIN).select("conv_id", "turn", "role", "text").collect()
+    assert shown(said) == shown(rows)
+    assert chat.messages(chat.streamed_events(frame.limit(0)), within=chat.WITHIN).collect() == []
+
+
 def test_escaping_round_trip():
     rng = random.Random(2)
     bits = [*chat.CONTROL, "\\", "<", "[", "/", "|im_start|>", "s>", "INST]", "a", " ", "\n", ">>", "<\\s>", "[\\\\INST]", "|>", "é"]

@@ -66,7 +66,7 @@ def op7_event_fold(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(escaped)
-    return chat.digests(chat.formatted(chat.messages(chat.message_events(rows))))
+    return chat.digests(chat.formatted(chat.messages(chat.streamed_events(rows), within=chat.WITHIN)))
 
 
 def op8_boosted_extraction(spark: SparkSession, sf: str) -> DataFrame:

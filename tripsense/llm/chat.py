@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripsense.llm.common import batch
@@ -27,6 +27,8 @@ CONTROL = (
 )
 TRAINED_ROLE = "assistant"
 ROWS_AT_ONCE = 512
+# What tells the events of equal rows apart in a log of ``streamed_events``.
+WITHIN = ("message", "copy", "part")
 
 _TAILS = "|".join(re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True))
 _PLAIN = re.compile(rf"([<\[])(\\*)({_TAILS})")
@@ -114,18 +116,21 @@ def _fold(events: Iterator[tuple]) -> Iterator[tuple]:
     yield from close()
 
 
-def messages(events: DataFrame) -> DataFrame:
+def messages(events: DataFrame, *, within: Sequence[str] = ()) -> DataFrame:
     """``(conv_id, turn, seq, role, text)``: the final messages, sorted within the partitions of the conversations.
 
     ``events`` has the columns of ``_EVENT``; others are not read. A null conversation id is one conversation, a null turn comes
-    first, a null kind is ``message``, null texts and roles are empty. Events of one sequence number are taken by role and
-    text. A delta, edit or regeneration without an open message opens one. A second ``message`` in a turn is a message of its
+    first, a null kind is ``message``, null texts and roles are empty. Events of one sequence number are taken by role, the
+    columns ``within`` and text. A delta, edit or regeneration without an open message opens one. A second ``message`` in a turn is a message of its
     own. An event of a turn that was said before an earlier turn was regenerated is dropped.
     """
+    columns = [f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in _EVENT.split(", ")]
+    order = [f"_within{n}" for n in range(len(within))]
     sorted_ = (
-        events.selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in _EVENT.split(", ")])
+        events.selectExpr(*columns, *[f"`{c}` as {name}" for c, name in zip(within, order)])
         .repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "seq", "role", "text")
+        .sortWithinPartitions("conv_id", "turn", "seq", "role", *order, "text")
+        .drop(*order)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,3 +208,34 @@ def message_events(rows: DataFrame, *, conversation: str = "conv_id", turn: str
         F.col(turn).cast("long").alias("seq"), F.lit("message").alias("kind"), F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
+
+
+def streamed_events(rows: DataFrame, *, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """Finished rows as the log of a chat that streamed them: folded, it gives the rows back.
+
+    A text comes in two pieces. One third of the rows (by a hash of role and text) has it so at once, as a message and a delta;
+    for another third a draft is said first and then replaced by an edit, for the last by a regeneration, which also takes back
+    an answer that stood in the next turn. Two to four events a row, whose pieces together are no longer than the text; rows of one
+    turn keep apart by the columns of ``WITHIN``. A null turn is never regenerated, as its events have no sequence number.
+    """
+    plain = rows.select(
+        F.col(conversation).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
+        F.col(role).cast("string").alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+    ).withColumns({"message": F.xxhash64("role", "text"), "copy": F.monotonically_increasing_id()})
+    half = F.floor(F.length("text") / 2).cast("int")
+    first, second = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text"))
+
+    def event(part: int, kind: str, said: Column, at: Column = F.col("turn"), seq: Column = F.col("turn")) -> Column:
+        return F.struct(
+            at.alias("turn"), seq.alias("seq"), F.lit(kind).alias("kind"), said.alias("text"), F.lit(part).alias("part")
+        )
+
+    draft, way = F.lit("unsaid"), F.pmod("message", F.lit(3))
+    edges = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    inside = (F.col("turn") > edges[0]) & (F.col("turn") < edges[1])
+    taken_back = event(0, "message", draft, F.try_add("turn", F.lit(1)), F.try_subtract("turn", F.lit(1)))
+    at_once = F.array(event(0, "message", first), event(2, "delta", second))
+    edited = F.array(event(0, "message", draft), event(1, "edit", first), event(2, "delta", second))
+    again = F.array(event(0, "message", draft), event(1, "regenerate", first), event(2, "delta", second), taken_back)
+    log = F.when(way == 0, at_once).when((way == 1) | ~F.coalesce(inside, F.lit(False)), edited).otherwise(again)
+    return plain.select("conv_id", "role", "message", "copy", F.inline(log))

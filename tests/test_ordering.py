@@ -80,8 +80,7 @@ def test_a_hot_key_with_tied_leading_values_spreads_over_tasks(spark):
     df = spark.range(20_000).select(F.lit(1).alias("key"), (F.col("id") % 3).alias("x"), "id")
     ranked = with_prefix(df, ["key"], ["x", "id"], out="rank", group_rows=500)
     assert ranked.filter("rank <> (id div 3) + CASE x WHEN 0 THEN 0 WHEN 1 THEN 6667 ELSE 13334 END").count() == 0
-    large = spark.createDataFrame([(1,)], "key int")
-    cuts = ordering._cuts(df, large, ["key"], ["x", "id"], 500)
+    cuts = ordering._cuts(df, ["key"], ["x", "id"], 500)
     place = ordering._place(F.col("_cuts"), ordering._tuple(df, ["x", "id"]))
     sizes = df.join(cuts, "key").groupBy(place.alias("piece")).count().collect()
     assert 30 <= len(sizes) <= 50 and max(r["count"] for r in sizes) < 1500
@@ -94,6 +93,29 @@ def test_rows_tied_in_their_whole_order_are_cut(spark):
     assert "_piece" in ranked._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_hot_row_is_counted_before_the_sample_comes_together(spark):
+    """Equal rows are in the sample all or not at all; their list of cuts has each tuple once."""
+    rows = spark.range(40_000).select(
+        F.lit(1).alias("key"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500).cast("long").alias("x"),
+    )
+    cuts = ordering._cuts(rows, ["key"], ["x"], 16).first()["_cuts"]
+    assert len(cuts) == len(set(cuts)) <= 500 and any(cut["x"] == 7 for cut in cuts)
+    assert cuts == sorted(cuts)
+    ranks = with_prefix(rows, ["key"], ["x"], out="rank", group_rows=1000).groupBy("x").agg(F.min("rank"), F.max("rank"), F.count("*"))
+    expected, before = {}, 0
+    for x in sorted({7, *range(1, 500, 2)}):
+        size = 80 + 20_000 * (x == 7)
+        expected[x] = (before, before + size - 1, size)
+        before += size
+    assert {row[0]: tuple(row[1:]) for row in ranks.collect()} == expected
+
+
+def test_groups_below_the_limit_are_left_whole_beside_a_large_one(spark):
+    df = spark.range(6000).select(F.when(F.col("id") < 5000, 0).otherwise(F.col("id") % 100).alias("key"), F.col("id").alias("x"))
+    cut = {row["key"] for row in ordering._cuts(df, ["key"], ["x"], 800).collect()}
+    assert cut == {0}
+
+
 def test_places_equal_a_linear_count(spark):
     rows = [(list(range(0, 2 * n, 2)), x) for n in range(12) for x in range(-1, 2 * n + 2)]
     df = spark.createDataFrame(rows, "cuts array<int>, x int").withColumn("place", ordering._place(F.col("cuts"), F.col("x")))

@@ -105,6 +105,30 @@ def test_no_id_is_missed_by_the_index(spark, folder):
     assert table.read().count() == 6000 and table.read().filter("speed = 9").count() == 0
 
 
+def test_index_says_what_its_files_hold(spark, folder):
+    path = folder("raw")
+    tables.append_raw(samples(spark, [sample(i % 40, float(i)) for i in range(400)]), path)
+    table = tables.raw_table(spark, path)
+    index = {row["file"]: row for row in table.index().collect()}
+    for name, row in index.items():
+        ids = [r["bookingid"] for r in spark.read.parquet(f"{path}/{name}").select("bookingid").collect()]
+        assert (row["low"], row["high"], row["rows"], row["ids"]) == (min(ids), max(ids), len(ids), len(set(ids)))
+        assert len(row["bloom"]) == -(-len(set(ids)) * 16 // 64)
+    assert sum(row["rows"] for row in index.values()) == 400
+
+
+def test_a_table_is_read_by_folders_and_a_staged_part_stays_unseen(spark, folder):
+    path = folder("raw")
+    for n in range(3):
+        tables.append_raw(samples(spark, [sample(i, float(n)) for i in range(50)]), path)
+    table = tables.raw_table(spark, path)
+    before = as_set(table.read())
+    folders = table.index().select(F.regexp_extract("file", "^(.*)/", 1)).distinct().count()
+    table._stage(samples(spark, [sample(i, 9.0) for i in range(50)]))
+    assert as_set(table.read()) == before and len(before) == 150
+    assert len({os.path.dirname(f) for f in table.read().inputFiles()}) == folders
+
+
 def test_cut_off_insert_leaves_no_trace(spark, folder, monkeypatch):
     from tripsense.sources.keyed import KeyedTable
 

@@ -49,7 +49,7 @@ def with_prefix(
     if (most or 0) <= limit:
         return df.withColumn(out, _inside(Window.partitionBy(*keys).orderBy(*order), value)).select(*columns, out)
 
-    cuts = F.broadcast(_cuts(df, counts.filter(F.col("_rows") > limit), keys, order, limit))
+    cuts = F.broadcast(_cuts(df, keys, order, limit))
     place = _place(F.col("_cuts"), _tuple(df, order))
     placed = join_null_safe(df, cuts, keys, "left").withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(place))
     numbered = placed.drop("_cuts").withColumn(out, _inside(Window.partitionBy(*keys, "_piece").orderBy(*order), value))
@@ -77,28 +77,38 @@ def _tuple(df: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*order, F.xxhash64(*df.columns).alias("_tie"))
 
 
-def _cuts(df: DataFrame, large: DataFrame, keys: list[str], order: Sequence[str], limit: int) -> DataFrame:
-    """``_cuts`` of every large group: quantiles of a sample that the rows' hashes choose."""
+def _cuts(df: DataFrame, keys: list[str], order: Sequence[str], limit: int) -> DataFrame:
+    """``_cuts`` of the groups that have some: quantiles of a sample that the rows' hashes choose.
+
+    A group of up to ``limit`` rows has too small a share of the sample for a cut, or for more than one.
+    Equal rows are chosen together, so they are counted before a group's sample comes together: what is gathered are
+    distinct tuples, and a tuple is a cut where the running count passes the next multiple of ``SAMPLES_PER_PIECE``.
+    """
     every = F.greatest(F.floor(F.lit(limit) / SAMPLES_PER_PIECE), F.lit(1))
-    sampled = join_null_safe(df, F.broadcast(large.select(*keys)), keys, "left_semi").filter(F.pmod(F.xxhash64(*df.columns), every) == 0)
-    samples = sampled.groupBy(*keys).agg(F.sort_array(F.collect_list(_tuple(df, order))).alias("_samples"))
-    return samples.select(*keys, F.filter("_samples", lambda _, at: at % SAMPLES_PER_PIECE == SAMPLES_PER_PIECE - 1).alias("_cuts"))
+    sampled = df.filter(F.pmod(F.xxhash64(*df.columns), every) == 0)
+    samples = sampled.groupBy(*keys, _tuple(df, order).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    reached = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    passed = F.floor(F.col("_reached") / SAMPLES_PER_PIECE) > F.floor((F.col("_reached") - F.col("_n")) / SAMPLES_PER_PIECE)
+    cuts = samples.withColumn("_reached", reached).withColumn("_cut", F.when(passed, F.col("_at")))
+    return cuts.filter("_cut IS NOT NULL").groupBy(*keys).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
 
 
 def _place(cuts: Column, at: Column) -> Column:
     """How many of the sorted ``cuts`` are not above ``at``, by halving."""
 
     def halve(range_: Column, _: Column) -> Column:
-        low, high = range_["low"], range_["high"]
+        low, high, sought = range_["low"], range_["high"], range_["sought"]
         middle = F.floor((low + high) / 2).cast("int")
         return (
-            F.when(low >= high, F.struct(low.alias("low"), high.alias("high")))
-            .when(F.get(cuts, middle) <= at, F.struct((middle + 1).alias("low"), high.alias("high")))
-            .otherwise(F.struct(low.alias("low"), middle.alias("high")))
+            F.when(low >= high, range_)
+            .when(F.get(cuts, middle) <= sought, F.struct((middle + 1).alias("low"), high.alias("high"), sought.alias("sought")))
+            .otherwise(F.struct(low.alias("low"), middle.alias("high"), sought.alias("sought")))
         )
 
     halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(cuts))))
-    return F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high")), halve)["low"]
+    # The tuple is carried along: as part of the step it would be put together anew for every halving.
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"), at.alias("sought"))
+    return F.aggregate(halvings, start, halve)["low"]
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,24 +103,28 @@ class KeyedTable:
         return self.spark.read.schema(_INDEX).parquet(*[self._at("index", part) for part in state.parts])
 
     def _index_of(self, part: str) -> DataFrame:
-        """The index rows of a part's files, from the ids alone."""
+        """The index rows of a part's files, from the ids alone: two exchanges, by id and by file."""
         id = self.key[0]
         name = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[^/]+/[^/]+/[^/]+)$", 1)
         ids = (
             self.spark.read.parquet(self._at("data", part)).select(name.alias("file"), BUCKET, F.col(id).alias("id"))
             .groupBy("file", BUCKET, "id").agg(F.count(F.lit(1)).alias("rows"))
         )
-        files = ids.groupBy("file", BUCKET).agg(
-            F.min("id").alias("low"), F.max("id").alias("high"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("ids"),
-            F.ceil(F.count(F.lit(1)) * BITS_PER_ID / 64).cast("int").alias("words"),
-        )
+        in_file = F.count(F.lit(1)).over(Window.partitionBy("file"))
         words = (
-            ids.select("file", "id").join(files.select("file", "words"), "file")
-            .groupBy("file", _word("id", F.col("words")).alias("word")).agg(F.bit_or(_mask("id")).alias("bits"))
-            .groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("set"))
+            ids.withColumn("words", F.ceil(in_file * BITS_PER_ID / 64).cast("int"))
+            .groupBy("file", BUCKET, "words", _word("id", F.col("words")).alias("word"))
+            .agg(
+                F.min("id").alias("low"), F.max("id").alias("high"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("ids"),
+                F.bit_or(_mask("id")).alias("bits"),
+            )
+        )
+        files = words.groupBy("file", BUCKET, "words").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"), F.sum("ids").alias("ids"),
+            F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("set"),
         )
         bloom = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda n: F.coalesce(F.col("set")[n], F.lit(0).cast("long")))
-        return files.join(words, "file").select("file", BUCKET, "low", "high", "rows", "ids", bloom.alias("bloom"))
+        return files.select("file", BUCKET, "low", "high", "rows", "ids", bloom.alias("bloom"))
 
     def candidates(self, ids: DataFrame, state: State | None = None) -> DataFrame:
         """Index rows of the files that may hold one of ``ids``, a column named as the table's id."""
@@ -142,8 +146,13 @@ class KeyedTable:
         return self.spark.read.schema(optional(self.schema)).parquet(*[self._at(name) for name in files])
 
     def read(self, state: State | None = None) -> DataFrame:
-        """All rows in force; the table is empty when nothing has been committed."""
-        return self._rows_of([row["file"] for row in self.index(state).select("file").collect()])
+        """All rows in force; the table is empty when nothing has been committed.
+
+        Of a bucket of a part all files are in force or none, as compaction takes buckets whole, so directories are read, whose
+        number does not grow with the files in them.
+        """
+        folder = F.regexp_extract("file", r"^(.*)/[^/]+$", 1).alias("folder")
+        return self._rows_of([row["folder"] for row in self.index(state).select(folder).distinct().collect()])
 
     def read_ids(self, ids: DataFrame) -> DataFrame:
         """All rows of ``ids``, from the files that may hold them."""
@@ -163,7 +172,7 @@ class KeyedTable:
         if not any(name.startswith(BUCKET) for name in names_in(self.spark, self._at("data", part))):
             self._delete("data", part)
             return None
-        self._index_of(part).coalesce(1).write.parquet(self._at("index", part))
+        self._index_of(part).write.parquet(self._at("index", part))
         return part
 
     def _drop(self, part: str) -> None:

@@ -117,6 +117,24 @@ def test_index_says_what_its_files_hold(spark, folder):
     assert sum(row["rows"] for row in index.values()) == 400
 
 
+def test_index_filter_is_laid_out_without_a_lookup_per_word(spark, folder):
+    from tripsense.sources import keyed
+
+    path = folder("raw")
+    tables.append_raw(samples(spark, [sample(i * 7, float(i)) for i in range(300)]), path)
+    table = tables.raw_table(spark, path)
+    part = table.state().parts[0]
+    plan = table._index_of(part)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "map_from_entries" not in plan
+    for row in table.index().collect():
+        ids = spark.read.parquet(f"{path}/{row['file']}").select(F.col("bookingid").alias("id")).distinct()
+        words = F.lit(len(row["bloom"]))
+        expected = [0] * len(row["bloom"])
+        for hit in ids.select(keyed._word("id", words).alias("w"), keyed._mask("id").alias("m")).collect():
+            expected[hit["w"]] |= hit["m"]
+        assert list(row["bloom"]) == expected
+
+
 def test_a_table_is_read_by_folders_and_a_staged_part_stays_unseen(spark, folder):
     path = folder("raw")
     for n in range(3):

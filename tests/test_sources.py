@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +185,111 @@ def test_overtaken_writer_checks_its_keys_again(spark, folder, monkeypatch):
     assert table.state().version == 1 and not table._commit(table.state().__class__(0, ()), [])
 
 
+def shuffle_bytes(spark):
+    """What shuffles hold on the disk of a local session."""
+    names = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    )
+    return sum(os.path.getsize(f.getPath()) for f in names if f.getName().startswith("shuffle_") and os.path.exists(f.getPath()))
+
+
+def test_insert_leaves_no_exchange_and_no_copy_of_the_batch_on_disk(spark, folder):
+    columns = [f"rand({n}) AS {c}" for n, c in enumerate(schemas.RAW_CHANNELS) if c != "second"]
+    spark.range(60_000).selectExpr("id % 3000 AS bookingid", "CAST(id AS DOUBLE) AS second", *columns).write.parquet(folder("batch"))
+    batch, path = spark.read.parquet(folder("batch")), folder("raw")
+    before, setting = shuffle_bytes(spark), spark.conf.get(session.FREE_SHUFFLES, None)
+    for _ in range(2):
+        assert tables.insert_raw(batch, path, []) == 60_000
+    for _ in range(50):  # files go in the background
+        if shuffle_bytes(spark) < before + 200_000:
+            break
+        time.sleep(0.1)
+    assert shuffle_bytes(spark) < before + 200_000  # a row takes nearly 80 bytes
+    assert os.listdir(f"{path}/batches") == [] and spark.conf.get(session.FREE_SHUFFLES, None) == setting
+    assert tables.read_raw(spark, path).count() == 60_000
+
+
+def test_known_keys_are_found_without_whole_rows(spark, folder):
+    path = folder("raw")
+    batch = samples(spark, [sample(i, 0, speed=i) for i in range(300)])
+    tables.append_raw(batch, path)
+    table, asked = tables.raw_table(spark, path), []
+    rows = table._kept(batch, "place", "given")
+    keep = type(table)._kept
+
+    def noted(self, frame, place, name):
+        asked.append(frame.columns)
+        return keep(self, frame, place, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(table), "_kept", noted)
+        assert table._unknown(rows, 300, table.state(), "place").count() == 0
+    assert asked == [list(schemas.RAW_KEY)]
+
+
+@pytest.mark.parametrize("most_broadcast", [1, 1 << 17])
+def test_insert_of_odd_keys_in_rounds(spark, folder, monkeypatch, most_broadcast):
+    from tripsense.sources import keyed
+
+    monkeypatch.setattr(keyed, "ROUND_ROWS", 8)
+    monkeypatch.setattr(keyed, "MOST_BROADCAST", most_broadcast)
+    path = folder("raw")
+    tables.append_raw(samples(spark, [sample(i, 0, speed=-1) for i in range(20)] * 2), path)  # an appended key may repeat
+    offered = [sample(i, 0, speed=i) for i in range(40)]
+    offered += [sample(50, -0.0, speed=2), sample(50, 0.0, speed=1), sample(51, -0.0), sample(52, float("nan")), sample(52, float("nan"))]
+    offered += [sample(None, 1), sample(None, 1), sample(53, None), sample(53, 1, speed=None)]
+    batch = samples(spark, offered).withColumn("note", F.lit(None))
+    stored = lambda: tables.read_raw(spark, path).select("bookingid", F.col("second").cast("string"), "speed")
+    assert tables.insert_raw(batch, path, []) == 46
+    old = [(str(i), "0.0", "-1.0") for i in range(20)] * 2
+    new = [(str(i), "0.0", f"{float(i)}") for i in range(20, 40)]
+    new += [("50", "0.0", "1.0"), ("51", "0.0", "0.0"), ("52", "NaN", "0.0"), ("53", "1.0", "None")]
+    nulls = [("53", "None", "0.0"), ("None", "1.0", "0.0")]
+    texts = lambda: sorted(tuple(map(str, row)) for row in stored().collect())
+    assert texts() == sorted(old + new + nulls)
+    # A key with a null equals none, so it comes in again; of the others none does.
+    assert tables.insert_raw(batch, path, []) == 46
+    assert texts() == sorted(old + new + nulls * 2)
+    # Without copies the rows are not reduced, and zeros are still one.
+    plain = samples(spark, [sample(51, -0.0, speed=9), sample(60, -0.0, speed=9)])
+    assert tables.insert_raw(plain, path, []) == 2
+    assert texts() == sorted(old + new + nulls * 2 + [("60", "0.0", "9.0")])
+    index = tables.raw_table(spark, path).index()
+    assert index.agg(F.sum("rows")).first()[0] == len(texts())
+
+
+def test_shuffles_freed_restores_the_setting(spark):
+    before = spark.conf.get(session.FREE_SHUFFLES, None)
+    with pytest.raises(ZeroDivisionError), session.shuffles_freed(spark), session.shuffles_freed(spark):
+        assert spark.conf.get(session.FREE_SHUFFLES) == "true"
+        1 / 0
+    assert spark.conf.get(session.FREE_SHUFFLES, None) == before
+    spark.conf.set(session.FREE_SHUFFLES, "false")
+    try:
+        with session.shuffles_freed(spark):
+            pass
+        assert spark.conf.get(session.FREE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(session.FREE_SHUFFLES)
+
+
+def test_rerun_reads_a_compressed_drop(spark, folder, monkeypatch):
+    from tripsense.catalog import queries
+
+    rows = spark.range(400).selectExpr(
+        "id AS l_orderkey", "id % 9 AS l_partkey", "id % 7 AS l_suppkey", "CAST(id % 4 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "id * 1.5D AS l_extendedprice", "0.04D AS l_discount", "0.02D AS l_tax",
+        "TIMESTAMP'1995-01-01' + make_dt_interval(CAST(id AS INT)) AS l_shipdate",
+    )
+    rows.write.parquet(folder("in") + "/lineitem.parquet")
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, label: folder(label))
+    monkeypatch.setattr(queries, "DROP_ROWS", 100)
+    got = queries.ingest_batch_rerun(spark, folder("in"))
+    drop = [name for name in os.listdir(folder("ingest") + "/csv") if name.startswith("part-")]
+    assert len(drop) >= 4 and all(name.endswith(".csv.gz") for name in drop)
+    assert as_set(got) == as_set(queries.append_raw_table(spark, folder("in")))
+
+
 def test_compaction_keeps_rows_and_joins_files(spark, folder, monkeypatch):
     from tripsense.sources import keyed
 
